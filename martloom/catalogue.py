@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 from martloom import fixtures
 from martloom.fixtures import SEQ
 from martloom.operators.aggregates import row_counts
-from martloom.operators.joins import orphans, refresh_keys, unmatched
+from martloom.operators.joins import enrich, orphans, refresh_keys, unmatched
 from martloom.operators.load import (
     FIRST_SEEN,
     insert_ignore,
     load_report,
     order_facts,
-    pass_order,
+    pass_lines,
+    product_order,
+    products_seen,
     reduce_batch,
     upsert,
 )
@@ -121,43 +123,50 @@ def unmatched_stocked_transactions(spark: SparkSession, sf_dir: str) -> DataFram
     return unmatched(fixtures.transactions(spark, sf_dir), stocked).select(*TRANSACTIONS.names)
 
 
-def _ordered(spark: SparkSession, sf_dir: str, line_status: str | None = None) -> DataFrame:
-    """A pass of enriched transactions: all lines, or those of one line status."""
-    master = fixtures.master(spark, sf_dir)
+PASS = [FIRST_SEEN, *SEQ]
+FACT_COLUMNS = STAR["OrderFacts"].names
+
+
+def _pass(spark: SparkSession, sf_dir: str, line_status: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Lines and products of one pass: all transactions, or those of one line status."""
     tx = fixtures.transactions(spark, sf_dir)
     if line_status:
         tx = tx.filter(F.col("LineStatus") == line_status)
-    joined = tx.join(master.withColumnRenamed("productID", "ProductID"), "ProductID")
-    return pass_order(joined, SEQ, broadcast_products=fits_broadcast(master))
-
-
-PASS = [FIRST_SEEN, *SEQ]
-FACT_COLUMNS = STAR["OrderFacts"].names
+    master = fixtures.raw_master(spark, sf_dir)
+    # A pass has at most as many products as the master data has rows, and narrower ones.
+    small = fits_broadcast(master)
+    described = enrich(products_seen(tx, SEQ), F.broadcast(master) if small else master)
+    return pass_lines(tx, described, broadcast_products=small), described
 
 
 def upsert_order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lines in one pass over an empty fact table."""
-    return reduce_batch(order_facts(_ordered(spark, sf_dir), PASS), FACT_COLUMNS, FACT_KEYS, PASS, FACT_KEEP_FIRST)
+    lines, _ = _pass(spark, sf_dir)
+    return reduce_batch(order_facts(lines, PASS), FACT_COLUMNS, FACT_KEYS, PASS, FACT_KEEP_FIRST)
 
 
 def upsert_order_facts_second_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fulfilled lines in a first pass, open lines upserted in a second."""
-    first = reduce_batch(
-        order_facts(_ordered(spark, sf_dir, "F"), PASS), FACT_COLUMNS, FACT_KEYS, PASS, FACT_KEEP_FIRST
-    )
-    second = order_facts(_ordered(spark, sf_dir, "O"), PASS)
-    return upsert(first, second, FACT_KEYS, PASS, FACT_KEEP_FIRST)
+    lines, _ = _pass(spark, sf_dir, "F")
+    first = reduce_batch(order_facts(lines, PASS), FACT_COLUMNS, FACT_KEYS, PASS, FACT_KEEP_FIRST)
+    lines, _ = _pass(spark, sf_dir, "O")
+    return upsert(first, order_facts(lines, PASS), FACT_KEYS, PASS, FACT_KEEP_FIRST)
 
 
 def _load_dimension(name: str) -> Query:
     """Two passes, fulfilled lines and then open ones, into an empty dimension."""
 
     def load(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = DIMENSION_KEYS[name]
-        columns = STAR[name].names
-        first, second = _ordered(spark, sf_dir, "F"), _ordered(spark, sf_dir, "O")
-        loaded = reduce_batch(first, columns, [key], PASS, keep_first=[c for c in columns if c != key])
-        return loaded.unionByName(insert_ignore(loaded, second, key, PASS))
+        key, columns = DIMENSION_KEYS[name], STAR[name].names
+        loaded = None
+        for status in ("F", "O"):
+            lines, described = _pass(spark, sf_dir, status)
+            rows, order = (lines, PASS) if name == "CustomerDimension" else (described, product_order(described))
+            if loaded is None:
+                loaded = reduce_batch(rows, columns, [key], order, keep_first=[c for c in columns if c != key])
+            else:
+                loaded = loaded.unionByName(insert_ignore(loaded, rows, key, order))
+        return loaded
 
     return load
 

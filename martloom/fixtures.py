@@ -7,8 +7,11 @@ they have in the files.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from martloom.operators.joins import enrich
 from martloom.operators.load import order_facts
@@ -19,8 +22,15 @@ from martloom.schemas import PRICE, Star
 SEQ = ["Order_ID", "LineNumber", "ProductID", "LineSupplier", "ShipDate", "Quantity_Ordered"]
 
 
+@lru_cache(maxsize=64)
+def _schema(spark: SparkSession, path: str) -> StructType:
+    """Schema of a test table, looked up once per session."""
+    return spark.read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def transactions_of(lines: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
@@ -55,10 +65,9 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Master data; hinted for broadcast only if it measures small."""
+def raw_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier, nation = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
-    joined = (
+    return (
         products(spark, sf_dir)
         .join(supplier, F.col("supplierID") == F.col("s_suppkey"))
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
@@ -72,7 +81,11 @@ def master(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("n_name").alias("storeName"),
         )
     )
-    return broadcast_if_small(joined)
+
+
+def master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Master data; hinted for broadcast only if it measures small."""
+    return broadcast_if_small(raw_master(spark, sf_dir))
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:

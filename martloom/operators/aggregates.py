@@ -8,12 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions.measures import sales, total
+from martloom.functions.measures import total, total_sales
 
 
 def sales_by(df: DataFrame, keys: Sequence[str | Column], name: str = "TotalSales") -> DataFrame:
     """Total sales per combination of ``keys``."""
-    return df.groupBy(*keys).agg(total(sales()).alias(name))
+    return df.groupBy(*keys).agg(total_sales().alias(name))
 
 
 def grouping_sets_sales(
@@ -41,13 +41,11 @@ def rollup_sales(df: DataFrame, keys: Sequence[str], name: str = "TotalSales", l
     return grouping_sets_sales(df, keys, [keys[:n] for n in range(len(keys), -1, -1)], name, level)
 
 
-def quarter_totals(amount: Column, date: str, year_total: str = "TotalYearlySales") -> list[Column]:
+def quarter_totals(date: str, year_total: str = "TotalYearlySales") -> list[Column]:
     """Four conditional sums, zero for an empty quarter, and the total."""
     month = F.month(date)
-    quarters = [
-        total(F.when(month.between(3 * q - 2, 3 * q), amount).otherwise(0)).alias(f"Q{q}_Sales") for q in range(1, 5)
-    ]
-    return [*quarters, total(amount).alias(year_total)]
+    quarters = [total_sales(month.between(3 * q - 2, 3 * q)).alias(f"Q{q}_Sales") for q in range(1, 5)]
+    return [*quarters, total_sales().alias(year_total)]
 
 
 def quarter_pivot(facts: DataFrame, product: DataFrame) -> DataFrame:
@@ -56,7 +54,7 @@ def quarter_pivot(facts: DataFrame, product: DataFrame) -> DataFrame:
     Folded to one row per product before the join, so a hot product is a
     single row when it is shuffled; products sharing a name are added after.
     """
-    per_product = facts.groupBy("ProductID").agg(*quarter_totals(sales(), "OrderDate"))
+    per_product = facts.groupBy("ProductID").agg(*quarter_totals("OrderDate"))
     columns = [c for c in per_product.columns if c != "ProductID"]
     return (
         per_product.join(product, "ProductID")

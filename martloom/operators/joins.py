@@ -23,9 +23,14 @@ def enrich(tx: DataFrame, master: DataFrame) -> DataFrame:
     return tx.join(master.withColumnRenamed("productID", "ProductID"), "ProductID")
 
 
+def pending_history(tx: DataFrame, keys: DataFrame) -> DataFrame:
+    """Every transaction, old ones too, of the products in ``keys``."""
+    return tx.join(keys.select("ProductID").distinct(), "ProductID", "left_semi")
+
+
 def refresh_keys(tx: DataFrame, master: DataFrame, keys: DataFrame) -> DataFrame:
-    """Every transaction, old ones too, of the products in ``keys``, enriched."""
-    return enrich(tx.join(keys.select("ProductID").distinct(), "ProductID", "left_semi"), master)
+    """:func:`pending_history`, enriched: one set join in place of a query per key."""
+    return enrich(pending_history(tx, keys), master)
 
 
 def unmatched(tx: DataFrame, master: DataFrame) -> DataFrame:

@@ -18,19 +18,30 @@ def _with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropna(how="any", subset=list(keys))
 
 
-def pass_order(enriched: DataFrame, seq: Sequence[str], broadcast_products: bool = False) -> DataFrame:
-    """Add ``_first_seen``, the earliest ``seq`` of the row's product in this pass.
+def products_seen(tx: DataFrame, seq: Sequence[str]) -> DataFrame:
+    """The products of a pass, once each, with ``_first_seen``, their earliest ``seq``.
 
     A pass visits products in first-seen order and, per product, its rows in
-    arrival order, so the order of a pass is ``[FIRST_SEEN, *seq]``. Built as
-    an aggregate joined back, not as a window: the aggregate combines before
-    the shuffle and the join can split a hot product.
+    arrival order; so a pass is ordered by ``[FIRST_SEEN, *seq]``. An
+    aggregate, not a window: rows of a hot product combine before the shuffle.
+    """
+    return tx.dropna(subset=["ProductID"]).groupBy("ProductID").agg(F.min(_position(seq)).alias(FIRST_SEEN))
+
+
+def pass_lines(tx: DataFrame, described: DataFrame, broadcast_products: bool = False) -> DataFrame:
+    """Transactions of the ``described`` products (:func:`products_seen`, enriched), with price and ``_first_seen``.
 
-    ``broadcast_products`` may be set when the product list is known to fit a
-    broadcast; ``_first_seen`` has one narrow row per product.
+    The one join on the transactions themselves: descriptions stay on the small
+    product side. ``broadcast_products`` may be set when ``described`` is known
+    to fit.
     """
-    first_seen = enriched.groupBy("ProductID").agg(F.min(_position(seq)).alias(FIRST_SEEN))
-    return enriched.join(F.broadcast(first_seen) if broadcast_products else first_seen, "ProductID")
+    slim = described.select("ProductID", "productPrice", FIRST_SEEN)
+    return tx.join(F.broadcast(slim) if broadcast_products else slim, "ProductID")
+
+
+def product_order(described: DataFrame) -> list[str]:
+    """Load order of described products; the attributes settle a product listed twice."""
+    return [FIRST_SEEN, *[c for c in described.columns if c != FIRST_SEEN]]
 
 
 def reduce_batch(

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import BinaryType, DataType, StringType, StructType
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -21,9 +21,13 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(setting)
 
 
+def _words(kind: DataType) -> int:
+    return 1 + sum(_words(f.dataType) for f in kind) if isinstance(kind, StructType) else 1
+
+
 def measured_bytes(df: DataFrame) -> int:
-    """Row bytes of ``df``: 8 per column, 8 per row and the text itself. One distributed aggregate."""
-    size = F.lit(8 + 8 * len(df.columns)).cast("bigint")
+    """Row bytes of ``df``: 8 per row and per value, and the text itself. One distributed aggregate."""
+    size = F.lit(8 + sum(_words(field.dataType) for field in df.schema) * 8).cast("bigint")
     for field in df.schema:
         if isinstance(field.dataType, (StringType, BinaryType)):
             size = size + F.coalesce(F.octet_length(field.name), F.lit(0))

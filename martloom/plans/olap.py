@@ -14,7 +14,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions.measures import date_parts, month_start, sales, total
+from martloom.functions.measures import date_parts, month_start, total
 from martloom.functions.predicates import in_year, slice_, weekend
 from martloom.operators.aggregates import grouping_sets_sales, quarter_pivot, rollup_sales, sales_by
 from martloom.operators.joins import having, star_join, store_join
@@ -92,14 +92,23 @@ def sales_outlier_products(star: Star, ratio: str | int = 10) -> DataFrame:
     """Products whose largest sale exceeds ``ratio`` times their average sale.
 
     Compared as ``max * count > ratio * sum``, which needs no rounded average.
+    Facts are folded per product and price: within such a group only the
+    quantity varies, so the decimal products are taken once per group.
     """
-    per_product = star.facts.groupBy("ProductID").agg(
-        F.sum(sales()).alias("s"), F.count(sales()).alias("n"), F.max(sales()).alias("m")
+    quantity, price = F.col("QuantityOrdered"), F.col("productPrice")
+    per_price = (
+        star.facts.dropna(subset=["QuantityOrdered", "productPrice"])
+        .groupBy("ProductID", "productPrice")
+        .agg(F.sum(quantity).alias("q"), F.count("*").alias("n"), F.min(quantity).alias("lo"), F.max(quantity).alias("hi"))
     )
     by_name = (
-        star_join(per_product, star.product.select("ProductID", "productName"), "product")
+        star_join(per_price, star.product.select("ProductID", "productName"), "product")
         .groupBy("productName")
-        .agg(total(F.col("s")).alias("s"), F.sum("n").alias("n"), F.max("m").alias("MaxSales"))
+        .agg(
+            total(F.col("q") * price).alias("s"),
+            F.sum("n").alias("n"),
+            F.max(F.greatest(F.col("hi") * price, F.col("lo") * price)).alias("MaxSales"),
+        )
     )
     return by_name.filter(F.col("MaxSales") * F.col("n") > F.lit(Decimal(str(ratio))) * F.col("s")).select(
         "productName", (F.col("s").cast("double") / F.col("n")).alias("AverageSales"), "MaxSales"

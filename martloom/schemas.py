@@ -92,6 +92,12 @@ class Star:
     supplier: DataFrame
     store: DataFrame
 
+    def __post_init__(self) -> None:
+        # Totals are summed in cents and rely on this.
+        price = self.facts.schema["productPrice"].dataType
+        if price != PRICE:
+            raise TypeError(f"productPrice must be {PRICE.simpleString()}, not {price.simpleString()}")
+
     def tables(self) -> Iterator[tuple[str, DataFrame]]:
         yield "OrderFacts", self.facts
         yield "ProductDimension", self.product

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from martloom.operators.load import insert_ignore, order_facts, reduce_batch, upsert
+from martloom.operators.load import insert_ignore, order_facts, product_order, reduce_batch, upsert
 from martloom.schemas import DIMENSION_KEYS, FACT_KEEP_FIRST, FACT_KEYS, FACT_TABLE, STAR, Star
 from martloom.sources.paths import exists, finished
 
@@ -73,16 +73,21 @@ class Warehouse:
     def _write(self, df: DataFrame, table: str, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.log_path(table)}/{BATCH}={batch_id}")
 
-    def write_star(self, batch: DataFrame, batch_id: int, order: Sequence[str], observation=None) -> None:
-        """Load enriched, ordered rows as pass ``batch_id``: dimensions first, then facts.
+    def write_star(
+        self, lines: DataFrame, described: DataFrame, batch_id: int, order: Sequence[str], observation=None
+    ) -> None:
+        """Load pass ``batch_id``: dimensions first, then facts.
 
-        ``observation`` receives ``joined_rows`` and ``distinct_orders`` from
-        the fact write itself, with no extra job.
+        ``lines`` are the pass's transactions with price (:func:`pass_lines`),
+        ``described`` its products; suppliers, products and stores come from
+        the latter and never touch the transactions. ``observation`` receives
+        ``joined_rows`` and ``distinct_orders`` from the fact write itself.
         """
         for table, key in DIMENSION_KEYS.items():
-            self._write(insert_ignore(self.table(table, before=batch_id), batch, key, order), table, batch_id)
+            rows, position = (lines, order) if table == "CustomerDimension" else (described, product_order(described))
+            self._write(insert_ignore(self.table(table, before=batch_id), rows, key, position), table, batch_id)
         columns = self.schemas[FACT_TABLE].names
-        facts = reduce_batch(order_facts(batch, order), columns, FACT_KEYS, order, FACT_KEEP_FIRST, rows=ROWS)
+        facts = reduce_batch(order_facts(lines, order), columns, FACT_KEYS, order, FACT_KEEP_FIRST, rows=ROWS)
         if observation is not None:
             facts = facts.observe(
                 observation,

@@ -10,12 +10,12 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from martloom.operators.joins import enrich, refresh_keys
-from martloom.operators.load import FIRST_SEEN, pass_order
+from martloom.operators.joins import enrich, pending_history
+from martloom.operators.load import FIRST_SEEN, pass_lines, products_seen
 from martloom.operators.sizing import fits_broadcast
+from martloom.schemas import FACT_TABLE
 from martloom.sources.paths import children, exists
 from martloom.sources.warehouse import Warehouse
-from martloom.schemas import FACT_TABLE
 
 log = logging.getLogger(__name__)
 
@@ -44,19 +44,24 @@ def load_pass(
     ``seq`` order alone, and then splitting the input into passes differently
     does not change the facts.
     """
-    joined = enrich(batch, master) if history is None else refresh_keys(history, master, pending_keys(batch))
-    order = [FIRST_SEEN, *seq] if by_product else list(seq)
-    if by_product:
-        joined = pass_order(joined, seq, broadcast_products=fits_broadcast(master))
-    # Five writes read these rows. A lost executor's share is recomputed from
-    # the files behind the batch.
-    joined = joined.persist(StorageLevel.MEMORY_AND_DISK)
+    # Every write reads the batch. A lost executor's share of it is recomputed
+    # from the files behind it.
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    described = None
     try:
+        tx = batch if history is None else pending_history(history, pending_keys(batch))
+        described = enrich(products_seen(tx, seq), master).persist(StorageLevel.MEMORY_AND_DISK)
+        slim = described.select("ProductID", "productPrice", FIRST_SEEN)
+        lines = pass_lines(tx, described, broadcast_products=fits_broadcast(slim))
+        # A product listed twice yields two rows per transaction; the price tells them apart.
+        order = [*([FIRST_SEEN] if by_product else []), *seq, "productPrice"]
         counted = Observation(f"load-{batch_id}")
-        warehouse.write_star(joined, batch_id, order, counted)
+        warehouse.write_star(lines, described, batch_id, order, counted)
         return counted.get
     finally:
-        joined.unpersist()
+        if described is not None:
+            described.unpersist()
+        batch.unpersist()
 
 
 def check_root(warehouse: Warehouse, checkpoint: str) -> None:
