@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -15,17 +17,26 @@ CORRUPT = "_corrupt_record"
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A CSV feed with a header line, typed by ``schema``.
 
-    A line that does not fit keeps its readable fields and carries its raw
-    text in ``_corrupt_record``; see :func:`split_corrupt`.
+    A line that does not fit keeps its readable fields and carries its text in
+    ``_corrupt_record``; see :func:`split_corrupt`. Fields are read as text and
+    cast here: a reader that casts by itself would miss a bad value in any
+    column the query happens not to use.
     """
-    with_raw = StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
-    return (
-        spark.read.schema(with_raw)
+    raw = StructType([StructField(name, StringType()) for name in [*schema.names, CORRUPT]])
+    lines = (
+        spark.read.schema(raw)
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
+    misfit = reduce(
+        Column.__or__, [F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull() for f in schema]
+    )
+    text = F.when(misfit, F.to_csv(F.struct(*schema.names)))
+    return lines.select(
+        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema], F.coalesce(CORRUPT, text).alias(CORRUPT)
+    )
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:

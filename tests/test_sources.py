@@ -1,0 +1,93 @@
+"""Feeds, schemas and JDBC options."""
+
+from __future__ import annotations
+
+from decimal import Decimal
+
+import pytest
+
+from martloom.operators.aggregates import row_counts
+from martloom.schemas import MASTER, STAR, TRANSACTIONS, conform, create_tables
+from martloom.sources.feeds import CORRUPT, preview, read_csv, read_master, read_transactions, split_corrupt
+from martloom.sources.jdbc import partitioned
+from tables import master_table, rows_of, tx_table
+
+
+def test_csv_keeps_bad_lines_aside(spark, tmp_path):
+    (tmp_path / "master.csv").write_text(
+        "productID,productName,productPrice,supplierID,supplierName,storeID,storeName\n"
+        '1,"cam, small",9.99,5,DJI,3,Tech Haven\n'
+        "2,pad,cheap,5,DJI,3,Tech Haven\n"
+        "3,,,,,,\n"
+        "4,short\n"
+    )
+    good, bad = split_corrupt(read_csv(spark, str(tmp_path), MASTER))
+    assert rows_of(good) == [
+        (1, "cam, small", Decimal("9.99"), 5, "DJI", 3, "Tech Haven"),
+        (3, None, None, None, None, None, None),
+    ]
+    assert rows_of(good.select("productID")) == [(1,), (3,)]
+    assert good.count() == 2 and bad.count() == 2
+    misfit, short = sorted(bad.collect(), key=lambda r: r.productID)
+    assert (misfit.productName, misfit.productPrice) == ("pad", None)
+    assert misfit[CORRUPT].startswith("2,pad,cheap") and short[CORRUPT] == "4,short"
+
+
+def test_csv_transactions_parse_dates(spark, tmp_path):
+    (tmp_path / "tx.csv").write_text(
+        "Order_ID,Order_Date,ProductID,CustomerID,CustomerName,Gender,Quantity_Ordered\n"
+        "1,2019-01-05 10:11:12,2,3,ann,f,4\n"
+    )
+    good, bad = split_corrupt(read_csv(spark, str(tmp_path), TRANSACTIONS))
+    assert good.first()["Order_Date"].isoformat() == "2019-01-05T10:11:12" and bad.collect() == []
+
+
+def test_scans_read_declared_columns_only(spark, tmp_path):
+    tx_table(spark, [(1, 1, 2, 3, 4, 5)]).write.parquet(str(tmp_path / "tx"))
+    tx = read_transactions(spark, str(tmp_path / "tx"))
+    assert tx.columns == TRANSACTIONS.names
+    assert "seq" not in tx._jdf.queryExecution().executedPlan().toString()
+    master_table(spark, [(1, "1.00", 2, 3)]).write.parquet(str(tmp_path / "m"))
+    assert read_master(spark, str(tmp_path / "m")).columns == MASTER.names
+
+
+def test_preview(spark):
+    df = spark.range(10)
+    assert preview(df, 3).count() == 3 and preview(df).count() == 10
+
+
+def test_conform_strict_raises_and_lenient_nulls(spark):
+    dirty = spark.createDataFrame([("1", "x"), ("2", "")], "storeID string, storeName string")
+    assert conform(dirty, STAR["StoreDimension"]).schema == STAR["StoreDimension"]
+    bad = spark.createDataFrame([("", "x")], "storeID string, storeName string")
+    assert rows_of(conform(bad, STAR["StoreDimension"], strict=False)) == [(None, "x")]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        conform(bad, STAR["StoreDimension"]).collect()
+
+
+def test_create_tables_twice(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS martloom_test")
+    spark.sql("USE martloom_test")
+    try:
+        create_tables(spark, str(tmp_path))
+        create_tables(spark, str(tmp_path))
+        spark.sql("INSERT INTO StoreDimension VALUES (1, 'x')")
+        assert rows_of(spark.table("martloom_test.StoreDimension")) == [(1, "x")]
+        assert spark.table("martloom_test.OrderFacts").schema == STAR["OrderFacts"]
+        for name in STAR:
+            spark.sql(f"DROP TABLE {name}")
+    finally:
+        spark.sql("USE default")
+        spark.sql("DROP DATABASE martloom_test")
+
+
+def test_row_counts(spark):
+    got = row_counts([("a", spark.range(3)), ("b", spark.range(0))])
+    assert rows_of(got) == [("a", 3), ("b", 0)]
+
+
+def test_partitioned_jdbc_options_leave_credentials_to_the_caller():
+    base = {"url": "jdbc:example:warehouse", "dbtable": "t", "user": "u"}
+    options = partitioned(base, "Order_ID", 1, 1000, 16)
+    assert options["numPartitions"] == "16" and options["partitionColumn"] == "Order_ID"
+    assert options["user"] == "u" and "password" not in options and "numPartitions" not in base
