@@ -94,8 +94,11 @@ def _newest(tx: DataFrame) -> DataFrame:
 
 def refresh_pending_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = fixtures.transactions(spark, sf_dir)
-    pending = pending_keys(_newest(tx))
-    return refresh_keys(tx, fixtures.master(spark, sf_dir), pending).select(*ENRICHED_COLUMNS)
+    master = fixtures.raw_master(spark, sf_dir)
+    # No more products can be pending and known than the master data has rows.
+    small = fits_broadcast(master)
+    pending = enrich(pending_keys(_newest(tx)), master).select("ProductID")
+    return refresh_keys(tx, F.broadcast(master) if small else master, pending, small).select(*ENRICHED_COLUMNS)
 
 
 def pending_product_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,12 +116,13 @@ def orphan_products_by_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unmatched_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unmatched(fixtures.transactions(spark, sf_dir), fixtures.master(spark, sf_dir)).select(*TRANSACTIONS.names)
+    master = fixtures.raw_master(spark, sf_dir)
+    return unmatched(fixtures.transactions(spark, sf_dir), master).select(*TRANSACTIONS.names)
 
 
 def unmatched_stocked_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions lost when only products kept by a store (supplier = store number) count as known."""
-    master, store = fixtures.master(spark, sf_dir), fixtures.star(spark, sf_dir).store
+    master, store = fixtures.raw_master(spark, sf_dir), fixtures.star(spark, sf_dir).store
     stocked = master.join(store.select(F.col("storeID").alias("supplierID")), "supplierID", "left_semi")
     return unmatched(fixtures.transactions(spark, sf_dir), stocked).select(*TRANSACTIONS.names)
 
@@ -136,7 +140,7 @@ def _pass(spark: SparkSession, sf_dir: str, line_status: str | None = None) -> t
     # A pass has at most as many products as the master data has rows, and narrower ones.
     small = fits_broadcast(master)
     described = enrich(products_seen(tx, SEQ), F.broadcast(master) if small else master)
-    return pass_lines(tx, described, broadcast_products=small), described
+    return pass_lines(tx, described, small), described
 
 
 def upsert_order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Inner equi-joins of the star, and the checks around them.
 
-None of these hints a broadcast: a dimension under the broadcast threshold is
-broadcast by Spark, a larger one is sort-merge joined with the fact side as the
-left input, whose hot partitions adaptive execution can split.
+A dimension under the broadcast threshold is broadcast by Spark; a larger one
+is sort-merge joined with the fact side on the left, where adaptive execution
+splits hot partitions. :func:`salted_join` covers the joins it cannot split.
 """
 
 from __future__ import annotations
@@ -10,6 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martloom.operators.sizing import fits_broadcast
+
+SALT = "_salt"
+SALTS = 16
+
 # Fact or product column -> dimension key, for the declared links of the star.
 LINKS = {"product": "ProductID", "supplier": "supplierID", "customer": "CustomerID"}
 
@@ -23,26 +28,48 @@ def enrich(tx: DataFrame, master: DataFrame) -> DataFrame:
     return tx.join(master.withColumnRenamed("productID", "ProductID"), "ProductID")
 
 
-def pending_history(tx: DataFrame, keys: DataFrame) -> DataFrame:
+def salted_join(
+    left: DataFrame, right: DataFrame, key: str, how: str = "inner", small: bool | None = None, salts: int = SALTS
+) -> DataFrame:
+    """Join a large ``left`` that may be hot on ``key`` with a ``right`` that is an aggregate or a join.
+
+    A right side that measures small is broadcast; ``small`` may state the
+    measure if it is known. Otherwise the left rows of a key are dealt out over
+    ``salts`` partitions, NULL keys too, and every right row is copied to each.
+    Adaptive execution alone would not do here: it splits a hot partition only
+    if both inputs come straight from a shuffle.
+
+    ``how`` is inner, left_semi or left_anti. The salt is a hash of the row, so
+    a task that is run again deals the same way.
+    """
+    if fits_broadcast(right) if small is None else small:
+        return left.join(F.broadcast(right), key, how)
+    rest = [c for c in left.columns if c != key]
+    dealt = left.withColumn(SALT, F.pmod(F.xxhash64(*rest), F.lit(salts)))
+    copied = right.withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    return dealt.join(copied.hint("merge"), [key, SALT], how).drop(SALT)
+
+
+def pending_history(tx: DataFrame, keys: DataFrame, small: bool | None = None) -> DataFrame:
     """Every transaction, old ones too, of the products in ``keys``."""
-    return tx.join(keys.select("ProductID").distinct(), "ProductID", "left_semi")
+    return salted_join(tx, keys.select("ProductID").distinct(), "ProductID", "left_semi", small)
 
 
-def refresh_keys(tx: DataFrame, master: DataFrame, keys: DataFrame) -> DataFrame:
+def refresh_keys(tx: DataFrame, master: DataFrame, keys: DataFrame, small: bool | None = None) -> DataFrame:
     """:func:`pending_history`, enriched: one set join in place of a query per key."""
-    return enrich(pending_history(tx, keys), master)
+    return enrich(pending_history(tx, keys, small), master)
 
 
 def unmatched(tx: DataFrame, master: DataFrame) -> DataFrame:
     """The transactions :func:`enrich` drops, NULL products included."""
     known = master.select(F.col("productID").alias("ProductID")).distinct()
-    return tx.join(known, "ProductID", "left_anti")
+    return salted_join(tx, known, "ProductID", "left_anti")
 
 
 def orphans(child: DataFrame, parent: DataFrame, foreign_key: str, primary_key: str) -> DataFrame:
     """Child rows whose foreign key is set but names no parent."""
     known = parent.select(F.col(primary_key).alias(foreign_key)).distinct()
-    return child.filter(F.col(foreign_key).isNotNull()).join(known, foreign_key, "left_anti")
+    return salted_join(child.filter(F.col(foreign_key).isNotNull()), known, foreign_key, "left_anti")
 
 
 def star_join(df: DataFrame, dimension: DataFrame, link: str) -> DataFrame:

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martloom.operators.joins import salted_join
+
 FIRST_SEEN = "_first_seen"
 
 
@@ -15,7 +18,7 @@ def _position(order: Sequence[str]) -> Column:
 
 
 def _with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.dropna(how="any", subset=list(keys))
+    return df.filter(reduce(Column.__and__, [F.col(k).isNotNull() for k in keys]))
 
 
 def products_seen(tx: DataFrame, seq: Sequence[str]) -> DataFrame:
@@ -25,18 +28,17 @@ def products_seen(tx: DataFrame, seq: Sequence[str]) -> DataFrame:
     arrival order; so a pass is ordered by ``[FIRST_SEEN, *seq]``. An
     aggregate, not a window: rows of a hot product combine before the shuffle.
     """
-    return tx.dropna(subset=["ProductID"]).groupBy("ProductID").agg(F.min(_position(seq)).alias(FIRST_SEEN))
+    return _with_keys(tx, ["ProductID"]).groupBy("ProductID").agg(F.min(_position(seq)).alias(FIRST_SEEN))
 
 
-def pass_lines(tx: DataFrame, described: DataFrame, broadcast_products: bool = False) -> DataFrame:
+def pass_lines(tx: DataFrame, described: DataFrame, small: bool | None = None) -> DataFrame:
     """Transactions of the ``described`` products (:func:`products_seen`, enriched), with price and ``_first_seen``.
 
     The one join on the transactions themselves: descriptions stay on the small
-    product side. ``broadcast_products`` may be set when ``described`` is known
-    to fit.
+    product side. ``small`` states whether ``described`` fits a broadcast, if
+    that is known; otherwise it is measured.
     """
-    slim = described.select("ProductID", "productPrice", FIRST_SEEN)
-    return tx.join(F.broadcast(slim) if broadcast_products else slim, "ProductID")
+    return salted_join(tx, described.select("ProductID", "productPrice", FIRST_SEEN), "ProductID", small=small)
 
 
 def product_order(described: DataFrame) -> list[str]:

@@ -97,7 +97,7 @@ def sales_outlier_products(star: Star, ratio: str | int = 10) -> DataFrame:
     """
     quantity, price = F.col("QuantityOrdered"), F.col("productPrice")
     per_price = (
-        star.facts.dropna(subset=["QuantityOrdered", "productPrice"])
+        star.facts.filter(quantity.isNotNull() & price.isNotNull())
         .groupBy("ProductID", "productPrice")
         .agg(F.sum(quantity).alias("q"), F.count("*").alias("n"), F.min(quantity).alias("lo"), F.max(quantity).alias("hi"))
     )

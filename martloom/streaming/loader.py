@@ -8,11 +8,11 @@ from typing import Any
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from martloom.operators.joins import enrich, pending_history
 from martloom.operators.load import FIRST_SEEN, pass_lines, products_seen
-from martloom.operators.sizing import fits_broadcast
 from martloom.schemas import FACT_TABLE
 from martloom.sources.paths import children, exists
 from martloom.sources.warehouse import Warehouse
@@ -24,7 +24,7 @@ Table = Callable[[], DataFrame]
 
 def pending_keys(batch: DataFrame) -> DataFrame:
     """The products a pass has to join, once each; NULL products join nothing."""
-    return batch.select("ProductID").distinct().dropna()
+    return batch.select("ProductID").filter(F.col("ProductID").isNotNull()).distinct()
 
 
 def load_pass(
@@ -51,8 +51,7 @@ def load_pass(
     try:
         tx = batch if history is None else pending_history(history, pending_keys(batch))
         described = enrich(products_seen(tx, seq), master).persist(StorageLevel.MEMORY_AND_DISK)
-        slim = described.select("ProductID", "productPrice", FIRST_SEEN)
-        lines = pass_lines(tx, described, broadcast_products=fits_broadcast(slim))
+        lines = pass_lines(tx, described)
         # A product listed twice yields two rows per transaction; the price tells them apart.
         order = [*([FIRST_SEEN] if by_product else []), *seq, "productPrice"]
         counted = Observation(f"load-{batch_id}")

@@ -27,7 +27,9 @@ def _all_ticks(counts: DataFrame, seconds: int) -> DataFrame:
     step = F.make_dt_interval(secs=F.lit(seconds))
     block = F.make_dt_interval(secs=F.lit(seconds * TICKS_PER_BLOCK))
     bounds = counts.agg(F.min("tick").alias("lo"), F.max("tick").alias("hi"))
-    blocks = bounds.select("hi", F.explode(F.sequence("lo", "hi", block)).alias("at")).repartition("at")
+    # A given number of partitions, since adaptive execution would merge these few small rows into one.
+    spread = counts.sparkSession.sparkContext.defaultParallelism
+    blocks = bounds.select("hi", F.explode(F.sequence("lo", "hi", block)).alias("at")).repartition(spread, "at")
     last = F.least(F.col("hi"), F.col("at") + F.make_dt_interval(secs=F.lit(seconds * (TICKS_PER_BLOCK - 1))))
     return blocks.select(F.explode(F.sequence(F.col("at"), last, step)).alias("tick"))
 
