@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from martloom import fixtures
 from martloom.fixtures import SEQ
+from martloom.functions.measures import date_parts, month_start, total_sales, with_sales
+from martloom.functions.predicates import dice, in_year, slice_, weekend
 from martloom.operators.aggregates import row_counts
-from martloom.operators.joins import enrich, orphans, refresh_keys, unmatched
+from martloom.operators.joins import enrich, orphans, refresh_keys, star_join, store_join, unmatched
 from martloom.operators.load import (
     FIRST_SEEN,
     insert_ignore,
@@ -39,6 +41,8 @@ SUPPLIER = "Supplier#000000007"
 STORE = "NATION_3"
 RATIO = "2.05"
 HOUR = 3600
+# Bounds the work and the cached rows of one pass on tables of many files.
+FILES_PER_PASS = 1000
 
 ENRICHED_COLUMNS = [
     "Order_ID",
@@ -61,6 +65,38 @@ def _olap(report: Callable[..., DataFrame], **arguments) -> Query:
     return lambda spark, sf_dir: report(fixtures.star(spark, sf_dir), **arguments)
 
 
+def _facts(report: Callable[[Star], DataFrame]) -> Query:
+    return lambda spark, sf_dir: report(fixtures.star(spark, sf_dir))
+
+
+def monthly_aggregates(star: Star) -> DataFrame:
+    """Every aggregate function of the reports, per year, quarter and month."""
+    amount = F.col("Sales")
+    return (
+        with_sales(star.facts)
+        .groupBy(month_start().alias("SalesMonth"))
+        .agg(
+            total_sales().alias("TotalSales"),
+            F.sum("QuantityOrdered").alias("TotalQuantity"),
+            (total_sales().cast("double") / F.count(amount)).alias("AverageSales"),
+            F.max(amount).alias("MaxSales"),
+            F.count("*").alias("NumberOfRows"),
+            F.countDistinct("ProductID").alias("UniqueProducts"),
+        )
+        .select(
+            *date_parts("SalesMonth", year="Year", quarter="Quarter", month="Month"),
+            *["TotalSales", "TotalQuantity", "AverageSales", "MaxSales", "NumberOfRows", "UniqueProducts"],
+        )
+    )
+
+
+def supplier_year_dice(star: Star) -> DataFrame:
+    """Sold quantity per product of one supplier in one year."""
+    diced = dice(star_join(star.product, star.supplier, "supplier"), {"supplierName": SUPPLIER})
+    per_product = in_year(star.facts, YEAR).groupBy("ProductID").agg(F.sum("QuantityOrdered").alias("TotalQuantity"))
+    return star_join(per_product, diced, "product").select("ProductID", "productName", "supplierName", "TotalQuantity")
+
+
 def scan_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.transactions(spark, sf_dir).select(*TRANSACTIONS.names)
 
@@ -209,7 +245,7 @@ def dual_arrival_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     schema = fixtures.table(spark, sf_dir, name).schema
-    return stream_files(spark, f"{sf_dir}/{name}.parquet*", schema)
+    return stream_files(spark, f"{sf_dir}/{name}.parquet*", schema, max_files=FILES_PER_PASS)
 
 
 def stream_arrival_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,6 +309,17 @@ QUERIES: dict[str, Query] = {
     "supplier_performance": _olap(olap.supplier_performance),
     "top_customers_by_variety": _olap(olap.top_customers_by_variety, year=YEAR),
     "customer_store_monthly_sales": _olap(olap.customer_store_monthly_sales),
+    # The building blocks of the reports.
+    "facts_with_sales": _facts(lambda star: with_sales(star.facts)),
+    "facts_in_year": _facts(lambda star: in_year(star.facts, YEAR)),
+    "weekend_facts": _facts(lambda star: weekend(star.facts)),
+    "store_slice": _facts(lambda star: store_join(star.facts, slice_(star.store, "storeName", STORE), "CustomerID")),
+    "supplier_year_dice": _facts(supplier_year_dice),
+    "monthly_aggregates": _facts(monthly_aggregates),
+    "facts_with_product": _facts(lambda star: star_join(star.facts, star.product, "product")),
+    "products_with_supplier": _facts(lambda star: star_join(star.product, star.supplier, "supplier")),
+    "facts_with_customer": _facts(lambda star: star_join(star.facts, star.customer, "customer")),
+    "products_with_store": _facts(lambda star: store_join(star.product, star.store, "supplierID")),
     # Views.
     "store_analysis_view": _view(views.STORE_ANALYSIS),
     "supplier_performance_view": _view(views.SUPPLIER_PERFORMANCE),

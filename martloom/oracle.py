@@ -14,7 +14,7 @@ FACTS = f"""{PRODUCT},
 facts AS (
   SELECT l_orderkey AS OrderID, CAST(o_orderdate AS DATE) AS OrderDate, l_partkey AS ProductID,
          o_custkey AS CustomerID, CAST(l_quantity AS INTEGER) AS QuantityOrdered, p.productPrice,
-         CAST(l_quantity AS INTEGER) * p.productPrice AS Sales
+         CAST(CAST(l_quantity AS INTEGER) * p.productPrice AS DECIMAL(21, 2)) AS Sales
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN product p ON l_partkey = p.ProductID)"""
 
 MASTER = f"""{PRODUCT},
@@ -179,6 +179,33 @@ GROUP BY c_custkey, c_name
 ORDER BY UniqueProductsPurchased DESC, c_custkey
 LIMIT 5""",
     "customer_store_monthly_sales": CUSTOMER_STORE_SALES,
+    "facts_with_sales": f"WITH {FACTS} SELECT * FROM facts",
+    "facts_in_year": f"WITH {FACTS} SELECT * EXCLUDE (Sales) FROM facts WHERE YEAR(OrderDate) = {YEAR}",
+    "weekend_facts": f"WITH {FACTS} SELECT * EXCLUDE (Sales) FROM facts WHERE DAYOFWEEK(OrderDate) IN (0, 6)",
+    "store_slice": f"""WITH {FACTS}
+SELECT f.* EXCLUDE (Sales), n_nationkey AS storeID, n_name AS storeName
+FROM facts f JOIN nation ON f.CustomerID = n_nationkey WHERE n_name = '{STORE}'""",
+    "supplier_year_dice": f"""WITH {FACTS}
+SELECT p.ProductID, p.productName, s_name AS supplierName, CAST(SUM(QuantityOrdered) AS BIGINT) AS TotalQuantity
+{MONTHLY_BY_SUPPLIER}
+WHERE s_name = '{SUPPLIER}' AND YEAR(OrderDate) = {YEAR}
+GROUP BY ALL""",
+    "monthly_aggregates": f"""WITH {FACTS}
+SELECT CAST(YEAR(OrderDate) AS INTEGER) AS "Year", CAST(QUARTER(OrderDate) AS INTEGER) AS "Quarter",
+       CAST(MONTH(OrderDate) AS INTEGER) AS "Month", CAST(SUM(Sales) AS DECIMAL(38, 2)) AS TotalSales,
+       CAST(SUM(QuantityOrdered) AS BIGINT) AS TotalQuantity, CAST(SUM(Sales) AS DOUBLE) / COUNT(Sales) AS AverageSales,
+       MAX(Sales) AS MaxSales, COUNT(*) AS NumberOfRows, COUNT(DISTINCT ProductID) AS UniqueProducts
+FROM facts GROUP BY 1, 2, 3""",
+    "facts_with_product": f"""WITH {FACTS}
+SELECT f.* EXCLUDE (Sales), p.productName, p.supplierID FROM facts f JOIN product p ON f.ProductID = p.ProductID""",
+    "products_with_supplier": f"""WITH {PRODUCT}
+SELECT ProductID, productName, supplierID, s_name AS supplierName FROM product JOIN supplier ON supplierID = s_suppkey""",
+    "facts_with_customer": f"""WITH {FACTS}
+SELECT f.* EXCLUDE (Sales), c_name AS CustomerName, c_mktsegment AS Gender
+FROM facts f JOIN customer ON CustomerID = c_custkey""",
+    "products_with_store": f"""WITH {PRODUCT}
+SELECT ProductID, productName, supplierID, n_nationkey AS storeID, n_name AS storeName
+FROM product JOIN nation ON supplierID = n_nationkey""",
     "store_analysis_view": STORE_TOTALS,
     "supplier_performance_view": SUPPLIER_PERFORMANCE,
     "customer_store_sales_view": CUSTOMER_STORE_SALES,

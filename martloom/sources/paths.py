@@ -24,7 +24,8 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in file_system.listStatus(location)]
 
 
-def finished(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """Numbers N of the folders ``prefix=N`` under ``path`` whose write was completed."""
+def numbered(spark: SparkSession, path: str, prefix: str, after: int = -1, before: int | None = None) -> list[int]:
+    """Numbers N, in the open range, of the folders ``prefix=N`` under ``path`` whose write was completed."""
     numbers = [int(name.split("=", 1)[1]) for name in children(spark, path) if name.startswith(f"{prefix}=")]
-    return sorted(n for n in numbers if exists(spark, f"{path}/{prefix}={n}/_SUCCESS"))
+    in_range = sorted(n for n in numbers if n > after and (before is None or n < before))
+    return [n for n in in_range if exists(spark, f"{path}/{prefix}={n}/_SUCCESS")]

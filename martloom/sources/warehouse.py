@@ -19,7 +19,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from martloom.operators.load import insert_ignore, order_facts, product_order, reduce_batch, upsert
 from martloom.schemas import DIMENSION_KEYS, FACT_KEEP_FIRST, FACT_KEYS, FACT_TABLE, STAR, Star
-from martloom.sources.paths import exists, finished
+from martloom.sources.paths import numbered
 
 BATCH = "batch_id"
 ROWS = "_rows"
@@ -38,16 +38,21 @@ class Warehouse:
         return f"{self.root}/{table}/snapshot"
 
     def log(self, table: str, after: int = -1, before: int | None = None) -> DataFrame:
-        """Log rows with their batch number; the range prunes folders."""
+        """Rows of the finished passes in the open range, with their number.
+
+        Only those folders are listed, however many older ones are still there.
+        """
         schema = StructType([*self.schemas[table].fields, StructField(BATCH, LongType(), True)])
-        if not exists(self.spark, self.log_path(table)):
+        path = self.log_path(table)
+        passes = numbered(self.spark, path, BATCH, after, before)
+        if not passes:
             return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.schema(schema).parquet(self.log_path(table)).filter(F.col(BATCH) > after)
-        return rows if before is None else rows.filter(F.col(BATCH) < before)
+        folders = [f"{path}/{BATCH}={n}" for n in passes]
+        return self.spark.read.schema(schema).option("basePath", path).parquet(*folders)
 
     def snapshot(self, table: str) -> tuple[int, DataFrame]:
         """The newest finished snapshot and the last batch it holds (-1 if there is none)."""
-        done = finished(self.spark, self.snapshot_path(table), "upto")
+        done = numbered(self.spark, self.snapshot_path(table), "upto")
         if not done:
             return -1, self.spark.createDataFrame([], self.schemas[table])
         path = f"{self.snapshot_path(table)}/upto={done[-1]}"
@@ -102,7 +107,7 @@ class Warehouse:
         Facts are laid out by date, then order, so that a date range touches
         few files; the order number splits a date that holds many rows.
         """
-        done = finished(self.spark, self.log_path(FACT_TABLE), BATCH)
+        done = numbered(self.spark, self.log_path(FACT_TABLE), BATCH)
         if not done:
             return -1
         upto = done[-1]

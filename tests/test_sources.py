@@ -71,11 +71,11 @@ def test_create_tables_twice(spark, tmp_path):
     try:
         create_tables(spark, str(tmp_path))
         create_tables(spark, str(tmp_path))
-        spark.sql("INSERT INTO StoreDimension VALUES (1, 'x')")
+        spark.sql("INSERT INTO martloom_test.StoreDimension VALUES (1, 'x')")
         assert rows_of(spark.table("martloom_test.StoreDimension")) == [(1, "x")]
         assert spark.table("martloom_test.OrderFacts").schema == STAR["OrderFacts"]
         for name in STAR:
-            spark.sql(f"DROP TABLE {name}")
+            spark.sql(f"DROP TABLE martloom_test.{name}")
     finally:
         spark.sql("USE default")
         spark.sql("DROP DATABASE martloom_test")
