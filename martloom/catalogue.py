@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,7 @@ YEAR = 1997
 SUPPLIER = "Supplier#000000007"
 STORE = "NATION_3"
 RATIO = "2.05"
+SINCE = date(2001, 7, 26)
 HOUR = 3600
 # Bounds the work and the cached rows of one pass on tables of many files.
 FILES_PER_PASS = 1000
@@ -123,17 +125,14 @@ def enrich_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.enriched(spark, sf_dir).select(*ENRICHED_COLUMNS)
 
 
-def _newest(tx: DataFrame) -> DataFrame:
-    """The arrivals of the last day on file."""
-    return tx.filter(F.col("Order_Date") == tx.select(F.max("Order_Date")).scalar())
-
-
 def refresh_pending_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All transactions of the products that arrived since the given day."""
     tx = fixtures.transactions(spark, sf_dir)
     master = fixtures.raw_master(spark, sf_dir)
     # No more products can be pending and known than the master data has rows.
     small = fits_broadcast(master)
-    pending = enrich(pending_keys(_newest(tx)), master).select("ProductID")
+    arrived = tx.filter(F.col("Order_Date") >= F.lit(SINCE))
+    pending = enrich(pending_keys(arrived), master).select("ProductID")
     return refresh_keys(tx, F.broadcast(master) if small else master, pending, small).select(*ENRICHED_COLUMNS)
 
 
@@ -167,11 +166,12 @@ PASS = [FIRST_SEEN, *SEQ]
 FACT_COLUMNS = STAR["OrderFacts"].names
 
 
-def _pass(spark: SparkSession, sf_dir: str, line_status: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Lines and products of one pass: all transactions, or those of one line status."""
+def _pass(spark: SparkSession, sf_dir: str, fulfilled: bool | None = None) -> tuple[DataFrame, DataFrame]:
+    """Lines and products of one pass: all transactions, or those that are or are not fulfilled."""
     tx = fixtures.transactions(spark, sf_dir)
-    if line_status:
-        tx = tx.filter(F.col("LineStatus") == line_status)
+    if fulfilled is not None:
+        done = F.col("LineStatus").eqNullSafe("F")
+        tx = tx.filter(done if fulfilled else ~done)
     master = fixtures.raw_master(spark, sf_dir)
     # A pass has at most as many products as the master data has rows, and narrower ones.
     small = fits_broadcast(master)
@@ -187,9 +187,9 @@ def upsert_order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_order_facts_second_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fulfilled lines in a first pass, open lines upserted in a second."""
-    lines, _ = _pass(spark, sf_dir, "F")
+    lines, _ = _pass(spark, sf_dir, fulfilled=True)
     first = reduce_batch(order_facts(lines, PASS), FACT_COLUMNS, FACT_KEYS, PASS, FACT_KEEP_FIRST)
-    lines, _ = _pass(spark, sf_dir, "O")
+    lines, _ = _pass(spark, sf_dir, fulfilled=False)
     return upsert(first, order_facts(lines, PASS), FACT_KEYS, PASS, FACT_KEEP_FIRST)
 
 
@@ -199,8 +199,8 @@ def _load_dimension(name: str) -> Query:
     def load(spark: SparkSession, sf_dir: str) -> DataFrame:
         key, columns = DIMENSION_KEYS[name], STAR[name].names
         loaded = None
-        for status in ("F", "O"):
-            lines, described = _pass(spark, sf_dir, status)
+        for fulfilled in (True, False):
+            lines, described = _pass(spark, sf_dir, fulfilled)
             rows, order = (lines, PASS) if name == "CustomerDimension" else (described, product_order(described))
             if loaded is None:
                 loaded = reduce_batch(rows, columns, [key], order, keep_first=[c for c in columns if c != key])

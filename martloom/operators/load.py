@@ -114,10 +114,16 @@ def upsert(
 
 
 def insert_ignore(target: DataFrame, batch: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """The rows to append to ``target``: the earliest batch row of every key it lacks."""
+    """The rows to append to ``target``: the earliest batch row of every key it lacks.
+
+    The target is first reduced to the keys the batch asks for, which a small
+    batch does by broadcast, so that a large dimension is read but not shuffled.
+    """
     columns = target.columns
     earliest = reduce_batch(batch, columns, [key], order, keep_first=[c for c in columns if c != key])
-    return earliest.join(target.select(key), key, "left_anti").select(*columns)
+    asked = _with_keys(batch, [key]).select(key).distinct()
+    present = target.select(key).join(asked, key, "left_semi")
+    return earliest.join(present, key, "left_anti").select(*columns)
 
 
 def order_facts(enriched: DataFrame, carry: Sequence[str] = ()) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from martloom.catalogue import RATIO, STORE, SUPPLIER, YEAR
+from martloom.catalogue import RATIO, SINCE, STORE, SUPPLIER, YEAR
 
 PRODUCT = """product AS (
   SELECT p_partkey AS ProductID, p_name AS productName,
@@ -49,9 +49,8 @@ numbered AS (
   FROM joined),
 one_pass AS (SELECT *, MIN(seq) OVER (PARTITION BY ProductID) AS seen FROM numbered),
 two_passes AS (
-  SELECT *, MIN(seq) OVER (PARTITION BY LineStatus, ProductID) AS seen,
-         CASE LineStatus WHEN 'F' THEN 1 ELSE 2 END AS pass
-  FROM numbered)"""
+  SELECT *, MIN(seq) OVER (PARTITION BY pass, ProductID) AS seen
+  FROM (SELECT *, CASE LineStatus WHEN 'F' THEN 1 ELSE 2 END AS pass FROM numbered))"""
 
 
 def _upserted(rows: str, order: str) -> str:
@@ -228,7 +227,7 @@ UNION ALL {_count("StoreDimension", "nation")}""",
     "enrich_transactions": f"WITH {JOINED} SELECT {JOINED_COLUMNS} FROM joined",
     "refresh_pending_products": f"""WITH {JOINED}
 SELECT {JOINED_COLUMNS} FROM joined
-WHERE ProductID IN (SELECT ProductID FROM tx WHERE Order_Date = (SELECT MAX(Order_Date) FROM tx))""",
+WHERE ProductID IN (SELECT ProductID FROM tx WHERE Order_Date >= DATE '{SINCE}')""",
     "pending_product_keys": f"WITH {TX} SELECT DISTINCT ProductID FROM tx WHERE ProductID IS NOT NULL",
     # Empty on these tables: every part's supplier exists.
     "orphan_products": f"""WITH {PRODUCT}
