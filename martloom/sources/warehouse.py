@@ -90,7 +90,11 @@ class Warehouse:
         """
         for table, key in DIMENSION_KEYS.items():
             rows, position = (lines, order) if table == "CustomerDimension" else (described, product_order(described))
-            self._write(insert_ignore(self.table(table, before=batch_id), rows, key, position), table, batch_id)
+            # A stored dimension is first reduced to the keys asked for: a small
+            # pass is broadcast to it, so it is read but not shuffled.
+            asked = rows.select(key).distinct()
+            present = self.table(table, before=batch_id).join(asked, key, "left_semi")
+            self._write(insert_ignore(present, rows, key, position), table, batch_id)
         columns = self.schemas[FACT_TABLE].names
         facts = reduce_batch(order_facts(lines, order), columns, FACT_KEYS, order, FACT_KEEP_FIRST, rows=ROWS)
         if observation is not None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from decimal import Decimal
 
 import pytest
@@ -209,7 +210,7 @@ def test_master_stream_rate_and_arrival_log(spark, tmp_path):
         assert spark.table("master_arrivals").first()["count"] == 3
         deadline = dt.datetime.now() + dt.timedelta(seconds=20)
         while not any("stopped" in line for line in lines) and dt.datetime.now() < deadline:
-            pass
+            time.sleep(0.1)
     finally:
         spark.streams.removeListener(listener)
     assert any("3 rows" in line for line in lines)
