@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -45,11 +46,20 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "mar
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder name under the shared folder in ``spark.checkpoint.dir``.
+    """A fresh folder name under the shared folder of the session.
 
-    Falls back to a local temporary folder only where that setting is absent,
-    as on a developer machine.
+    That folder is ``spark.checkpoint.dir``, or else the one given to
+    ``setCheckpointDir``. Only a session whose executors run inside the driver
+    may do without either and gets a temporary folder; elsewhere every executor
+    would write to its own disk, so this raises.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="martloom-")
-    stamp = uuid.uuid4()
-    return f"{base.rstrip('/')}/{name}-{stamp}"
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        given = context._jsc.sc().getCheckpointDir()
+        base = given.get() if given.isDefined() else None
+    if not base and re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        base = tempfile.mkdtemp(prefix="martloom-")
+    if not base:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4()}"
