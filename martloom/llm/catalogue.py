@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martloom.llm import simhash
+from martloom.llm import decontamination, quality, secret_scan, simhash
+from martloom.llm.oracle import ORACLE_SQL  # noqa: F401
 from martloom.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,7 +18,25 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.with_quality(documents, table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(quality.remainder() == 2, F.lit(False)).alias("held_out")
+    predicted = (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out, "score", predicted)
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op4_decontamination": op4_decontamination,
+    "op5_quality": op5_quality,
+    "op7_secrets": op7_secrets,
 }
-ORACLE_SQL: dict[str, str] = {}
