@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import decontamination, quality, secret_scan, simhash
+from martloom.llm import decontamination, quality, secret_scan, sentencepiece_codec, simhash
 from martloom.llm.oracle import ORACLE_SQL  # noqa: F401
 from martloom.llm.shared import table
 
@@ -18,6 +18,18 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document the number of pieces, a digest of their ids, parity, and whether decoding gives the text back."""
+    coded = sentencepiece_codec.with_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return coded.select(
+        "doc_id",
+        F.size("pieces.ids").cast("long").alias("n_pieces"),
+        F.lower(F.lpad(F.hex(F.xxhash64("pieces.ids")), 16, "0")).alias("ids_hash"),
+        "pieces.parity",
+        (F.col("pieces.decoded") == F.replace("text", F.lit(sentencepiece_codec.SPACE), F.lit(" "))).alias("round_trip"),
+    )
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -36,6 +48,7 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op2_sentencepiece": op2_sentencepiece,
     "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
     "op7_secrets": op7_secrets,

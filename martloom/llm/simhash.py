@@ -144,3 +144,16 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, max_bits: int
     return prints.join(names, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def representatives(documents: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """``documents`` without near-duplicates: of each group the document of the smallest ``doc_id`` stays.
+
+    Rows with the same ``doc_id`` are one document, of which one row stays. Rows
+    whose ``doc_id`` is NULL cannot be named by a group and stay as they are.
+    All columns are kept.
+    """
+    groups = near_duplicates(documents, shingle, max_bits)
+    first = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    kept = documents.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(documents.filter(F.col("doc_id").isNull()))

@@ -1,0 +1,71 @@
+from __future__ import annotations
+
+import re
+
+import sentencepiece
+
+import corpus_pipeline
+from martloom.llm import quality
+from martloom.llm.catalogue import op5_quality
+from martloom.llm.sentencepiece_codec import MODEL
+from test_decontamination import plain
+from test_secret_scan import ASSIGN, plain_entropy_spans
+from test_simhash import plain_components, plain_fingerprint
+
+SF = "/root/testdata/sf0.001"
+
+
+def masked(text):
+    spans = [m.span() for m in ASSIGN.finditer(text) if len(m.group(2)) >= 6]
+    spans += [m.span() for m in re.finditer("AKIA[A-Z0-9]{16,}|[0-9a-f]{24,}", text)] + plain_entropy_spans(text)
+    out, at, end = [], 0, -1
+    for a, b in sorted(spans):
+        if a > end:
+            out += [text[at:a], "[SECRET]"]
+        at = end = max(end, b)
+    return "".join([*out, text[at:]])
+
+
+def test_every_stage_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, rows = docs.columns, {r.doc_id: r.text for r in docs.collect()}
+    good = {r.doc_id for r in op5_quality(spark, SF).collect() if r.score >= quality.THRESHOLD}
+    stages = []
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF)
+        stages.append((docs.columns, {r.doc_id: r for r in docs.collect()}))
+    assert all(names == columns for names, _ in stages[:-1])
+    assert set(stages[0][1]) == good and 0 < len(good) < len(rows)
+    prints = {d: plain_fingerprint(rows[d]) for d in good}
+    roots = plain_components(prints, lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 2)
+    firsts = {d for d in good if roots[d] == d}
+    assert set(stages[1][1]) == firsts and len(firsts) < len(good)
+    items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    clean = {d for d in firsts if not plain(rows[d], items)}
+    assert set(stages[2][1]) == clean and len(clean) < len(firsts)
+    texts = {d: masked(rows[d]) for d in clean}
+    assert {d: r.text for d, r in stages[3][1].items()} == texts
+    original = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    for d, r in stages[4][1].items():
+        assert r.token_ids == original.encode(texts[d]) and r.n_tokens == len(r.token_ids) and r.parity
+        assert r.decoded == texts[d]
+    assert set(stages[4][1]) == clean
+
+
+def test_stages_take_nulls_repeats_and_no_rows(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, decoded string, secrets string"
+    rows = [(1, "a b c d", None, None, None, "x", "y")] * 2 + [(None, None, None, None, None, None, None), (2, "", "", "", 0, "", "")]
+    for given in (rows, []):
+        docs = spark.createDataFrame(given, schema)
+        for _, stage in corpus_pipeline.STAGES[1:4]:
+            docs = stage(spark, docs, SF)
+            assert docs.columns == [f.split()[0] for f in schema.split(", ")]
+        assert sorted((r.doc_id for r in docs.collect()), key=repr) == ([1, 2, None] if given else [])
+        last = corpus_pipeline.sentencepiece_encoding(spark, docs, SF).collect()
+        assert sorted(r.n_tokens for r in last) == ([0, 0, 4] if given else [])
+
+
+def test_run_applies_all_stages(spark):
+    got = corpus_pipeline.run(spark, SF)
+    assert got.columns[-4:] == ["token_ids", "n_tokens", "decoded", "parity"]
+    assert got.count() > 0
