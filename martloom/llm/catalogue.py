@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import decontamination, quality, secret_scan, sentencepiece_codec, simhash
+from martloom.llm import (
+    decontamination,
+    language_id,
+    quality,
+    secret_scan,
+    sentencepiece_codec,
+    simhash,
+    token_counts,
+)
 from martloom.llm.oracle import ORACLE_SQL  # noqa: F401
 from martloom.llm.shared import table
 
@@ -30,6 +38,10 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -46,10 +58,17 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.with_token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return counted.select("doc_id", "tokens.n_words", "tokens.n_tokens", "tokens.n_unknown")
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_language_id": op3_language_id,
     "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
     "op7_secrets": op7_secrets,
+    "op8_token_counts": op8_token_counts,
 }

@@ -183,7 +183,9 @@ def sample(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) ->
         for texts in batches:
             yield pd.Series([features_of(text, codes) for text in texts])
 
-    found = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # Of rows that repeat a number, a single text counts.
+    rows_of = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    found = rows_of.groupBy("doc_id", "quality", "aside").agg(F.min("text").alias("text"))
     return found.select("doc_id", places("text").alias("places"), (F.col("quality") > 0).alias("good"), "aside")
 
 
