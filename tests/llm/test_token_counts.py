@@ -13,7 +13,7 @@ def greedy(word, vocabulary, continuing=""):
     longest = max(map(len, vocabulary)) if len(vocabulary) < 99 else 128
     while at < len(word):
         mark = continuing if at else ""
-        ends = [b for b in range(min(len(word), at + longest), at, -1) if mark + word[at:b] in vocabulary]
+        ends = [b for b in range(min(len(word), at + longest), at, -1) if mark + word[at:b] in vocabulary and (at or not continuing or not word.startswith(continuing))]
         if not ends:
             return -1
         at, count = ends[0], count + 1
