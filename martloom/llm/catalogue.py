@@ -15,6 +15,7 @@ from martloom.llm import (
     sentencepiece_codec,
     simhash,
     token_counts,
+    warc,
 )
 from martloom.llm.oracle import ORACLE_SQL  # noqa: F401
 from martloom.llm.shared import table
@@ -54,6 +55,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "score", predicted)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -69,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op3_language_id": op3_language_id,
     "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
+    "op6_warc": op6_warc,
     "op7_secrets": op7_secrets,
     "op8_token_counts": op8_token_counts,
 }

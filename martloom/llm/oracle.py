@@ -34,6 +34,28 @@ FROM shared JOIN sizes USING (item_id)
 WHERE matched >= 0.8 * shingles
 """
 
+# Base32 of the SHA-1, five bits at a time.
+WARC = """
+WITH bodies AS (
+    SELECT page_id, encode(coalesce(html, '')) AS body FROM pages
+), firsts AS (
+    SELECT body, min(page_id) AS first_id FROM bodies GROUP BY body
+), told AS (
+    SELECT page_id, body, first_id, first_id IS NOT NULL AND (page_id IS NULL OR page_id > first_id) AS again,
+           CAST(CAST(unhex(sha1(body)) AS BIT) AS VARCHAR) AS bits
+    FROM bodies JOIN firsts USING (body)
+)
+SELECT page_id, octet_length(body) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + 16 * CAST(substr(bits, 5 * i + 1, 1) AS INT) + 8 * CAST(substr(bits, 5 * i + 2, 1) AS INT)
+             + 4 * CAST(substr(bits, 5 * i + 3, 1) AS INT) + 2 * CAST(substr(bits, 5 * i + 4, 1) AS INT)
+             + CAST(substr(bits, 5 * i + 5, 1) AS INT), 1) FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN first_id END AS refers_to
+FROM told
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op4_decontamination": DECONTAMINATION,
+    "op6_warc": WARC,
 }
