@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from martloom.llm import (
     decontamination,
     language_id,
+    neighbours,
     quality,
     secret_scan,
     sentencepiece_codec,
@@ -68,6 +69,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "tokens.n_words", "tokens.n_tokens", "tokens.n_unknown")
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_sentencepiece": op2_sentencepiece,
@@ -77,4 +82,5 @@ QUERIES: dict[str, Query] = {
     "op6_warc": op6_warc,
     "op7_secrets": op7_secrets,
     "op8_token_counts": op8_token_counts,
+    "op9_neighbours": op9_neighbours,
 }
