@@ -11,6 +11,7 @@ from martloom.llm import (
     decontamination,
     language_id,
     neighbours,
+    pii,
     quality,
     secret_scan,
     sentencepiece_codec,
@@ -73,6 +74,15 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+# A deployment gives a secret of its own.
+SURROGATE_KEY = "martloom"
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced = pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY)
+    return replaced.select("doc_id", F.size("entities").cast("long").alias("n_entities"), "text")
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_sentencepiece": op2_sentencepiece,
@@ -83,4 +93,5 @@ QUERIES: dict[str, Query] = {
     "op7_secrets": op7_secrets,
     "op8_token_counts": op8_token_counts,
     "op9_neighbours": op9_neighbours,
+    "op10_pii": op10_pii,
 }
