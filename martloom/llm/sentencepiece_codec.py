@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import os
+import re
 import struct
+from collections import ChainMap
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +22,10 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 # Characters encoded at once; the pieces of so many are in memory together.
 CHARACTERS = 1 << 19
 SPACE = "▁"
+# A word with the spaces before it, or spaces at the end.
+_CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+# Words kept per worker process, and the longest that is.
+_MEMO, _LONGEST = 250_000, 48
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
 CODED = "struct<ids:array<int>,decoded:string,parity:boolean>"
@@ -110,9 +118,17 @@ def merges_of(pieces: list[tuple[str, float, int]]) -> list[tuple[str, str]]:
     return [(pieces[a][0], pieces[b][0]) for _, a, b in sorted(splits)]
 
 
+def _decoder(drops: int = 0):
+    """Pieces to text, without as many spaces in front."""
+    from tokenizers import decoders
+
+    back = [decoders.Replace(SPACE, " "), decoders.ByteFallback(), decoders.Fuse()]
+    return decoders.Sequence(back + [decoders.Strip(" ", drops, 0)] * bool(drops))
+
+
 def rebuild(model: Model):
     """A ``tokenizers.Tokenizer`` that does what the model does."""
-    from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers
+    from tokenizers import AddedToken, Regex, Tokenizer, models, normalizers
 
     if model.algorithm not in (UNIGRAM, BPE):
         raise ValueError("only unigram and BPE models are supported")
@@ -139,10 +155,8 @@ def rebuild(model: Model):
         steps.append(normalizers.Prepend(mark))
     steps.append(normalizers.Replace(" ", mark))
     tokenizer.normalizer = normalizers.Sequence(steps)
-    back = [decoders.Replace(SPACE, " "), decoders.ByteFallback(), decoders.Fuse()]
     # The original drops the space that it put before a text, or all in front where it trims.
-    front = [decoders.Strip(" ", 1 << 20 if model.trims_spaces else 1, 0)] * (model.dummy_prefix or model.trims_spaces)
-    tokenizer.decoder = decoders.Sequence(back + front)
+    tokenizer.decoder = _decoder((1 << 20) * model.trims_spaces or int(model.dummy_prefix))
     own = [AddedToken(piece, normalized=False) for piece, _, kind in model.pieces if kind == USER]
     if own:
         tokenizer.add_tokens(own)
@@ -150,7 +164,13 @@ def rebuild(model: Model):
 
 
 class Codec:
-    """A model rebuilt, with the original library beside it to verify parity."""
+    """A model rebuilt, with the original library beside it to verify parity.
+
+    If no piece goes on with a space mark after another letter, no piece can reach
+    over the start of a word, and a text's ids are those of its words in turn.
+    Words are then encoded and verified once each, in batches, and kept within a
+    bound; other models, and very long words, are encoded as a whole each time.
+    """
 
     def __init__(self, data: bytes, threads: int = 1) -> None:
         # Read when the library first makes its threads, in this worker process.
@@ -162,26 +182,67 @@ class Codec:
         self.model = parse(data)
         self.tokenizer = rebuild(self.model)
         self.original = SentencePieceProcessor(model_proto=data)
-
-    def encode(self, texts: list[str]) -> list[tuple[list[int], bool]]:
-        """Ids of each text, and whether both libraries agree.
-
-        Where they do not, the ids are those of the original: it settles ties
+        matched = [piece for piece, _, kind in self.model.pieces if kind in (NORMAL, USER)]
+        self.by_word = self.model.escapes_spaces and not any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in matched)
+        # The same without normaliser and without dropping the space in front.
+        self.inner = rebuild(self.model)
+        self.inner.normalizer = None
+        self.inner.decoder = _decoder()
+        self.known: dict[str, tuple[tuple[int, ...], str, bool]] = {}
+
+    def _encoded(self, chunks: list[str]) -> list[tuple[tuple[int, ...], str, bool]]:
+        """Ids, decoded text and parity of normalised pieces of text.
+
+        Where the libraries differ, the ids are the original's: it settles ties
         between equal pieces by place, which ranks of merges cannot express.
         """
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        found = [e.ids for e in self.inner.encode_batch_fast(chunks, add_special_tokens=False)]
+        prefix = SPACE if self.model.dummy_prefix else ""
+        # Marks stay as they are: both libraries read a mark as the space it stands for.
+        texts = [chunk.removeprefix(prefix) for chunk in chunks]
         original = self.original.encode(texts, num_threads=self.threads)
-        return [(b, a == b) for a, b in zip(found, original)]
+        if prefix and prefix in chunks:  # a lone mark is no text that the original could be given
+            mark = self.original.piece_to_id(prefix)
+            original[chunks.index(prefix)] = [mark] if mark != self.model.unknown else found[chunks.index(prefix)]
+        decoded = self.inner.decode_batch(original, skip_special_tokens=False)
+        return [(tuple(b), text, a == b) for a, b, text in zip(found, original, decoded)]
+
+    def _learn(self, chunks: list[str]) -> dict[str, tuple[tuple[int, ...], str, bool]]:
+        """Results by chunk; those of short ones are kept."""
+        fresh = [c for c in dict.fromkeys(chunks) if c not in self.known]
+        if not fresh:
+            return self.known
+        new = dict(zip(fresh, self._encoded(fresh)))
+        kept = {c: r for c, r in new.items() if len(c) <= _LONGEST}
+        if len(self.known) + len(kept) > _MEMO:
+            new |= {c: self.known[c] for c in dict.fromkeys(chunks) if c in self.known}
+            self.known = {}
+        self.known |= kept
+        return ChainMap(new, self.known) if len(kept) < len(new) or len(new) > len(fresh) else self.known
+
+    def code(self, texts: list[str]) -> list[tuple[np.ndarray, str, bool]]:
+        """Ids, the text they stand for, and whether both libraries agree, for each text."""
+        normalise = self.tokenizer.normalizer.normalize_str
+        split = _CHUNK.findall if self.by_word else lambda text: [text] * bool(text)
+        lists = [split(normalise(text)) if text else [] for text in texts]
+        known, out = self._learn([c for chunks in lists for c in chunks]), []
+        for chunks in lists:
+            parts = [known[c] for c in chunks]
+            ids = np.fromiter(chain.from_iterable([p[0] for p in parts]), np.int32)
+            out.append((ids, self._stripped("".join([p[1] for p in parts])), all([p[2] for p in parts])))
+        return out
+
+    def _stripped(self, decoded: str) -> str:
+        if self.model.trims_spaces:
+            return decoded.lstrip(" ")
+        return decoded.removeprefix(" ") if self.model.dummy_prefix else decoded
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
 
     def normalised(self, text: str) -> str:
         """What decoding gives back: the text as the model normalises it."""
-        marked = self.tokenizer.normalizer.normalize_str(text).replace(SPACE, " ")
-        if self.model.trims_spaces:
-            return marked.lstrip(" ")
-        return marked.removeprefix(" ") if self.model.dummy_prefix else marked
+        return self._stripped(self.tokenizer.normalizer.normalize_str(text).replace(SPACE, " "))
 
 
 @lru_cache(maxsize=4)
@@ -222,10 +283,8 @@ def coded(text: Column, spark, path: str = MODEL) -> Column:
             texts = [None if text is None else str(text) for text in batch]
             out: list[tuple] = [(None, None, None)] * len(texts)
             for portion in portions(texts):
-                pairs = own.encode([texts[i] for i in portion])
-                decoded = own.decode([ids for ids, _ in pairs])
-                for i, (ids, same), back in zip(portion, pairs, decoded):
-                    out[i] = (ids, back, same)
+                for i, coded_text in zip(portion, own.code([texts[i] for i in portion])):
+                    out[i] = coded_text
             yield pd.DataFrame(out, columns=["ids", "decoded", "parity"], dtype=object)
 
     return both(text)

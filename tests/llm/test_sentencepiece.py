@@ -7,6 +7,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
+from martloom.llm import sentencepiece_codec
 from martloom.llm.catalogue import op2_sentencepiece
 from martloom.llm.sentencepiece_codec import MODEL, Codec, decode, fields, parse, portions, with_pieces
 
@@ -52,20 +53,33 @@ def test_unigram_models_encode_as_the_original(fallback, trims):
     codec, original = Codec(data), sentencepiece.SentencePieceProcessor(model_proto=data)
     assert codec.model.algorithm == 1 and codec.model.byte_fallback == fallback
     for text in samples():
-        (ids, same), = codec.encode([text])
-        assert same and ids == original.encode(text), repr(text)
+        (ids, decoded, same), = codec.code([text])
+        assert same and ids.tolist() == original.encode(text) and codec.by_word, repr(text)
         if fallback:
-            assert codec.decode([ids])[0] == codec.normalised(text) == original.decode(ids)
+            assert decoded == codec.decode([ids.tolist()])[0] == codec.normalised(text) == original.decode(ids.tolist())
 
 
-def test_byte_pair_model_encodes_as_the_original(spark):
+def test_byte_pair_model_encodes_as_the_original(spark, monkeypatch):
     with open(MODEL, "rb") as file:
         codec = Codec(file.read())
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
     texts += [*samples(), "a" * 5000, "==" * 999, "aaaa aa aaa " * 50]
-    for text, (ids, same) in zip(texts, codec.encode(texts)):
-        assert same, text[:80]
-        assert codec.decode([ids])[0] == text.replace("▁", " ")
+    original = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    monkeypatch.setattr(sentencepiece_codec, "_MEMO", 5000)
+    for i in range(0, len(texts), 100):
+        for text, (ids, decoded, same) in zip(texts[i : i + 100], codec.code(texts[i : i + 100])):
+            assert same and ids.tolist() == original.encode(text), text[:80]
+            assert decoded == codec.decode([ids.tolist()])[0] == text.replace("▁", " ")
+    assert codec.by_word and 0 < len(codec.known) <= 5000
+
+
+def test_a_model_whose_pieces_span_words_is_encoded_whole():
+    data = unigram() + field(1, field(1, "c▁a".encode()) + field(2, -0.5) + field(3, 1))
+    codec, original = Codec(data), sentencepiece.SentencePieceProcessor(model_proto=data)
+    assert not codec.by_word
+    for text in samples():
+        (ids, decoded, same), = codec.code([text])
+        assert ids.tolist() == original.encode(text) and decoded == original.decode(ids.tolist())
 
 
 def test_broken_and_unsupported_models():
