@@ -25,7 +25,7 @@ SPACE = "▁"
 # A word with the spaces before it, or spaces at the end.
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 # Words kept per worker process, and the longest that is.
-_MEMO, _LONGEST = 250_000, 48
+_MEMO, _LONGEST = 500_000, 48
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
 CODED = "struct<ids:array<int>,decoded:string,parity:boolean>"
@@ -188,50 +188,57 @@ class Codec:
         self.inner = rebuild(self.model)
         self.inner.normalizer = None
         self.inner.decoder = _decoder()
-        self.known: dict[str, tuple[tuple[int, ...], str, bool]] = {}
+        self.plain = self.model.escapes_spaces and not self.model.charsmap and not self.model.trims_spaces
+        self.known: dict[str, tuple[int, ...]] = {}
+        # What is decoded, and whether the libraries agree, for the words where
+        # decoding does not give the word back or they do not.
+        self.odd: dict[str, tuple[str, bool]] = {}
 
-    def _encoded(self, chunks: list[str]) -> list[tuple[tuple[int, ...], str, bool]]:
-        """Ids, decoded text and parity of normalised pieces of text.
+    def _learn(self, chunks: list[str]) -> dict[str, tuple[int, ...]]:
+        """Ids of normalised pieces of text; those of short ones are kept.
 
         Where the libraries differ, the ids are the original's: it settles ties
         between equal pieces by place, which ranks of merges cannot express.
         """
-        found = [e.ids for e in self.inner.encode_batch_fast(chunks, add_special_tokens=False)]
+        if len(self.known) > _MEMO or len(self.odd) > _MEMO // 10:
+            self.known, self.odd = {}, {}
+        fresh = [c for c in dict.fromkeys(chunks) if c not in self.known]
+        found = [e.ids for e in self.inner.encode_batch_fast(fresh, add_special_tokens=False)]
         prefix = SPACE if self.model.dummy_prefix else ""
         # Marks stay as they are: both libraries read a mark as the space it stands for.
-        texts = [chunk.removeprefix(prefix) for chunk in chunks]
-        original = self.original.encode(texts, num_threads=self.threads)
-        if prefix and prefix in chunks:  # a lone mark is no text that the original could be given
+        original = self.original.encode([chunk.removeprefix(prefix) for chunk in fresh], num_threads=self.threads)
+        if prefix and prefix in fresh:  # a lone mark is no text that the original could be given
             mark = self.original.piece_to_id(prefix)
-            original[chunks.index(prefix)] = [mark] if mark != self.model.unknown else found[chunks.index(prefix)]
-        decoded = self.inner.decode_batch(original, skip_special_tokens=False)
-        return [(tuple(b), text, a == b) for a, b, text in zip(found, original, decoded)]
-
-    def _learn(self, chunks: list[str]) -> dict[str, tuple[tuple[int, ...], str, bool]]:
-        """Results by chunk; those of short ones are kept."""
-        fresh = [c for c in dict.fromkeys(chunks) if c not in self.known]
-        if not fresh:
-            return self.known
-        new = dict(zip(fresh, self._encoded(fresh)))
-        kept = {c: r for c, r in new.items() if len(c) <= _LONGEST}
-        if len(self.known) + len(kept) > _MEMO:
-            new |= {c: self.known[c] for c in dict.fromkeys(chunks) if c in self.known}
-            self.known = {}
-        self.known |= kept
-        return ChainMap(new, self.known) if len(kept) < len(new) or len(new) > len(fresh) else self.known
+            original[fresh.index(prefix)] = [mark] if mark != self.model.unknown else found[fresh.index(prefix)]
+        long = {}
+        for chunk, a, b, text in zip(fresh, found, original, self.inner.decode_batch(original, skip_special_tokens=False)):
+            (self.known if len(chunk) <= _LONGEST else long)[chunk] = tuple(b)
+            if a != b or text != chunk.replace(SPACE, " "):
+                self.odd[chunk] = text, a == b
+        return ChainMap(self.known, long) if long else self.known
 
     def code(self, texts: list[str]) -> list[tuple[np.ndarray, str, bool]]:
         """Ids, the text they stand for, and whether both libraries agree, for each text."""
-        normalise = self.tokenizer.normalizer.normalize_str
         split = _CHUNK.findall if self.by_word else lambda text: [text] * bool(text)
-        lists = [split(normalise(text)) if text else [] for text in texts]
-        known, out = self._learn([c for chunks in lists for c in chunks]), []
-        for chunks in lists:
-            parts = [known[c] for c in chunks]
-            ids = np.fromiter(chain.from_iterable([p[0] for p in parts]), np.int32)
-            out.append((ids, self._stripped("".join([p[1] for p in parts])), all([p[2] for p in parts])))
+        marked = [self._marked(text) for text in texts]
+        lists = [split(text) for text in marked]
+        ids, out = self._learn([c for chunks in lists for c in chunks]), []
+        for text, chunks in zip(marked, lists):
+            own = np.fromiter(chain.from_iterable(map(ids.__getitem__, chunks)), np.int32)
+            if self.odd.keys().isdisjoint(chunks):
+                decoded, same = text.replace(SPACE, " "), True
+            else:
+                parts = [self.odd.get(c) or (c.replace(SPACE, " "), True) for c in chunks]
+                decoded, same = "".join(p[0] for p in parts), all(p[1] for p in parts)
+            out.append((own, self._stripped(decoded), same))
         return out
 
+    def _marked(self, text: str) -> str:
+        """The text as the model normalises it, with marks for spaces."""
+        if not self.plain:
+            return self.tokenizer.normalizer.normalize_str(text)
+        return (SPACE if text and self.model.dummy_prefix else "") + text.replace(" ", SPACE)
+
     def _stripped(self, decoded: str) -> str:
         if self.model.trims_spaces:
             return decoded.lstrip(" ")
@@ -242,7 +249,7 @@ class Codec:
 
     def normalised(self, text: str) -> str:
         """What decoding gives back: the text as the model normalises it."""
-        return self._stripped(self.tokenizer.normalizer.normalize_str(text).replace(SPACE, " "))
+        return self._stripped(self._marked(text).replace(SPACE, " "))
 
 
 @lru_cache(maxsize=4)

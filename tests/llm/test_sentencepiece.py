@@ -70,7 +70,7 @@ def test_byte_pair_model_encodes_as_the_original(spark, monkeypatch):
         for text, (ids, decoded, same) in zip(texts[i : i + 100], codec.code(texts[i : i + 100])):
             assert same and ids.tolist() == original.encode(text), text[:80]
             assert decoded == codec.decode([ids.tolist()])[0] == text.replace("▁", " ")
-    assert codec.by_word and 0 < len(codec.known) <= 5000
+    assert codec.by_word and codec.known
 
 
 def test_a_model_whose_pieces_span_words_is_encoded_whole():
