@@ -188,10 +188,14 @@ def word_counts(documents: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     Documents are ranked in each language by a hash of their number, and taken by
     rank, so that no language crowds out another.
     """
-    known = documents.filter(F.col("lang").isNotNull() & (remainder() != 2))
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ranked = known.select("doc_id", "lang").withColumn("rank", F.row_number().over(by_hash)).filter(F.col("rank") <= rows)
-    chosen = ranked.orderBy("rank", "lang").limit(rows).select("doc_id", "lang").distinct()
+    known = documents.filter(F.col("lang").isNotNull() & (remainder() != 2)).select("doc_id", "lang").distinct()
+    mark = F.xxhash64("doc_id")
+    # A language may hold any share of the documents, so it is first ranked in parts.
+    parts = Window.partitionBy("lang", "part").orderBy(mark, "doc_id")
+    dealt = known.withColumn("part", F.pmod(F.hash("doc_id"), F.lit(256))).withColumn("rank", F.row_number().over(parts))
+    whole = Window.partitionBy("lang").orderBy(mark, "doc_id")
+    ranked = dealt.filter(F.col("rank") <= rows).withColumn("rank", F.row_number().over(whole)).filter(F.col("rank") <= rows)
+    chosen = ranked.orderBy("rank", "lang").limit(rows).select("doc_id", "lang")
 
     @F.pandas_udf("array<string>")
     def words(texts: pd.Series) -> pd.Series:
