@@ -53,13 +53,15 @@ def reduce_batch(
     order: Sequence[str],
     keep_first: Sequence[str] = (),
     rows: str | None = None,
+    span: tuple[str, str] | None = None,
 ) -> DataFrame:
     """One row per key: ``keep_first`` columns of its earliest row, the others of its latest.
 
     ``order`` must be free of NULLs and of ties between differing rows. NULL
     keys cannot be stored and are left out. ``rows`` names an extra column with
-    the number of rows behind each key. Being an aggregate, it combines rows
-    before the shuffle however often one key occurs.
+    the number of rows behind each key, ``span`` two with the order of its
+    earliest and latest row. Being an aggregate, it combines rows before the
+    shuffle however often one key occurs.
     """
     follow = [c for c in columns if c not in keys and c not in keep_first]
     picks = [
@@ -67,14 +69,17 @@ def reduce_batch(
         for pick, chosen, name in ((F.min_by, keep_first, "_first"), (F.max_by, follow, "_last"))
         if chosen
     ]
+    extra = []
     if rows:
-        picks.append(F.count("*").alias(rows))
+        extra.append(F.count("*").alias(rows))
+    if span:
+        extra += [F.min(F.struct(*order)).alias(span[0]), F.max(F.struct(*order)).alias(span[1])]
     unpacked = {c: F.col(f"_first.{c}") for c in keep_first} | {c: F.col(f"_last.{c}") for c in follow}
     return (
         _with_keys(batch, keys)
         .groupBy(*keys)
-        .agg(*picks)
-        .select(*[unpacked.get(c, F.col(c)).alias(c) for c in columns], *([rows] if rows else []))
+        .agg(*picks, *extra)
+        .select(*[unpacked.get(c, F.col(c)).alias(c) for c in columns], *([rows] if rows else []), *(span or ()))
     )
 
 
@@ -113,6 +118,35 @@ def upsert(
     return untouched.select(*columns).unionByName(fresh.select(*columns))
 
 
+def merge_facts(
+    stored: DataFrame, arrived: DataFrame, keys: Sequence[str], keep_first: Sequence[str], span: tuple[str, str]
+) -> DataFrame:
+    """Facts of two sources as if all rows behind them had been reduced at once.
+
+    Both carry in ``span`` the order of the earliest and latest row behind each
+    fact, so it does not matter how rows were dealt to them: ``keep_first``
+    columns follow the earlier, the others the later. Stored rows without a
+    match pass through an anti join, so that a small ``arrived`` is broadcast
+    and filters on the result still reach the stored files.
+    """
+    columns = stored.columns
+    follow = [c for c in columns if c not in keys and c not in keep_first and c not in span]
+    touched = arrived.select(*keys).distinct()
+    both = stored.join(touched, list(keys), "left_semi").select(*columns).unionByName(arrived.select(*columns))
+    merged = (
+        both.groupBy(*keys)
+        .agg(
+            F.min_by(F.struct(*keep_first), span[0]).alias("_first_row"),
+            F.max_by(F.struct(*follow), span[1]).alias("_last_row"),
+            F.min(span[0]).alias(span[0]),
+            F.max(span[1]).alias(span[1]),
+        )
+        .select(*keys, "_first_row.*", "_last_row.*", *span)
+    )
+    untouched = stored.join(touched, list(keys), "left_anti")
+    return untouched.select(*columns).unionByName(merged.select(*columns))
+
+
 def insert_ignore(target: DataFrame, batch: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """The rows to append to ``target``: the earliest batch row of every key it lacks."""
     columns = target.columns

@@ -24,8 +24,29 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in file_system.listStatus(location)]
 
 
-def numbered(spark: SparkSession, path: str, prefix: str, after: int = -1, before: int | None = None) -> list[int]:
-    """Numbers N, in the open range, of the folders ``prefix=N`` under ``path`` whose write was completed."""
-    numbers = [int(name.split("=", 1)[1]) for name in children(spark, path) if name.startswith(f"{prefix}=")]
-    in_range = sorted(n for n in numbers if n > after and (before is None or n < before))
-    return [n for n in in_range if exists(spark, f"{path}/{prefix}={n}/_SUCCESS")]
+def read_text(spark: SparkSession, path: str) -> str:
+    file_system, location = _locate(spark, path)
+    stream = file_system.open(location)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file so that a reader sees it whole or not at all."""
+    file_system, location = _locate(spark, path)
+    partial = location.suffix(".partial")
+    stream = file_system.create(partial, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    file_system.delete(location, False)
+    if not file_system.rename(partial, location):
+        raise OSError(f"could not rename {partial} to {location}")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    file_system, location = _locate(spark, path)
+    file_system.delete(location, True)

@@ -1,70 +1,119 @@
-"""The five warehouse tables on plain Parquet.
+"""The five warehouse tables on plain Parquet, with a manifest per pass.
 
-Every pass writes its own ``log/batch_id=N`` folder per table, so a pass that
-is retried replaces itself and nothing is ever overwritten while it is read.
-Reading merges the newest snapshot with the log folders after it; compaction
-writes that state as the next snapshot.
+Every write goes to a folder of its own, and a pass counts once its manifest is
+there: a small file, written last and renamed into place, that names all
+folders the tables consist of. Readers follow the newest manifest alone, so they
+list nothing else, need no marker files, and never see part of a pass.
 
-    <root>/<table>/log/batch_id=N
-    <root>/<table>/snapshot/upto=N
+    <root>/_manifests/<pass>.json
+    <root>/<table>/log/<pass>-<id>          rows of one pass
+    <root>/<table>/part/<pass>-<id>[/OrderYear=Y]   compacted rows
+
+A fact carries the order of the earliest and the latest transaction behind it,
+so facts of several passes combine to what one pass over all would give.
 """
 
 from __future__ import annotations
 
+import json
+import re
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from martloom.operators.load import insert_ignore, order_facts, product_order, reduce_batch, upsert
+from martloom.operators.load import insert_ignore, merge_facts, order_facts, product_order, reduce_batch
 from martloom.schemas import DIMENSION_KEYS, FACT_KEEP_FIRST, FACT_KEYS, FACT_TABLE, STAR, Star
-from martloom.sources.paths import numbered
+from martloom.sources.paths import children, delete, read_text, write_text
 
-BATCH = "batch_id"
 ROWS = "_rows"
+SPAN = ("_earliest", "_latest")
+BY_PASS = StructType([StructField("pass", LongType())])
+YEAR = "OrderYear"
+# Passes for which replaced folders and old manifests stay for readers that began before.
+GRACE = 100
+# Compacted folders of a dimension that are joined into one when there are more.
+PARTS = 8
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, StructType] | None = None):
+    def __init__(
+        self, spark: SparkSession, root: str, schemas: dict[str, StructType] | None = None, grace: int = GRACE
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schemas = schemas or STAR
-
-    def log_path(self, table: str) -> str:
-        return f"{self.root}/{table}/log"
-
-    def snapshot_path(self, table: str) -> str:
-        return f"{self.root}/{table}/snapshot"
-
-    def log(self, table: str, after: int = -1, before: int | None = None) -> DataFrame:
-        """Rows of the finished passes in the open range, with their number.
-
-        Only those folders are listed, however many older ones are still there.
-        """
-        schema = StructType([*self.schemas[table].fields, StructField(BATCH, LongType(), True)])
-        path = self.log_path(table)
-        passes = numbered(self.spark, path, BATCH, after, before)
-        if not passes:
+        self.grace = max(1, grace)
+
+    # Manifests
+
+    def _manifest_path(self, number: int) -> str:
+        return f"{self.root}/_manifests/{number}.json"
+
+    def passes(self) -> list[int]:
+        """Numbers of the manifests that are there; -1 stands for the empty warehouse."""
+        names = children(self.spark, f"{self.root}/_manifests")
+        return sorted(int(m[1]) for name in names if (m := re.fullmatch(r"(-?\d+)\.json", name)))
+
+    def state(self, before: int | None = None) -> dict | None:
+        """The newest manifest, or the newest before a pass; None for a warehouse that was never opened."""
+        numbers = [n for n in self.passes() if before is None or n < before]
+        if numbers:
+            return json.loads(read_text(self.spark, self._manifest_path(numbers[-1])))
+        if set(children(self.spark, self.root)) & set(self.schemas):
+            raise RuntimeError(f"{self.root} holds data but no manifest" + (f" before pass {before}" if before else ""))
+        return None
+
+    def open(self, position: StructType = BY_PASS) -> None:
+        """Begin an empty warehouse, or check that facts are still ordered by ``position``."""
+        state = self.state()
+        if state is None:
+            tables = {name: {"log": [], "parts": {} if name == FACT_TABLE else []} for name in self.schemas}
+            self._commit({"pass": -1, "position": position.jsonValue(), "tables": tables, "retired": []})
+        elif state["position"] != position.jsonValue():
+            raise RuntimeError(f"{self.root} orders facts by {state['position']}, not by {position.jsonValue()}")
+
+    def _commit(self, state: dict) -> None:
+        """Write the manifest, then remove what no reader within the grace can need."""
+        old = [x for x in state["retired"] if x[1] <= state["pass"] - self.grace]
+        state["retired"] = [x for x in state["retired"] if x not in old]
+        write_text(self.spark, self._manifest_path(state["pass"]), json.dumps(state))
+        for folder, _ in old:
+            delete(self.spark, folder)
+        if state["pass"] - self.grace > 0:
+            delete(self.spark, self._manifest_path(state["pass"] - self.grace - 1))
+
+    # Reading
+
+    def _schema(self, table: str, state: dict) -> StructType:
+        if table != FACT_TABLE:
+            return self.schemas[table]
+        position = StructType.fromJson(state["position"])
+        return StructType([*self.schemas[table].fields, *[StructField(name, position) for name in SPAN]])
+
+    def _read(self, table: str, state: dict, folders: Sequence[str]) -> DataFrame:
+        schema = self._schema(table, state)
+        if not folders:
             return self.spark.createDataFrame([], schema)
-        folders = [f"{path}/{BATCH}={n}" for n in passes]
-        return self.spark.read.schema(schema).option("basePath", path).parquet(*folders)
+        return self.spark.read.schema(schema).parquet(*folders)
 
-    def snapshot(self, table: str) -> tuple[int, DataFrame]:
-        """The newest finished snapshot and the last batch it holds (-1 if there is none)."""
-        done = numbered(self.spark, self.snapshot_path(table), "upto")
-        if not done:
-            return -1, self.spark.createDataFrame([], self.schemas[table])
-        path = f"{self.snapshot_path(table)}/upto={done[-1]}"
-        return done[-1], self.spark.read.schema(self.schemas[table]).parquet(path)
+    def _current(self, table: str, state: dict) -> DataFrame:
+        own = state["tables"][table]
+        if table != FACT_TABLE:
+            return self._read(table, state, [*own["parts"], *own["log"]])
+        stored = self._read(table, state, sorted(set(own["parts"].values())))
+        if not own["log"]:
+            return stored
+        return merge_facts(stored, self._read(table, state, own["log"]), FACT_KEYS, FACT_KEEP_FIRST, SPAN)
 
     def table(self, name: str, before: int | None = None) -> DataFrame:
-        """Current rows; with ``before``, as they were before that batch."""
-        upto, base = self.snapshot(name)
-        log = self.log(name, upto, before)
-        if name == FACT_TABLE:
-            return upsert(base, log, FACT_KEYS, [BATCH], FACT_KEEP_FIRST)
-        return base.unionByName(log.select(*base.columns))
+        """Current rows; with ``before``, as they were before that pass."""
+        state = self.state(before)
+        if state is None:
+            return self.spark.createDataFrame([], self.schemas[name])
+        return self._current(name, state).select(*self.schemas[name].names)
 
     def star(self) -> Star:
         return Star(
@@ -75,52 +124,111 @@ class Warehouse:
             store=self.table("StoreDimension"),
         )
 
-    def _write(self, df: DataFrame, table: str, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.log_path(table)}/{BATCH}={batch_id}")
+    # Writing
+
+    def _write(self, df: DataFrame, table: str, kind: str, number: int, by: str | None = None) -> str | None:
+        """A new folder with the rows, or None (and no folder) if there are none."""
+        path, counted = f"{self.root}/{table}/{kind}/{number}-{uuid.uuid4()}", Observation()
+        writer = df.observe(counted, F.count("*").alias("n")).write
+        (writer.partitionBy(by) if by else writer).parquet(path)
+        if counted.get["n"]:
+            return path
+        delete(self.spark, path)
+        return None
 
     def write_star(
-        self, lines: DataFrame, described: DataFrame, batch_id: int, order: Sequence[str], observation=None
+        self, lines: DataFrame, described: DataFrame, batch_id: int, order: Sequence[str], observation=None, arrival: bool = False
     ) -> None:
-        """Load pass ``batch_id``: dimensions first, then facts.
+        """Load pass ``batch_id``: dimensions, facts, and then the manifest that makes them count.
 
         ``lines`` are the pass's transactions with price (:func:`pass_lines`),
         ``described`` its products; suppliers, products and stores come from
-        the latter and never touch the transactions. ``observation`` receives
-        ``joined_rows`` and ``distinct_orders`` from the fact write itself.
+        the latter and never touch the transactions. With ``arrival``, ``order``
+        also ranks transactions of different passes; otherwise a later pass
+        follows an earlier one. ``observation`` receives ``joined_rows`` and
+        ``distinct_orders`` from the fact write itself.
         """
+        self.open(lines.select(*order).schema if arrival else BY_PASS)
+        state = self.state(before=batch_id)
         for table, key in DIMENSION_KEYS.items():
             rows, position = (lines, order) if table == "CustomerDimension" else (described, product_order(described))
             # A stored dimension is first reduced to the keys asked for: a small
             # pass is broadcast to it, so it is read but not shuffled.
             asked = rows.select(key).distinct()
-            present = self.table(table, before=batch_id).join(asked, key, "left_semi")
-            self._write(insert_ignore(present, rows, key, position), table, batch_id)
+            present = self._current(table, state).join(asked, key, "left_semi")
+            folder = self._write(insert_ignore(present, rows, key, position), table, "log", batch_id)
+            state["tables"][table]["log"] += [folder] if folder else []
         columns = self.schemas[FACT_TABLE].names
-        facts = reduce_batch(order_facts(lines, order), columns, FACT_KEYS, order, FACT_KEEP_FIRST, rows=ROWS)
+        facts = reduce_batch(order_facts(lines, order), columns, FACT_KEYS, order, FACT_KEEP_FIRST, rows=ROWS, span=SPAN)
+        if not arrival:
+            place = F.struct(F.lit(batch_id).cast("long").alias("pass"))
+            facts = facts.withColumns({name: place for name in SPAN})
         if observation is not None:
             facts = facts.observe(
                 observation,
                 F.coalesce(F.sum(ROWS), F.lit(0)).alias("joined_rows"),
                 F.count("*").alias("distinct_orders"),
             )
-        self._write(facts.drop(ROWS), FACT_TABLE, batch_id)
+        folder = self._write(facts.drop(ROWS), FACT_TABLE, "log", batch_id)
+        state["tables"][FACT_TABLE]["log"] += [folder] if folder else []
+        self._commit(state | {"pass": batch_id})
 
     def compact(self) -> int:
-        """Write the state up to the last finished pass as new snapshots; returns that pass.
+        """Fold the log of the finished passes into the compacted parts; returns the last pass (-1 if none).
 
-        Facts are laid out by date, then order, so that a date range touches
-        few files; the order number splits a date that holds many rows.
+        Facts lie in a folder per year, sorted by date; only years that hold a row
+        of an order in the log, or get one, are rewritten. The log's rows of a
+        dimension become one more part, and many parts one.
         """
-        done = numbered(self.spark, self.log_path(FACT_TABLE), BATCH)
-        if not done:
+        state = self.state()
+        if state is None or state["pass"] < 0:
             return -1
-        upto = done[-1]
-        for table in [*DIMENSION_KEYS, FACT_TABLE]:
-            if self.snapshot(table)[0] >= upto:
+        upto = state["pass"]
+        for table in self.schemas:
+            own = state["tables"][table]
+            if not own["log"]:
                 continue
-            rows = self.table(table, before=upto + 1)
+            gone = list(own["log"])
             if table == FACT_TABLE:
-                layout = ["OrderDate", *FACT_KEYS]
-                rows = rows.repartitionByRange(*layout).sortWithinPartitions(*layout)
-            rows.write.mode("overwrite").parquet(f"{self.snapshot_path(table)}/upto={upto}")
+                gone += self._compact_facts(own, state)
+            else:
+                whole = len(own["parts"]) >= PARTS
+                gone += own["parts"] if whole else []
+                rows = self._read(table, state, gone)
+                kept = [] if whole else own["parts"]
+                own["parts"] = [*kept, self._write(rows.hint("rebalance"), table, "part", upto)]
+            own["log"] = []
+            state["retired"] += [[folder, upto] for folder in gone]
+        self._commit(state)
         return upto
+
+    def touched_years(self, state: dict) -> tuple[list[str], DataFrame]:
+        """Years of stored facts that the log changes, and those facts merged with the log."""
+        own = state["tables"][FACT_TABLE]
+        log = self._read(FACT_TABLE, state, own["log"])
+        stored = self._read(FACT_TABLE, state, sorted(own["parts"].values())).select(*FACT_KEYS, "OrderDate")
+        year = F.coalesce(F.year("OrderDate").cast("string"), F.lit("none"))
+        held = stored.join(log.select(*FACT_KEYS).distinct(), FACT_KEYS, "left_semi").select(year.alias(YEAR))
+        # As many rows as there are years.
+        found = {r[0] for r in held.union(log.select(year.alias(YEAR))).distinct().collect()}
+        years = sorted(found & set(own["parts"]))
+        base = self._read(FACT_TABLE, state, [own["parts"][y] for y in years])
+        merged = merge_facts(base, log, FACT_KEYS, FACT_KEEP_FIRST, SPAN) if years else _reduced(log)
+        return years, merged.withColumn(YEAR, year)
+
+    def _compact_facts(self, own: dict, state: dict) -> list[str]:
+        """Replace the years that the log touches; returns their old folders."""
+        years, merged = self.touched_years(state)
+        # Rebalancing gathers a year into few files and still splits a large one.
+        laid = merged.hint("rebalance", F.col(YEAR)).sortWithinPartitions(YEAR, "OrderDate", *FACT_KEYS)
+        folder = self._write(laid, FACT_TABLE, "part", state["pass"], by=YEAR)
+        gone = [own["parts"].pop(y) for y in years]
+        for name in children(self.spark, folder):
+            if name.startswith(f"{YEAR}="):
+                own["parts"][name.removeprefix(f"{YEAR}=")] = f"{folder}/{name}"
+        return gone
+
+
+def _reduced(log: DataFrame) -> DataFrame:
+    """The log's facts, one per order."""
+    return merge_facts(log.limit(0), log, FACT_KEYS, FACT_KEEP_FIRST, SPAN)

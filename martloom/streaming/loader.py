@@ -13,7 +13,6 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from martloom.operators.joins import enrich, pending_history
 from martloom.operators.load import FIRST_SEEN, pass_lines, products_seen
-from martloom.schemas import FACT_TABLE
 from martloom.sources.paths import children, exists
 from martloom.sources.warehouse import Warehouse
 
@@ -40,32 +39,34 @@ def load_pass(
 
     With ``history``, all transactions of the batch's products are joined
     again, old ones at today's price; without it, only the batch.
-    ``by_product`` orders the pass product by product; without it rows count in
-    ``seq`` order alone, and then splitting the input into passes differently
-    does not change the facts.
+    ``by_product`` orders the pass product by product. Without it and without
+    history, rows count in ``seq`` order alone, across passes too: each stored
+    fact keeps the order of the transactions behind it, so that it does not
+    matter how the input was cut into passes. Otherwise a later pass follows an
+    earlier one.
     """
-    # Every write reads the batch. A lost executor's share of it is recomputed
-    # from the files behind it.
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-    described = None
+    # Products and lines are worked out once a pass and kept for its five writes.
+    # A lost executor's share is recomputed from the files behind it.
+    tx = batch if history is None else pending_history(history, pending_keys(batch))
+    kept = [tx.persist(StorageLevel.MEMORY_AND_DISK)]
     try:
-        tx = batch if history is None else pending_history(history, pending_keys(batch))
         described = enrich(products_seen(tx, seq), master).persist(StorageLevel.MEMORY_AND_DISK)
-        lines = pass_lines(tx, described)
+        kept.append(described)
+        lines = pass_lines(tx, described).persist(StorageLevel.MEMORY_AND_DISK)
+        kept.append(lines)
         # A product listed twice yields two rows per transaction; the price tells them apart.
         order = [*([FIRST_SEEN] if by_product else []), *seq, "productPrice"]
         counted = Observation(f"load-{batch_id}")
-        warehouse.write_star(lines, described, batch_id, order, counted)
+        warehouse.write_star(lines, described, batch_id, order, counted, arrival=history is None and not by_product)
         return counted.get
     finally:
-        if described is not None:
-            described.unpersist()
-        batch.unpersist()
+        for table in reversed(kept):
+            table.unpersist()
 
 
 def check_root(warehouse: Warehouse, checkpoint: str) -> None:
     """Batch numbers live in the checkpoint and name the log folders: refuse one without the other."""
-    has_log = exists(warehouse.spark, warehouse.log_path(FACT_TABLE))
+    has_log = any(n >= 0 for n in warehouse.passes())
     if has_log and not exists(warehouse.spark, checkpoint):
         raise RuntimeError(f"{warehouse.root} holds loaded batches but no checkpoint; batch numbers would restart")
     if not has_log and children(warehouse.spark, f"{checkpoint}/commits"):
@@ -81,13 +82,16 @@ def run_load(
     by_product: bool = True,
     trigger: dict[str, Any] | None = None,
     report: Callable[[int, dict[str, Any]], None] | None = None,
+    compact_every: int = 20,
 ) -> StreamingQuery:
     """Start loading the ``transactions`` stream into ``warehouse``.
 
     ``master`` and ``history`` are called in every pass, so each pass sees the
     master data and the landed transactions of that moment. ``history=None``
     joins only what arrived, which keeps the work of a pass proportional to the
-    pass; see :func:`load_pass`. The default trigger is a pass per second.
+    pass; see :func:`load_pass`. The default trigger is a pass per second. The
+    log is compacted after every ``compact_every`` passes, which bounds what a
+    pass and a reader have to look at.
     """
     checkpoint = f"{warehouse.root}/checkpoint"
     check_root(warehouse, checkpoint)
@@ -98,6 +102,8 @@ def run_load(
         log.info("pass %s: %s rows joined into %s orders", batch_id, counts["joined_rows"], counts["distinct_orders"])
         if report:
             report(batch_id, counts)
+        if (batch_id + 1) % compact_every == 0:
+            warehouse.compact()
 
     return (
         transactions.writeStream.foreachBatch(load)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 import time
 from decimal import Decimal
 
@@ -170,10 +171,115 @@ def test_compaction_keeps_the_tables_and_later_passes_build_on_it(spark, landed,
     load(spark, path, root, by_product=False)
     assert tables_of(warehouse)["OrderFacts"] == rows_of(batch_facts(spark, ALL, SEQ))
     assert warehouse.compact() == 2
-    assert warehouse.log("OrderFacts", after=2).count() == 0
+    assert warehouse.state()["tables"]["OrderFacts"]["log"] == []
     assert tables_of(warehouse)["OrderFacts"] == rows_of(batch_facts(spark, ALL, SEQ))
 
 
+def dealt(spark, path, rows, files, seed):
+    """The rows at random over so many files, as they would come from several sources."""
+    rng = random.Random(seed)
+    piles = [[] for _ in range(files)]
+    for row in rows:
+        rng.choice(piles).append(row)
+    for pile in piles:
+        tx_table(spark, pile).coalesce(1).write.mode("append").parquet(path)
+
+
+@pytest.mark.parametrize("compact_every", [1, 2, 20])
+def test_facts_do_not_depend_on_the_cut_into_passes(spark, tmp_path, compact_every):
+    rng = random.Random(9)
+    rows = [
+        (rng.randint(1, 25), rng.randint(1, 28), rng.choice([10, 20, 30]), rng.randint(1, 9), rng.randint(1, 9), seq)
+        for seq in range(120)
+    ]
+    dealt(spark, str(tmp_path / "tx"), rows, 5, compact_every)
+    warehouse = Warehouse(spark, str(tmp_path / "dw"))
+    run_load(
+        warehouse, stream_transactions(spark, str(tmp_path / "tx"), TX, max_files=1),
+        master=lambda: master_table(spark, MASTER_ROWS), seq=SEQ, history=None, by_product=False, trigger=ONCE, compact_every=compact_every,
+    ).awaitTermination()
+    assert warehouse.passes()[-1] == 4
+    assert rows_of(warehouse.table("OrderFacts")) == rows_of(batch_facts(spark, rows, SEQ))
+
+
+def test_passes_count_without_marker_files_and_data_without_manifest_is_refused(spark, landed, tmp_path):
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        warehouse, _ = load(spark, landed(0, 1, 2), tmp_path / "dw", by_product=False)
+    finally:
+        hadoop.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert rows_of(warehouse.table("OrderFacts")) == rows_of(batch_facts(spark, ALL, SEQ))
+    assert warehouse.table("SupplierDimension").count() == 2
+    # Rows of a pass that did not finish are in no manifest.
+    tx_table(spark, FILES[0]).write.parquet(str(tmp_path / "dw/OrderFacts/log/3-unfinished"))
+    assert warehouse.table("OrderFacts").count() == 3
+    for manifest in (tmp_path / "dw/_manifests").iterdir():
+        manifest.rename(tmp_path / manifest.name)
+    with pytest.raises(RuntimeError, match="no manifest"):
+        warehouse.table("OrderFacts")
+    assert Warehouse(spark, str(tmp_path / "none")).table("OrderFacts").count() == 0
+
+
+def test_looking_stays_constant_and_old_folders_go(spark, tmp_path, monkeypatch):
+    from martloom.sources import paths
+
+    calls, locate = [], paths._locate
+    monkeypatch.setattr(paths, "_locate", lambda *a: calls.append(a) or locate(*a))
+    warehouse, counts = Warehouse(spark, str(tmp_path / "dw"), grace=3), []
+    for n in range(14):
+        del calls[:]
+        rows = tx_table(spark, [(n % 4, 1 + n, 10, 7, n + 1, n)])
+        load_pass(warehouse, rows, n, master_table(spark, MASTER_ROWS), SEQ, by_product=False)
+        counts.append(len(calls))
+        if n % 3 == 2:
+            warehouse.compact()
+    assert max(counts[7:]) <= max(counts[:7]) + 2
+    assert len(warehouse.passes()) <= 5 and len(list((tmp_path / "dw/OrderFacts/log").iterdir())) <= 8
+    assert len(warehouse.state()["tables"]["OrderFacts"]["log"]) <= 3
+    assert sorted((r.OrderID, r.QuantityOrdered) for r in warehouse.table("OrderFacts").collect()) == [(0, 13), (1, 14), (2, 11), (3, 12)]
+
+
+def test_compaction_reads_and_rewrites_touched_years_only(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "dw"))
+
+    def pass_of(number, orders):
+        rows = [(dt.datetime(year, 2, 3), order, 10, 7, order, order) for order, year in orders]
+        tx = spark.createDataFrame([(o, d, p, c, "c", "f", q, s) for d, o, p, c, q, s in rows], TX)
+        load_pass(warehouse, tx, number, master_table(spark, MASTER_ROWS), SEQ)
+        return warehouse.state()
+
+    pass_of(0, [(1, 2017), (2, 2018), (3, 2019)])
+    warehouse.compact()
+    old = warehouse.state()["tables"]["OrderFacts"]["parts"]
+    years, merged = warehouse.touched_years(pass_of(1, [(2, 2020)]))
+    files = " ".join(merged.inputFiles())
+    assert years == ["2018"] and "OrderYear=2018" in files and "OrderYear=2017" not in files and "OrderYear=2019" not in files
+    warehouse.compact()
+    new = warehouse.state()["tables"]["OrderFacts"]["parts"]
+    assert {y: new[y] == old[y] for y in ("2017", "2019")} == {"2017": True, "2019": True} and set(new) == {"2017", "2019", "2020"}
+    assert sorted((r.OrderID, r.OrderDate.year) for r in warehouse.table("OrderFacts").collect()) == [(1, 2017), (2, 2020), (3, 2019)]
+
+
+def test_a_pass_reads_its_inputs_once(spark, tmp_path):
+    batch, history = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def counted(df, counter):
+        def count(rows):
+            for part in rows:
+                counter.add(part.num_rows)
+                yield part
+
+        return df.mapInArrow(count, df.schema)
+
+    rows = tx_table(spark, ALL)
+    warehouse = Warehouse(spark, str(tmp_path / "dw"))
+    load_pass(warehouse, counted(rows, batch), 0, master_table(spark, MASTER_ROWS), SEQ)
+    assert batch.value == len(ALL)
+    load_pass(warehouse, tx_table(spark, FILES[1]), 1, master_table(spark, MASTER_ROWS), SEQ, history=counted(rows, history))
+    assert history.value == len(ALL)
+
+
 def test_log_without_checkpoint_is_refused(spark, landed, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "dw"))
     load_pass(warehouse, tx_table(spark, FILES[0]), 0, master_table(spark, MASTER_ROWS), SEQ)
