@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from martloom import fixtures
 from martloom.fixtures import SEQ
@@ -27,8 +29,9 @@ from martloom.operators.load import (
 )
 from martloom.operators.sizing import fits_broadcast
 from martloom.plans import olap, views
-from martloom.schemas import DIMENSION_KEYS, FACT_KEEP_FIRST, FACT_KEYS, STAR, TRANSACTIONS, Star, conform
+from martloom.schemas import DIMENSION_KEYS, FACT_KEEP_FIRST, FACT_KEYS, MASTER, STAR, TRANSACTIONS, Star, conform
 from martloom.session import work_dir
+from martloom.sources.feeds import read_csv, read_master, read_transactions, split_corrupt
 from martloom.sources.warehouse import Warehouse
 from martloom.streaming.feeds import stream_files
 from martloom.streaming.loader import pending_keys, run_load
@@ -43,7 +46,10 @@ STORE = "NATION_3"
 RATIO = "2.05"
 SINCE = date(2001, 7, 26)
 HOUR = 3600
-# Bounds the work and the cached rows of one pass on tables of many files.
+# Columns that tell the lines of a hot product apart.
+DEAL = ["Order_ID", "Quantity_Ordered"]
+# Bounds the work and the cached rows of one pass on tables of many files; facts
+# carry their arrival order, so it does not change them.
 FILES_PER_PASS = 1000
 
 ENRICHED_COLUMNS = [
@@ -100,17 +106,31 @@ def supplier_year_dice(star: Star) -> DataFrame:
 
 
 def scan_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixtures.transactions(spark, sf_dir).select(*TRANSACTIONS.names)
+    """The feed as it was landed, with columns that a scan does not read."""
+    path = work_dir(spark, "transactions")
+    fixtures.transactions(spark, sf_dir).write.parquet(path)
+    return read_transactions(spark, path)
 
 
 def scan_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixtures.master(spark, sf_dir)
+    path = work_dir(spark, "master")
+    fixtures.master(spark, sf_dir).write.parquet(path)
+    return read_master(spark, path)
+
+
+def _csv(rows: Callable[[SparkSession, str], DataFrame], schema: StructType, columns: list[str] | None = None) -> Query:
+    """A feed written as CSV, its columns in the given order, and read by its header."""
+
+    def read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = work_dir(spark, "csv")
+        rows(spark, sf_dir).select(*(columns or schema.names)).write.option("header", True).csv(path)
+        return split_corrupt(read_csv(spark, path, schema))[0]
+
+    return read_back
 
 
 def conform_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform(fixtures.transactions(spark, sf_dir), TRANSACTIONS).withColumn(
-        "Order_Date", F.col("Order_Date").cast("timestamp_ntz")
-    )
+    return conform(fixtures.transactions(spark, sf_dir), TRANSACTIONS)
 
 
 def table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,14 +172,14 @@ def orphan_products_by_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unmatched_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     master = fixtures.raw_master(spark, sf_dir)
-    return unmatched(fixtures.transactions(spark, sf_dir), master).select(*TRANSACTIONS.names)
+    return unmatched(fixtures.transactions(spark, sf_dir), master, DEAL).select(*TRANSACTIONS.names)
 
 
 def unmatched_stocked_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions lost when only products kept by a store (supplier = store number) count as known."""
     master, store = fixtures.raw_master(spark, sf_dir), fixtures.star(spark, sf_dir).store
     stocked = master.join(store.select(F.col("storeID").alias("supplierID")), "supplierID", "left_semi")
-    return unmatched(fixtures.transactions(spark, sf_dir), stocked).select(*TRANSACTIONS.names)
+    return unmatched(fixtures.transactions(spark, sf_dir), stocked, DEAL).select(*TRANSACTIONS.names)
 
 
 PASS = [FIRST_SEEN, *SEQ]
@@ -193,6 +213,13 @@ def upsert_order_facts_second_pass(spark: SparkSession, sf_dir: str) -> DataFram
     return upsert(first, order_facts(lines, PASS), FACT_KEYS, PASS, FACT_KEEP_FIRST)
 
 
+def _told_apart(rows: DataFrame) -> DataFrame:
+    """Attributes that differ between the rows of one key, so that it shows which row was taken."""
+    if "supplierName" in rows.columns:
+        return rows.withColumns({c: F.concat_ws(" ", c, "ProductID") for c in ("supplierName", "storeName")})
+    return rows.withColumn("Gender", F.concat_ws(" ", "Gender", "Order_ID", "LineNumber", "LineStatus"))
+
+
 def _load_dimension(name: str) -> Query:
     """Two passes, fulfilled lines and then open ones, into an empty dimension."""
 
@@ -200,7 +227,7 @@ def _load_dimension(name: str) -> Query:
         key, columns = DIMENSION_KEYS[name], STAR[name].names
         loaded = None
         for fulfilled in (True, False):
-            lines, described = _pass(spark, sf_dir, fulfilled)
+            lines, described = (_told_apart(x) for x in _pass(spark, sf_dir, fulfilled))
             rows, order = (lines, PASS) if name == "CustomerDimension" else (described, product_order(described))
             if loaded is None:
                 loaded = reduce_batch(rows, columns, [key], order, keep_first=[c for c in columns if c != key])
@@ -267,9 +294,22 @@ def _schemas_of(star: Star) -> dict:
     return {name: table.select(*STAR[name].names).schema for name, table in star.tables()}
 
 
-def _stream_load(spark: SparkSession, sf_dir: str) -> Warehouse:
+SPLIT = 3
+
+
+def _split_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order lines landed again, dealt by hash, to be read in about as many passes as ``SPLIT``."""
+    path, lines = work_dir(spark, "lines"), fixtures.table(spark, sf_dir, "lineitem")
+    dealt = F.pmod(F.xxhash64(*lines.columns), F.lit(SPLIT))
+    # A range per share: adaptive execution may split one, but never joins two files of different shares.
+    lines.withColumn("dealt", dealt).repartition(F.col("dealt")).write.partitionBy("dealt").parquet(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").count()
+    return stream_files(spark, f"{path}/dealt=*/", lines.schema, max_files=-(-files // SPLIT))
+
+
+def _stream_load(spark: SparkSession, sf_dir: str, split: bool = False) -> Warehouse:
     """Stream the order lines through the loader, run to the end of the files."""
-    lines = _stream(spark, sf_dir, "lineitem")
+    lines = _split_lines(spark, sf_dir) if split else _stream(spark, sf_dir, "lineitem")
     orders, customer = (fixtures.table(spark, sf_dir, n) for n in ("orders", "customer"))
     warehouse = Warehouse(spark, work_dir(spark, "warehouse"), _schemas_of(fixtures.star(spark, sf_dir)))
     query = run_load(
@@ -280,6 +320,7 @@ def _stream_load(spark: SparkSession, sf_dir: str) -> Warehouse:
         history=None,
         by_product=False,
         trigger={"availableNow": True},
+        compact_every=2,
     )
     query.awaitTermination()
     return warehouse
@@ -289,6 +330,30 @@ def stream_load_order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream_load(spark, sf_dir).table("OrderFacts")
 
 
+def stream_load_split_order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of lines that arrived out of order in several passes, with a compaction between them."""
+    return _stream_load(spark, sf_dir, split=True).table("OrderFacts")
+
+
+def stream_load_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of the four dimensions after a stream load and compaction."""
+    warehouse = _stream_load(spark, sf_dir)
+    warehouse.compact()
+
+    def rows(table: DataFrame, dimension: str, key: str, name: str, detail: str | None = None) -> DataFrame:
+        more = F.col(detail).cast("string") if detail else F.lit(None).cast("string")
+        return table.select(F.lit(dimension).alias("dimension"), F.col(key).alias("id"), F.col(name).alias("name"), more.alias("detail"))
+
+    star = warehouse.star()
+    parts = [
+        rows(star.supplier, "supplier", "supplierID", "supplierName"),
+        rows(star.product, "product", "ProductID", "productName", "supplierID"),
+        rows(star.customer, "customer", "CustomerID", "CustomerName", "Gender"),
+        rows(star.store, "store", "storeID", "storeName"),
+    ]
+    return reduce(DataFrame.union, parts)
+
+
 def stream_load_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream load, compaction, and the rows of each table after it."""
     warehouse = _stream_load(spark, sf_dir)
@@ -328,6 +393,8 @@ QUERIES: dict[str, Query] = {
     # Feeds.
     "scan_transactions": scan_transactions,
     "scan_master": scan_master,
+    "csv_transactions": _csv(fixtures.transactions, TRANSACTIONS),
+    "csv_master_reordered": _csv(fixtures.master, MASTER, sorted(MASTER.names)),
     "conform_transactions": conform_transactions,
     "table_row_counts": table_row_counts,
     # Joins.
@@ -351,5 +418,7 @@ QUERIES: dict[str, Query] = {
     "dual_arrival_ticks": dual_arrival_ticks,
     "stream_arrival_rate": stream_arrival_rate,
     "stream_load_order_facts": stream_load_order_facts,
+    "stream_load_split_order_facts": stream_load_split_order_facts,
+    "stream_load_dimensions": stream_load_dimensions,
     "stream_load_row_counts": stream_load_row_counts,
 }

@@ -7,6 +7,8 @@ splits hot partitions. :func:`salted_join` covers the joins it cannot split.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +31,8 @@ def enrich(tx: DataFrame, master: DataFrame) -> DataFrame:
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, key: str, how: str = "inner", small: bool | None = None, salts: int = SALTS
+    left: DataFrame, right: DataFrame, key: str, how: str = "inner", small: bool | None = None, salts: int = SALTS,
+    deal: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join a large ``left`` that may be hot on ``key`` with a ``right`` that is an aggregate or a join.
 
@@ -39,15 +42,19 @@ def salted_join(
     Adaptive execution alone would not do here: it splits a hot partition only
     if both inputs come straight from a shuffle.
 
-    ``how`` is inner, left_semi or left_anti. The salt is a hash of the row, so
-    a task that is run again deals the same way.
+    ``how`` is inner, left_semi or left_anti. The salt is a hash of
+    the columns in ``deal`` (all but the key, unless given), so a task that is
+    run again deals the same way; other columns need not be read for it. Rows
+    that agree in them, as those of a ``left`` with the key alone do, stay
+    together. The result has ``left``'s columns in their order first.
     """
+    order = [*left.columns, *[c for c in right.columns if c != key and how == "inner"]]
     if fits_broadcast(right) if small is None else small:
-        return left.join(F.broadcast(right), key, how)
-    rest = [c for c in left.columns if c != key]
-    dealt = left.withColumn(SALT, F.pmod(F.xxhash64(*rest), F.lit(salts)))
+        return left.join(F.broadcast(right), key, how).select(*order)
+    rest = list(deal) if deal is not None else [c for c in left.columns if c != key]
+    dealt = left.withColumn(SALT, F.pmod(F.xxhash64(*(rest or [key])), F.lit(salts)))
     copied = right.withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
-    return dealt.join(copied.hint("merge"), [key, SALT], how).drop(SALT)
+    return dealt.join(copied.hint("merge"), [key, SALT], how).select(*order)
 
 
 def pending_history(tx: DataFrame, keys: DataFrame, small: bool | None = None) -> DataFrame:
@@ -60,10 +67,10 @@ def refresh_keys(tx: DataFrame, master: DataFrame, keys: DataFrame, small: bool
     return enrich(pending_history(tx, keys, small), master)
 
 
-def unmatched(tx: DataFrame, master: DataFrame) -> DataFrame:
-    """The transactions :func:`enrich` drops, NULL products included."""
+def unmatched(tx: DataFrame, master: DataFrame, deal: Sequence[str] | None = None) -> DataFrame:
+    """The transactions :func:`enrich` drops, NULL products included; ``deal`` as in :func:`salted_join`."""
     known = master.select(F.col("productID").alias("ProductID")).distinct()
-    return salted_join(tx, known, "ProductID", "left_anti")
+    return salted_join(tx, known, "ProductID", "left_anti", deal=deal)
 
 
 def orphans(child: DataFrame, parent: DataFrame, foreign_key: str, primary_key: str) -> DataFrame:

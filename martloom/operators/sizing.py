@@ -14,11 +14,11 @@ from pyspark.sql.types import BinaryType, DataType, StringType, StructType
 
 def broadcast_limit(df: DataFrame) -> int:
     """The session's ``autoBroadcastJoinThreshold`` in bytes; below zero means never."""
-    setting = str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")).strip().lower()
-    for suffix, factor in (("gb", 1 << 30), ("mb", 1 << 20), ("kb", 1 << 10), ("g", 1 << 30), ("m", 1 << 20), ("k", 1 << 10), ("b", 1)):
-        if setting.endswith(suffix):
-            return int(setting[: -len(suffix)]) * factor
-    return int(setting)
+    setting = str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")).strip()
+    if setting.startswith("-"):
+        return -1
+    parser = df.sparkSession.sparkContext._jvm.org.apache.spark.network.util.JavaUtils
+    return int(parser.byteStringAsBytes(setting))
 
 
 def _words(kind: DataType) -> int:

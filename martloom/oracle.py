@@ -211,9 +211,12 @@ FROM product JOIN nation ON supplierID = n_nationkey""",
     "refreshed_customer_store_sales": CUSTOMER_STORE_SALES,
     "scan_transactions": f"WITH {TX} SELECT {TX_COLUMNS} FROM tx",
     "scan_master": f"WITH {MASTER} SELECT * FROM master",
+    "csv_transactions": f"""WITH {TX}
+SELECT Order_ID, CAST(Order_Date AS TIMESTAMP) AS Order_Date, ProductID, CustomerID, CustomerName, Gender, Quantity_Ordered
+FROM tx""",
+    "csv_master_reordered": f"WITH {MASTER} SELECT * REPLACE (CAST(storeID AS BIGINT) AS storeID) FROM master",
     "conform_transactions": f"""WITH {TX}
-SELECT CAST(Order_ID AS INTEGER) AS Order_ID, CAST(Order_Date AS TIMESTAMP) AS Order_Date,
-       CAST(ProductID AS INTEGER) AS ProductID, CAST(CustomerID AS INTEGER) AS CustomerID,
+SELECT Order_ID, CAST(Order_Date AS TIMESTAMP) AS Order_Date, ProductID, CustomerID,
        CustomerName, Gender, Quantity_Ordered
 FROM tx""",
     "table_row_counts": f"""WITH {JOINED}
@@ -246,10 +249,12 @@ WHERE NOT EXISTS (SELECT 1 FROM master m JOIN nation ON m.supplierID = n_nationk
                   WHERE m.productID = tx.ProductID)""",
     "upsert_order_facts": _upserted("one_pass", "seen, seq"),
     "upsert_order_facts_second_pass": _upserted("two_passes", "pass, seen, seq"),
-    "load_supplier_dim": _first_of("supplierID", "supplierID, supplierName"),
+    "load_supplier_dim": _first_of("supplierID", "supplierID, supplierName || ' ' || ProductID AS supplierName"),
     "load_product_dim": _first_of("ProductID", "ProductID, productName, supplierID"),
-    "load_customer_dim": _first_of("CustomerID", "CustomerID, CustomerName, Gender"),
-    "load_store_dim": _first_of("storeID", "storeID, storeName"),
+    "load_customer_dim": _first_of(
+        "CustomerID", "CustomerID, CustomerName, Gender || ' ' || Order_ID || ' ' || LineNumber || ' ' || LineStatus AS Gender"
+    ),
+    "load_store_dim": _first_of("storeID", "storeID, storeName || ' ' || ProductID AS storeName"),
     "load_report": f"""WITH {JOINED}
 SELECT COUNT(*) AS joined_rows, COUNT(DISTINCT Order_ID) AS distinct_orders FROM joined""",
     "arrival_rate_per_tick": """WITH feeds AS (
@@ -269,6 +274,12 @@ HAVING transaction_rate > 0 AND master_rate > 0""",
     "stream_arrival_rate": """SELECT TIME_BUCKET(INTERVAL '1 hour', ts) AS tick, COUNT(*) AS arrivals
 FROM events GROUP BY 1""",
     "stream_load_order_facts": _upserted("one_pass", "seq"),
+    "stream_load_split_order_facts": _upserted("one_pass", "seq"),
+    "stream_load_dimensions": f"""WITH {JOINED}
+SELECT DISTINCT 'supplier' AS dimension, supplierID AS id, supplierName AS name, CAST(NULL AS VARCHAR) AS detail FROM joined
+UNION ALL SELECT DISTINCT 'product', ProductID, productName, CAST(supplierID AS VARCHAR) FROM joined
+UNION ALL SELECT DISTINCT 'customer', CustomerID, CustomerName, Gender FROM joined
+UNION ALL SELECT DISTINCT 'store', storeID, storeName, CAST(NULL AS VARCHAR) FROM joined""",
     "stream_load_row_counts": f"""WITH {JOINED}
 {_count("OrderFacts", "(SELECT DISTINCT Order_ID FROM joined)")}
 UNION ALL {_count("ProductDimension", "(SELECT DISTINCT ProductID FROM joined)")}

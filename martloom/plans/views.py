@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,12 +25,14 @@ def create_views(star: Star) -> None:
 def refresh_customer_store_sales(spark: SparkSession, star: Star, path: str) -> DataFrame:
     """Materialise the customer/store view as Parquet, one folder per year, and read the view from it.
 
-    ``path`` is replaced as a whole, so it must not lie under a table the star
-    reads.
+    Every refresh writes a folder of its own under ``path`` and then points the
+    view at it, so whoever reads the view meanwhile keeps the old rows. Older
+    folders are left to the storage's clean-up.
     """
     report = olap.customer_store_monthly_sales(star)
     # Rebalancing gathers a year into few files and still splits a year that is large.
-    report.hint("rebalance", F.col("OrderYear")).write.mode("overwrite").partitionBy("OrderYear").parquet(path)
-    stored = spark.read.parquet(path).select(*report.columns)
+    version = f"{path.rstrip('/')}/{uuid.uuid4()}"
+    report.hint("rebalance", F.col("OrderYear")).write.partitionBy("OrderYear").parquet(version)
+    stored = spark.read.parquet(version).select(*report.columns)
     stored.createOrReplaceTempView(CUSTOMER_STORE_SALES)
     return stored

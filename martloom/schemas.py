@@ -12,10 +12,11 @@ from pyspark.sql.types import (
     DateType,
     DecimalType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
-    TimestampType,
+    TimestampNTZType,
 )
 
 PRICE = DecimalType(10, 2)
@@ -28,42 +29,42 @@ def _struct(**columns: DataType) -> StructType:
 
 
 TRANSACTIONS = _struct(
-    Order_ID=IntegerType(),
-    Order_Date=TimestampType(),
-    ProductID=IntegerType(),
-    CustomerID=IntegerType(),
+    Order_ID=LongType(),
+    Order_Date=TimestampNTZType(),
+    ProductID=LongType(),
+    CustomerID=LongType(),
     CustomerName=StringType(),
     Gender=StringType(),
     Quantity_Ordered=IntegerType(),
 )
 
 MASTER = _struct(
-    productID=IntegerType(),
+    productID=LongType(),
     productName=StringType(),
     productPrice=PRICE,
-    supplierID=IntegerType(),
+    supplierID=LongType(),
     supplierName=StringType(),
-    storeID=IntegerType(),
+    storeID=LongType(),
     storeName=StringType(),
 )
 
 STAR: dict[str, StructType] = {
     "OrderFacts": _struct(
-        OrderID=IntegerType(),
+        OrderID=LongType(),
         OrderDate=DateType(),
-        ProductID=IntegerType(),
-        CustomerID=IntegerType(),
+        ProductID=LongType(),
+        CustomerID=LongType(),
         QuantityOrdered=IntegerType(),
         productPrice=PRICE,
     ),
     "ProductDimension": _struct(
-        ProductID=IntegerType(), productName=StringType(), supplierID=IntegerType()
+        ProductID=LongType(), productName=StringType(), supplierID=LongType()
     ),
     "CustomerDimension": _struct(
-        CustomerID=IntegerType(), CustomerName=StringType(), Gender=StringType()
+        CustomerID=LongType(), CustomerName=StringType(), Gender=StringType()
     ),
-    "SupplierDimension": _struct(supplierID=IntegerType(), supplierName=StringType()),
-    "StoreDimension": _struct(storeID=IntegerType(), storeName=StringType()),
+    "SupplierDimension": _struct(supplierID=LongType(), supplierName=StringType()),
+    "StoreDimension": _struct(storeID=LongType(), storeName=StringType()),
 }
 
 FACT_TABLE = "OrderFacts"

@@ -18,12 +18,15 @@ ADAPTIVE = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
-SETTINGS = {**ADAPTIVE, "spark.sql.session.timeZone": "UTC"}
+# Results must not hang on these: casts that do not fit raise, dates do not move
+# with the machine's zone.
+SEMANTICS = {"spark.sql.ansi.enabled": "true", "spark.sql.session.timeZone": "UTC"}
+SETTINGS = {**ADAPTIVE, **SEMANTICS}
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Switch a running session to the adaptive settings the jobs count on."""
-    for key, value in ADAPTIVE.items():
+    """Switch a running session to the settings the jobs count on."""
+    for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
 

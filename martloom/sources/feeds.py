@@ -15,17 +15,24 @@ CORRUPT = "_corrupt_record"
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A CSV feed with a header line, typed by ``schema``.
+    """A CSV feed with a header line, typed by ``schema``; columns are found by the header's names.
+
+    The header is looked up once; a file under ``path`` whose header differs makes
+    the read fail, and so does a column of ``schema`` that the header lacks.
 
     A line that does not fit keeps its readable fields and carries its text in
     ``_corrupt_record``; see :func:`split_corrupt`. Fields are read as text and
     cast here: a reader that casts by itself would miss a bad value in any
     column the query happens not to use.
     """
-    raw = StructType([StructField(name, StringType()) for name in [*schema.names, CORRUPT]])
+    named = spark.read.option("header", True).csv(path).columns
+    if missing := sorted(set(schema.names) - set(named)):
+        raise ValueError(f"{path} has no columns {missing}")
+    raw = StructType([StructField(name, StringType()) for name in [*named, CORRUPT]])
     lines = (
         spark.read.schema(raw)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
@@ -33,7 +40,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     misfit = reduce(
         Column.__or__, [F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull() for f in schema]
     )
-    text = F.when(misfit, F.to_csv(F.struct(*schema.names)))
+    text = F.when(misfit, F.to_csv(F.struct(*named)))
     return lines.select(
         *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema], F.coalesce(CORRUPT, text).alias(CORRUPT)
     )

@@ -33,6 +33,32 @@ def test_csv_keeps_bad_lines_aside(spark, tmp_path):
     assert misfit[CORRUPT].startswith("2,pad,cheap") and short[CORRUPT] == "4,short"
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "master.csv").write_text(
+        "storeID,supplierName,extra,productPrice,supplierID,productName,productID,storeName\n1,DJI,x,2.50,5,cam,9,Tech\n"
+    )
+    good, bad = split_corrupt(read_csv(spark, str(tmp_path), MASTER))
+    assert rows_of(good) == [(9, "cam", Decimal("2.50"), 5, "DJI", 1, "Tech")] and bad.collect() == []
+    short = tmp_path / "short"
+    short.mkdir()
+    (short / "master.csv").write_text("storeID,supplierName\n1,DJI\n")
+    with pytest.raises(ValueError, match="productID"):
+        read_csv(spark, str(short), MASTER)
+
+
+def test_conform_takes_wide_keys_and_keeps_local_times(spark):
+    columns = "Order_ID long, Order_Date string, ProductID long, CustomerID long, CustomerName string, Gender string"
+    raw = spark.createDataFrame([(1 << 40, "2019-01-05 23:30:00", 1, 2, "c", "f", 3)], f"{columns}, Quantity_Ordered int")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for other in ("UTC", "Pacific/Auckland"):
+            spark.conf.set("spark.sql.session.timeZone", other)
+            row = conform(raw, TRANSACTIONS).selectExpr("Order_ID", "to_date(Order_Date) d").first()
+            assert (row.Order_ID, str(row.d)) == (1 << 40, "2019-01-05")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_csv_transactions_parse_dates(spark, tmp_path):
     (tmp_path / "tx.csv").write_text(
         "Order_ID,Order_Date,ProductID,CustomerID,CustomerName,Gender,Quantity_Ordered\n"
