@@ -46,15 +46,14 @@ def salted_join(
     the columns in ``deal`` (all but the key, unless given), so a task that is
     run again deals the same way; other columns need not be read for it. Rows
     that agree in them, as those of a ``left`` with the key alone do, stay
-    together. The result has ``left``'s columns in their order first.
+    together. The columns come in the order of a plain join, the key first.
     """
-    order = [*left.columns, *[c for c in right.columns if c != key and how == "inner"]]
     if fits_broadcast(right) if small is None else small:
-        return left.join(F.broadcast(right), key, how).select(*order)
+        return left.join(F.broadcast(right), key, how)
     rest = list(deal) if deal is not None else [c for c in left.columns if c != key]
     dealt = left.withColumn(SALT, F.pmod(F.xxhash64(*(rest or [key])), F.lit(salts)))
     copied = right.withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
-    return dealt.join(copied.hint("merge"), [key, SALT], how).select(*order)
+    return dealt.join(copied.hint("merge"), [key, SALT], how).drop(SALT)
 
 
 def pending_history(tx: DataFrame, keys: DataFrame, small: bool | None = None) -> DataFrame:
@@ -70,13 +69,14 @@ def refresh_keys(tx: DataFrame, master: DataFrame, keys: DataFrame, small: bool
 def unmatched(tx: DataFrame, master: DataFrame, deal: Sequence[str] | None = None) -> DataFrame:
     """The transactions :func:`enrich` drops, NULL products included; ``deal`` as in :func:`salted_join`."""
     known = master.select(F.col("productID").alias("ProductID")).distinct()
-    return salted_join(tx, known, "ProductID", "left_anti", deal=deal)
+    return salted_join(tx, known, "ProductID", "left_anti", deal=deal).select(*tx.columns)
 
 
 def orphans(child: DataFrame, parent: DataFrame, foreign_key: str, primary_key: str) -> DataFrame:
     """Child rows whose foreign key is set but names no parent."""
     known = parent.select(F.col(primary_key).alias(foreign_key)).distinct()
-    return salted_join(child.filter(F.col(foreign_key).isNotNull()), known, foreign_key, "left_anti")
+    linked = child.filter(F.col(foreign_key).isNotNull())
+    return salted_join(linked, known, foreign_key, "left_anti").select(*child.columns)
 
 
 def star_join(df: DataFrame, dimension: DataFrame, link: str) -> DataFrame:
