@@ -33,7 +33,7 @@ from martloom.schemas import DIMENSION_KEYS, FACT_KEEP_FIRST, FACT_KEYS, MASTER,
 from martloom.session import work_dir
 from martloom.sources.feeds import read_csv, read_master, read_transactions, split_corrupt
 from martloom.sources.warehouse import Warehouse
-from martloom.streaming.feeds import stream_files
+from martloom.streaming.feeds import stream_files, stream_master
 from martloom.streaming.loader import pending_keys, run_load
 from martloom.streaming.rates import arrival_rate, gated_ticks, tick_counts
 
@@ -290,6 +290,23 @@ def stream_arrival_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/rates")
 
 
+def stream_master_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The master feed landed, streamed to its end by the file sink, and read back."""
+    path, out = work_dir(spark, "master"), work_dir(spark, "master-stream")
+    master = fixtures.master(spark, sf_dir)
+    master.write.parquet(path)
+    query = (
+        stream_master(spark, path, master.schema, max_files=FILES_PER_PASS)
+        .writeStream.format("parquet")
+        .option("path", f"{out}/rows")
+        .option("checkpointLocation", f"{out}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(master.schema).parquet(f"{out}/rows")
+
+
 def _schemas_of(star: Star) -> dict:
     return {name: table.select(*STAR[name].names).schema for name, table in star.tables()}
 
@@ -417,6 +434,7 @@ QUERIES: dict[str, Query] = {
     "arrival_rate_per_tick": arrival_rate_per_tick,
     "dual_arrival_ticks": dual_arrival_ticks,
     "stream_arrival_rate": stream_arrival_rate,
+    "stream_master_feed": stream_master_feed,
     "stream_load_order_facts": stream_load_order_facts,
     "stream_load_split_order_facts": stream_load_split_order_facts,
     "stream_load_dimensions": stream_load_dimensions,

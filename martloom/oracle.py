@@ -211,6 +211,7 @@ FROM product JOIN nation ON supplierID = n_nationkey""",
     "refreshed_customer_store_sales": CUSTOMER_STORE_SALES,
     "scan_transactions": f"WITH {TX} SELECT {TX_COLUMNS} FROM tx",
     "scan_master": f"WITH {MASTER} SELECT * FROM master",
+    "stream_master_feed": f"WITH {MASTER} SELECT * FROM master",
     "csv_transactions": f"""WITH {TX}
 SELECT Order_ID, CAST(Order_Date AS TIMESTAMP) AS Order_Date, ProductID, CustomerID, CustomerName, Gender, Quantity_Ordered
 FROM tx""",
