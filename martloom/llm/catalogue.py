@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm import (
+    centroids,
     decontamination,
     language_id,
     neighbours,
@@ -83,6 +84,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replaced.select("doc_id", F.size("entities").cast("long").alias("n_entities"), "text")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_sentencepiece": op2_sentencepiece,
@@ -94,4 +99,5 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_neighbours": op9_neighbours,
     "op10_pii": op10_pii,
+    "op11_centroids": op11_centroids,
 }

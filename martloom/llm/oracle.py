@@ -55,7 +55,53 @@ SELECT page_id, octet_length(body) AS payload_bytes,
 FROM told
 """
 
+_GRID = """
+WITH kept AS (
+    SELECT row_number() OVER () AS row, vec_id,
+           list_transform(embedding, lambda e: CAST(floor(64 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64
+), centroids_0 AS (
+    SELECT n, x FROM (
+        SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, x) - 1 AS n, x FROM kept
+    ) WHERE n < 16
+)"""
+
+
+def _assigned(r: int) -> str:
+    step = "list_sum(list_transform(list_zip(kept.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    return f"""
+assigned_{r} AS (
+    SELECT row, vec_id, kept.x, arg_min(c.n, ({step}, c.n)) AS n, min({step}) AS distance
+    FROM kept, centroids_{r} c GROUP BY row, vec_id, kept.x
+)"""
+
+
+def _moved(r: int) -> str:
+    return f"""
+parts_{r} AS (
+    SELECT n, i, sum(v) AS s, count(*) AS m
+    FROM (SELECT n, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM assigned_{r}) GROUP BY n, i
+), means_{r} AS (
+    SELECT n, list(CAST((s - ((s % m) + m) % m) // m AS BIGINT) ORDER BY i) AS x FROM parts_{r} GROUP BY n
+), centroids_{r + 1} AS (
+    SELECT c.n, coalesce(m.x, c.x) AS x FROM centroids_{r} c LEFT JOIN means_{r} m ON c.n = m.n
+)"""
+
+
+CENTROIDS = (
+    ",".join([_GRID, *[part(r) for r in range(3) for part in (_assigned, _moved)], _assigned(3)])
+    + """
+SELECT vec_id, CAST(n AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY n) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM assigned_3 JOIN centroids_3 c USING (n)
+"""
+)
+
 ORACLE_SQL: dict[str, str] = {
     "op4_decontamination": DECONTAMINATION,
     "op6_warc": WARC,
+    "op11_centroids": CENTROIDS,
 }
