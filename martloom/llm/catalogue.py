@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm import (
+    alignment,
     centroids,
     decontamination,
     language_id,
+    mixing,
     neighbours,
     pii,
     quality,
@@ -88,6 +90,14 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clustered(table(spark, sf_dir, "embeddings"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_sentencepiece": op2_sentencepiece,
@@ -100,4 +110,6 @@ QUERIES: dict[str, Query] = {
     "op9_neighbours": op9_neighbours,
     "op10_pii": op10_pii,
     "op11_centroids": op11_centroids,
+    "op12_alignment": op12_alignment,
+    "op13_mixing": op13_mixing,
 }

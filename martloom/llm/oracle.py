@@ -100,8 +100,62 @@ FROM assigned_3 JOIN centroids_3 c USING (n)
 """
 )
 
+MIXING = """
+WITH sized AS (
+    SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+           CAST('0x' || substr(sha256('13:' || doc_id), 1, 15) AS BIGINT) AS key
+    FROM documents
+), weighted AS (
+    SELECT source, source_size, [5, 2, 1][(number - 1) % 3 + 1] AS weight, number FROM (
+        SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS number
+        FROM sized GROUP BY source)
+), totals AS (
+    SELECT sum(source_size) AS total FROM weighted
+), ordered AS (
+    -- A source is stopped if, those of a smaller size for their weight being so, its share is above twice its size.
+    SELECT weighted.*, total,
+           3 * total - 4 * (sum(source_size) OVER w - source_size) AS rest,
+           sum(weight) OVER () - sum(weight) OVER w + weight AS open
+    FROM weighted, totals WINDOW w AS (ORDER BY source_size / weight, number ROWS UNBOUNDED PRECEDING)
+), marked AS (
+    SELECT *, weight * rest > 4 * source_size * open AS stopped FROM ordered
+), told AS (
+    SELECT *, 3 * total - 4 * coalesce(sum(source_size) FILTER (stopped) OVER (), 0) AS left_words,
+           coalesce(sum(weight) FILTER (NOT stopped) OVER (), 0) AS shared
+    FROM marked
+), targets AS (
+    SELECT source, number, source_size,
+           CASE WHEN stopped THEN CAST(2 * source_size AS DOUBLE)
+                ELSE CAST(weight * left_words AS DOUBLE) / CAST(greatest(2 * shared, 1) AS DOUBLE) END AS target,
+           CAST(CASE WHEN stopped THEN 2 * source_size ELSE weight * left_words // greatest(2 * shared, 1) END AS BIGINT) AS quota
+    FROM told
+), laid AS (
+    SELECT doc_id, source, size, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS start
+    FROM sized
+), counted AS (
+    SELECT number, blocks, sum(blocks) OVER (ORDER BY number ROWS UNBOUNDED PRECEDING) AS upto, sum(blocks) OVER () AS n
+    FROM (SELECT number, (quota + 999) // 1000 AS blocks FROM targets) WHERE blocks > 0
+), powers AS (
+    SELECT n, greatest(1, CAST(ceil(log2(greatest(n, 2))) AS BIGINT)) AS bits FROM (SELECT DISTINCT n FROM counted)
+), points AS (
+    SELECT slot, n, 2 ** bits AS m,
+           list_sum(list_transform(range(bits), lambda b: ((slot >> CAST(b AS BIGINT)) & 1) << CAST(bits - 1 - b AS BIGINT))) AS point
+    FROM (SELECT n, bits, unnest(range(CAST(2 ** bits AS BIGINT))) AS slot FROM powers)
+), slots AS (
+    SELECT number, slot, row_number() OVER (PARTITION BY number ORDER BY slot) - 1 AS rank
+    FROM points JOIN counted c ON point * c.n >= (upto - blocks) * m AND point * c.n < upto * m
+)
+SELECT doc_id, size, source_size, target,
+       CAST(greatest(least(start + size, quota) - start, 0)
+          + greatest(least(start + source_size + size, quota) - start - source_size, 0) AS BIGINT) AS taken,
+       CASE WHEN size > 0 AND start < quota THEN slot END AS first_slot
+FROM laid JOIN targets ON laid.source IS NOT DISTINCT FROM targets.source
+LEFT JOIN slots ON slots.number = targets.number AND slots.rank = start // 1000
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op4_decontamination": DECONTAMINATION,
     "op6_warc": WARC,
     "op11_centroids": CENTROIDS,
+    "op13_mixing": MIXING,
 }
