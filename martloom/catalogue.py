@@ -35,7 +35,7 @@ from martloom.sources.feeds import read_csv, read_master, read_transactions, spl
 from martloom.sources.warehouse import Warehouse
 from martloom.streaming.feeds import stream_files, stream_master
 from martloom.streaming.loader import pending_keys, run_load
-from martloom.streaming.rates import arrival_rate, gated_ticks, tick_counts
+from martloom.streaming.rates import arrival_rate, arrival_rate_stream, gated_tick_stream, gated_ticks, past_clock
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,7 +45,7 @@ SUPPLIER = "Supplier#000000007"
 STORE = "NATION_3"
 RATIO = "2.05"
 SINCE = date(2001, 7, 26)
-HOUR = 3600
+HOUR, MINUTE = 3600, 60
 # Columns that tell the lines of a hot product apart.
 DEAL = ["Order_ID", "Quantity_Ordered"]
 # Bounds the work and the cached rows of one pass on tables of many files; facts
@@ -275,36 +275,67 @@ def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return stream_files(spark, f"{sf_dir}/{name}.parquet*", schema, max_files=FILES_PER_PASS)
 
 
-def stream_arrival_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Arrivals per hour of the events stream, run to its end."""
-    out = work_dir(spark, "arrival-rate")
-    rates = tick_counts(_stream(spark, sf_dir, "events"), "ts", HOUR)
+# Seconds that an event may come after others of later ticks.
+LATE = 1800
+
+
+def _all_files(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Every file there is in one pass, so that no clock runs ahead of a file."""
+    return stream_files(spark, path, schema)
+
+
+def _appended(rows: DataFrame, name: str) -> DataFrame:
+    """A streaming append run to the end of its input, and what the file sink holds then."""
+    out = work_dir(rows.sparkSession, name)
     query = (
-        rates.writeStream.outputMode("complete")
-        .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{out}/rates"))
+        rows.writeStream.format("parquet")
+        .option("path", f"{out}/rows")
         .option("checkpointLocation", f"{out}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(f"{out}/rates")
+    return rows.sparkSession.read.schema(rows.schema).parquet(f"{out}/rows")
+
+
+def _event_streams(spark: SparkSession, sf_dir: str, every: bool) -> tuple[DataFrame, DataFrame]:
+    """The events as a stream, and the clock that ran meanwhile."""
+    events = fixtures.table(spark, sf_dir, "events")
+    past, path = past_clock(events, "ts", HOUR, LATE, every), work_dir(spark, "clock")
+    past.write.parquet(path)
+    return _all_files(spark, f"{sf_dir}/events.parquet*", events.schema), _all_files(spark, path, past.schema)
+
+
+def stream_arrival_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrivals per hour of the events stream, hour by hour as they close."""
+    events, clock = _event_streams(spark, sf_dir, every=False)
+    return _appended(arrival_rate_stream({"arrivals": events}, clock, "ts", HOUR, LATE), "arrival-rate")
+
+
+def stream_arrival_rate_per_tick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minutes in which neither, either or both of the feeds advanced, of two streams."""
+    purchases, views = _feeds(spark, sf_dir)
+    past, path = past_clock(purchases.unionByName(views), "ts", MINUTE, LATE), work_dir(spark, "clock")
+    past.write.parquet(path)
+    streams = {
+        name: _all_files(spark, f"{sf_dir}/events.parquet*", fixtures.table(spark, sf_dir, "events").schema).filter(F.col("event_type") == kind)
+        for name, kind in (("transaction_rate", "purchase"), ("master_rate", "view"))
+    }
+    return _appended(arrival_rate_stream(streams, _all_files(spark, path, past.schema), "ts", MINUTE, LATE), "rates")
+
+
+def stream_dual_arrival_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours in which both feeds advanced, from a join of two streams."""
+    events, clock = _event_streams(spark, sf_dir, every=False)
+    feeds = [events.filter(F.col("event_type") == kind) for kind in ("purchase", "view")]
+    return _appended(gated_tick_stream(*feeds, clock, "ts", HOUR, LATE), "dual-arrivals")
 
 
 def stream_master_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The master feed landed, streamed to its end by the file sink, and read back."""
-    path, out = work_dir(spark, "master"), work_dir(spark, "master-stream")
-    master = fixtures.master(spark, sf_dir)
+    path, master = work_dir(spark, "master"), fixtures.master(spark, sf_dir)
     master.write.parquet(path)
-    query = (
-        stream_master(spark, path, master.schema, max_files=FILES_PER_PASS)
-        .writeStream.format("parquet")
-        .option("path", f"{out}/rows")
-        .option("checkpointLocation", f"{out}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.schema(master.schema).parquet(f"{out}/rows")
+    return _appended(stream_master(spark, path, master.schema, max_files=FILES_PER_PASS), "master-stream")
 
 
 def _schemas_of(star: Star) -> dict:
@@ -378,6 +409,58 @@ def stream_load_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_counts(warehouse.star().tables())
 
 
+SHARES = 4
+
+
+def _load_in_steps(spark: SparkSession, sf_dir: str, steps: int, gated: bool, **options) -> Warehouse:
+    """Shares of the orders landed one after another, the loader started anew after each.
+
+    With ``gated``, half of the master feed lands beside every other share.
+    """
+    root = work_dir(spark, "steps")
+    lines, orders, customer = (fixtures.table(spark, sf_dir, n) for n in ("lineitem", "orders", "customer"))
+    master = fixtures.master(spark, sf_dir)
+    warehouse = Warehouse(spark, f"{root}/warehouse", _schemas_of(fixtures.star(spark, sf_dir)))
+    for step in range(steps):
+        lines.filter(F.col("l_orderkey") % steps == step).write.parquet(f"{root}/lines/{step}")
+        if gated and step % 2 == 0:
+            master.filter(F.col("productID") % 2 == step // 2 % 2).write.parquet(f"{root}/master/{step}")
+        landed = stream_files(spark, f"{root}/lines/*", lines.schema)
+        run_load(
+            warehouse,
+            fixtures.transactions_of(landed, orders, customer),
+            master=lambda: fixtures.master(spark, sf_dir),
+            seq=SEQ,
+            history=None,
+            trigger={"availableNow": True},
+            compact_every=2,
+            gate=stream_master(spark, f"{root}/master/*", master.schema) if gated else None,
+            **options,
+        ).awaitTermination()
+    return warehouse
+
+
+def gated_load_order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four passes, the gate closed in the second and the last: the last share waits still."""
+    return _load_in_steps(spark, sf_dir, SHARES, gated=True, by_product=False).table("OrderFacts")
+
+
+def gated_load_waiting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products that wait for the gate after those passes, and their transactions."""
+    waiting = _load_in_steps(spark, sf_dir, SHARES, gated=True, by_product=False).waiting()
+    return waiting.groupBy("ProductID").agg(F.count("*").alias("transactions"))
+
+
+def gated_load_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of those passes saw and did."""
+    return _load_in_steps(spark, sf_dir, SHARES, gated=True, by_product=False).progress()
+
+
+def stream_load_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three passes, each joining again all landed transactions of its products, product by product."""
+    return _load_in_steps(spark, sf_dir, SPLIT, gated=False, landed=True).table("OrderFacts")
+
+
 QUERIES: dict[str, Query] = {
     # Reports.
     "supplier_sales_drilldown": _olap(olap.supplier_sales_drilldown),
@@ -434,9 +517,15 @@ QUERIES: dict[str, Query] = {
     "arrival_rate_per_tick": arrival_rate_per_tick,
     "dual_arrival_ticks": dual_arrival_ticks,
     "stream_arrival_rate": stream_arrival_rate,
+    "stream_arrival_rate_per_tick": stream_arrival_rate_per_tick,
+    "stream_dual_arrival_ticks": stream_dual_arrival_ticks,
     "stream_master_feed": stream_master_feed,
     "stream_load_order_facts": stream_load_order_facts,
     "stream_load_split_order_facts": stream_load_split_order_facts,
     "stream_load_dimensions": stream_load_dimensions,
     "stream_load_row_counts": stream_load_row_counts,
+    "stream_load_history": stream_load_history,
+    "gated_load_order_facts": gated_load_order_facts,
+    "gated_load_waiting": gated_load_waiting,
+    "gated_load_progress": gated_load_progress,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from martloom.catalogue import RATIO, SINCE, STORE, SUPPLIER, YEAR
+from martloom.catalogue import RATIO, SHARES, SINCE, SPLIT, STORE, SUPPLIER, YEAR
 
 PRODUCT = """product AS (
   SELECT p_partkey AS ProductID, p_name AS productName,
@@ -67,6 +67,13 @@ FROM ranked l JOIN ranked f ON l.Order_ID = f.Order_ID
 WHERE l.b = 1 AND f.r = 1"""
 
 
+# Every pass takes all lines that landed so far of the products that arrived in it.
+REJOINED = f"""(
+  SELECT n.*, a.pass, a.arrived
+  FROM (SELECT ProductID, Order_ID % {SPLIT} AS pass, MIN(seq) AS arrived FROM numbered GROUP BY 1, 2) a
+  JOIN numbered n ON n.ProductID = a.ProductID AND n.Order_ID % {SPLIT} <= a.pass)"""
+
+
 def _first_of(key: str, columns: str) -> str:
     """The first-loaded attributes of each key over two passes."""
     return f"""WITH {PASSES},
@@ -116,6 +123,26 @@ def _quarter(q: int) -> str:
     )
 
 
+def _rates(unit: str) -> str:
+    """Arrivals of both feeds in every tick from the first to the last."""
+    return f"""WITH feeds AS (
+  SELECT TIME_BUCKET(INTERVAL '1 {unit}', ts) AS tick, event_type FROM events WHERE event_type IN ('purchase', 'view')),
+ticks AS (
+  SELECT UNNEST(GENERATE_SERIES(MIN(tick), MAX(tick), INTERVAL '1 {unit}')) AS tick FROM feeds)
+SELECT t.tick, COUNT(*) FILTER (WHERE event_type = 'purchase') AS transaction_rate,
+       COUNT(*) FILTER (WHERE event_type = 'view') AS master_rate
+FROM ticks t LEFT JOIN feeds f ON t.tick = f.tick
+GROUP BY t.tick"""
+
+
+DUAL_ARRIVALS = """SELECT TIME_BUCKET(INTERVAL '1 hour', ts) AS tick,
+       COUNT(*) FILTER (WHERE event_type = 'purchase') AS transaction_rate,
+       COUNT(*) FILTER (WHERE event_type = 'view') AS master_rate
+FROM events
+GROUP BY 1
+HAVING transaction_rate > 0 AND master_rate > 0"""
+
+
 def _count(name: str, rows: str) -> str:
     return f"SELECT '{name}' AS table_name, COUNT(*) AS n FROM {rows}"
 
@@ -258,24 +285,31 @@ WHERE NOT EXISTS (SELECT 1 FROM master m JOIN nation ON m.supplierID = n_nationk
     "load_store_dim": _first_of("storeID", "storeID, storeName || ' ' || ProductID AS storeName"),
     "load_report": f"""WITH {JOINED}
 SELECT COUNT(*) AS joined_rows, COUNT(DISTINCT Order_ID) AS distinct_orders FROM joined""",
-    "arrival_rate_per_tick": """WITH feeds AS (
-  SELECT TIME_BUCKET(INTERVAL '1 hour', ts) AS tick, event_type FROM events WHERE event_type IN ('purchase', 'view')),
-ticks AS (
-  SELECT UNNEST(GENERATE_SERIES(MIN(tick), MAX(tick), INTERVAL '1 hour')) AS tick FROM feeds)
-SELECT t.tick, COUNT(*) FILTER (WHERE event_type = 'purchase') AS transaction_rate,
-       COUNT(*) FILTER (WHERE event_type = 'view') AS master_rate
-FROM ticks t LEFT JOIN feeds f ON t.tick = f.tick
-GROUP BY t.tick""",
-    "dual_arrival_ticks": """SELECT TIME_BUCKET(INTERVAL '1 hour', ts) AS tick,
-       COUNT(*) FILTER (WHERE event_type = 'purchase') AS transaction_rate,
-       COUNT(*) FILTER (WHERE event_type = 'view') AS master_rate
-FROM events
-GROUP BY 1
-HAVING transaction_rate > 0 AND master_rate > 0""",
+    "arrival_rate_per_tick": _rates("hour"),
+    "stream_arrival_rate_per_tick": _rates("minute"),
+    "dual_arrival_ticks": DUAL_ARRIVALS,
+    "stream_dual_arrival_ticks": DUAL_ARRIVALS,
     "stream_arrival_rate": """SELECT TIME_BUCKET(INTERVAL '1 hour', ts) AS tick, COUNT(*) AS arrivals
 FROM events GROUP BY 1""",
     "stream_load_order_facts": _upserted("one_pass", "seq"),
     "stream_load_split_order_facts": _upserted("one_pass", "seq"),
+    "stream_load_history": _upserted(REJOINED, "pass, arrived, seq"),
+    "gated_load_order_facts": _upserted(f"(SELECT * FROM one_pass WHERE Order_ID % {SHARES} <> {SHARES - 1})", "seq"),
+    "gated_load_waiting": f"""WITH {TX}
+SELECT ProductID, COUNT(*) AS transactions FROM tx WHERE Order_ID % {SHARES} = {SHARES - 1} GROUP BY ProductID""",
+    "gated_load_progress": f"""WITH {JOINED},
+passes AS (SELECT UNNEST(RANGE({SHARES})) AS pass),
+came AS (SELECT Order_ID % {SHARES} AS pass, COUNT(*) AS n FROM tx GROUP BY 1),
+made AS (
+  SELECT CASE Order_ID % {SHARES} WHEN 1 THEN 2 ELSE Order_ID % {SHARES} END AS pass, COUNT(*) AS joined_rows,
+         COUNT(DISTINCT Order_ID) AS distinct_orders
+  FROM joined GROUP BY 1),
+fed AS (SELECT productID % 2 * 2 AS pass, COUNT(*) AS n FROM master GROUP BY 1)
+SELECT p.pass, p.pass % 2 = 0 AS gate_open, COALESCE(came.n, 0) AS transactions, COALESCE(fed.n, 0) AS master_rows,
+       CASE p.pass % 2 WHEN 1 THEN came.n ELSE 0 END AS waiting,
+       CASE p.pass % 2 WHEN 0 THEN joined_rows ELSE 0 END AS joined_rows,
+       CASE p.pass % 2 WHEN 0 THEN distinct_orders ELSE 0 END AS distinct_orders
+FROM passes p LEFT JOIN came USING (pass) LEFT JOIN made USING (pass) LEFT JOIN fed USING (pass)""",
     "stream_load_dimensions": f"""WITH {JOINED}
 SELECT DISTINCT 'supplier' AS dimension, supplierID AS id, supplierName AS name, CAST(NULL AS VARCHAR) AS detail FROM joined
 UNION ALL SELECT DISTINCT 'product', ProductID, productName, CAST(supplierID AS VARCHAR) FROM joined

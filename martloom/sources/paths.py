@@ -34,7 +34,7 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file so that a reader sees it whole or not at all."""
+    """Write a small new file so that a reader sees it whole or not at all; nothing that is there is replaced."""
     file_system, location = _locate(spark, path)
     partial = location.suffix(".partial")
     stream = file_system.create(partial, True)
@@ -42,8 +42,7 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
-    file_system.delete(location, False)
-    if not file_system.rename(partial, location):
+    if file_system.exists(location) or not file_system.rename(partial, location):
         raise OSError(f"could not rename {partial} to {location}")
 
 

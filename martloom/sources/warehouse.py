@@ -5,9 +5,15 @@ there: a small file, written last and renamed into place, that names all
 folders the tables consist of. Readers follow the newest manifest alone, so they
 list nothing else, need no marker files, and never see part of a pass.
 
-    <root>/_manifests/<pass>.json
+    <root>/_manifests/<pass>.json           and <pass>.<n>.json for what follows in the same pass
     <root>/<table>/log/<pass>-<id>          rows of one pass
     <root>/<table>/part/<pass>-<id>[/OrderYear=Y]   compacted rows
+    <root>/_landed/log/<pass>-<id>/bucket=B         transactions as they came, by product
+    <root>/_waiting/log/<pass>-<id>         transactions that the gate holds back
+    <root>/_progress/part/<pass>-<id>       what earlier passes did
+
+A manifest is never replaced: a compaction, or a pass that is run again, writes
+one of the next number, and older ones go when no reader can need them.
 
 A fact carries the order of the earliest and the latest transaction behind it,
 so facts of several passes combine to what one pass over all would give.
@@ -20,9 +26,9 @@ import re
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from martloom.operators.load import insert_ignore, merge_facts, order_facts, product_order, reduce_batch
 from martloom.schemas import DIMENSION_KEYS, FACT_KEEP_FIRST, FACT_KEYS, FACT_TABLE, STAR, Star
@@ -36,32 +42,50 @@ YEAR = "OrderYear"
 GRACE = 100
 # Compacted folders of a dimension that are joined into one when there are more.
 PARTS = 8
+# Shares that landed transactions are dealt into by product.
+BUCKETS = 64
+BUCKET = "bucket"
+PROGRESS = StructType(
+    [
+        StructField("pass", LongType()),
+        StructField("gate_open", BooleanType()),
+        *[StructField(c, LongType()) for c in ("transactions", "master_rows", "waiting", "joined_rows", "distinct_orders")],
+    ]
+)
 
 
 class Warehouse:
     def __init__(
-        self, spark: SparkSession, root: str, schemas: dict[str, StructType] | None = None, grace: int = GRACE
+        self,
+        spark: SparkSession,
+        root: str,
+        schemas: dict[str, StructType] | None = None,
+        grace: int = GRACE,
+        buckets: int = BUCKETS,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schemas = schemas or STAR
         self.grace = max(1, grace)
+        self.buckets = buckets
 
     # Manifests
 
-    def _manifest_path(self, number: int) -> str:
-        return f"{self.root}/_manifests/{number}.json"
+    def _manifests(self) -> dict[tuple[int, int], str]:
+        """Paths of the manifests by pass and by number within it."""
+        names = children(self.spark, f"{self.root}/_manifests")
+        found = {name: re.fullmatch(r"(-?\d+)(?:\.(\d+))?\.json", name) for name in names}
+        return {(int(m[1]), int(m[2] or 0)): f"{self.root}/_manifests/{name}" for name, m in found.items() if m}
 
     def passes(self) -> list[int]:
-        """Numbers of the manifests that are there; -1 stands for the empty warehouse."""
-        names = children(self.spark, f"{self.root}/_manifests")
-        return sorted(int(m[1]) for name in names if (m := re.fullmatch(r"(-?\d+)\.json", name)))
+        """Passes that have a manifest; -1 stands for the empty warehouse."""
+        return sorted({number for number, _ in self._manifests()})
 
     def state(self, before: int | None = None) -> dict | None:
         """The newest manifest, or the newest before a pass; None for a warehouse that was never opened."""
-        numbers = [n for n in self.passes() if before is None or n < before]
-        if numbers:
-            return json.loads(read_text(self.spark, self._manifest_path(numbers[-1])))
+        manifests = {at: path for at, path in self._manifests().items() if before is None or at[0] < before}
+        if manifests:
+            return json.loads(read_text(self.spark, manifests[max(manifests)]))
         if set(children(self.spark, self.root)) & set(self.schemas):
             raise RuntimeError(f"{self.root} holds data but no manifest" + (f" before pass {before}" if before else ""))
         return None
@@ -72,18 +96,23 @@ class Warehouse:
         if state is None:
             tables = {name: {"log": [], "parts": {} if name == FACT_TABLE else []} for name in self.schemas}
             self._commit({"pass": -1, "position": position.jsonValue(), "tables": tables, "retired": []})
-        elif state["position"] != position.jsonValue():
+        elif state["position"] != position.jsonValue() and any(state["tables"][FACT_TABLE].values()):
             raise RuntimeError(f"{self.root} orders facts by {state['position']}, not by {position.jsonValue()}")
 
     def _commit(self, state: dict) -> None:
-        """Write the manifest, then remove what no reader within the grace can need."""
-        old = [x for x in state["retired"] if x[1] <= state["pass"] - self.grace]
+        """Write the next manifest of its pass, then remove what no reader within the grace can need."""
+        number = state["pass"]
+        old = [x for x in state["retired"] if x[1] <= number - self.grace]
         state["retired"] = [x for x in state["retired"] if x not in old]
-        write_text(self.spark, self._manifest_path(state["pass"]), json.dumps(state))
+        manifests = self._manifests()
+        again = max((n for at, n in manifests if at == number), default=-1) + 1
+        name = f"{number}.{again}" if again else f"{number}"
+        write_text(self.spark, f"{self.root}/_manifests/{name}.json", json.dumps(state))
         for folder, _ in old:
             delete(self.spark, folder)
-        if state["pass"] - self.grace > 0:
-            delete(self.spark, self._manifest_path(state["pass"] - self.grace - 1))
+        for at, path in manifests.items():
+            if 0 <= at[0] < number - self.grace:
+                delete(self.spark, path)
 
     # Reading
 
@@ -137,7 +166,15 @@ class Warehouse:
         return None
 
     def write_star(
-        self, lines: DataFrame, described: DataFrame, batch_id: int, order: Sequence[str], observation=None, arrival: bool = False
+        self,
+        lines: DataFrame,
+        described: DataFrame,
+        batch_id: int,
+        order: Sequence[str],
+        observation=None,
+        arrival: bool = False,
+        changes: dict | None = None,
+        progress: dict | None = None,
     ) -> None:
         """Load pass ``batch_id``: dimensions, facts, and then the manifest that makes them count.
 
@@ -146,10 +183,14 @@ class Warehouse:
         the latter and never touch the transactions. With ``arrival``, ``order``
         also ranks transactions of different passes; otherwise a later pass
         follows an earlier one. ``observation`` receives ``joined_rows`` and
-        ``distinct_orders`` from the fact write itself.
+        ``distinct_orders`` from the fact write itself; they are noted with
+        ``progress``. ``changes`` are other parts of the manifest, as :meth:`landed`
+        and :meth:`hold` return them, that begin to count with the pass.
         """
-        self.open(lines.select(*order).schema if arrival else BY_PASS)
-        state = self.state(before=batch_id)
+        by = lines.select(*order).schema if arrival else BY_PASS
+        self.open(by)
+        # Before the first fact the order is open: passes that only waited say nothing of it.
+        state = self.state(before=batch_id) | {"position": by.jsonValue()}
         for table, key in DIMENSION_KEYS.items():
             rows, position = (lines, order) if table == "CustomerDimension" else (described, product_order(described))
             # A stored dimension is first reduced to the keys asked for: a small
@@ -171,14 +212,93 @@ class Warehouse:
             )
         folder = self._write(facts.drop(ROWS), FACT_TABLE, "log", batch_id)
         state["tables"][FACT_TABLE]["log"] += [folder] if folder else []
-        self._commit(state | {"pass": batch_id})
+        counts = observation.get if observation is not None else {}
+        self._finish(state, batch_id, changes or {}, {"gate_open": True, **(progress or {}), **counts})
+
+    def _finish(self, state: dict, batch_id: int, changes: dict, progress: dict) -> None:
+        noted = state.get("progress", {"log": [], "parts": []})
+        noted["log"].append({**progress, "pass": batch_id})
+        self._commit(state | {"progress": noted} | changes | {"pass": batch_id})
+
+    # Transactions as they came
+
+    def _bucket(self, buckets: int) -> Column:
+        # As text, so that keys of another integer type find the same bucket.
+        return F.pmod(F.xxhash64(F.col("ProductID").cast("string")), F.lit(buckets)).cast("int")
+
+    def landed(self, batch: DataFrame, batch_id: int) -> dict:
+        """Write a pass's transactions by product; returns the change of the manifest that makes them count.
+
+        Every bucket is a list of folders of its own, so that the history of some
+        products is read without looking at the others'. Transactions without a
+        product join nothing and are not kept.
+        """
+        state = self.state(before=batch_id)
+        own = state.get("landed") or {"buckets": self.buckets, "schema": batch.schema.jsonValue(), "folders": {}}
+        return {"landed": self._laid(batch, own, "log", batch_id)}
+
+    def _laid(self, rows: DataFrame, own: dict, kind: str, number: int) -> dict:
+        dealt = rows.filter(F.col("ProductID").isNotNull()).withColumn(BUCKET, self._bucket(own["buckets"]))
+        # Rebalancing gathers a bucket into few files and still splits a hot one.
+        folder = self._write(dealt.hint("rebalance", F.col(BUCKET)), "_landed", kind, number, by=BUCKET)
+        folders = {b: list(paths) for b, paths in own["folders"].items()}
+        for name in children(self.spark, folder) if folder else []:
+            if name.startswith(f"{BUCKET}="):
+                folders.setdefault(name.removeprefix(f"{BUCKET}="), []).append(f"{folder}/{name}")
+        return own | {"folders": folders}
+
+    def history(self, keys: DataFrame, landed: dict | None = None) -> DataFrame:
+        """Landed transactions in the buckets of the products in ``keys``, which hold all of theirs.
+
+        ``landed`` is a change that does not count yet; otherwise the newest manifest's.
+        """
+        own = (landed or self.state())["landed"]
+        # At most as many rows as there are buckets.
+        touched = [str(r[0]) for r in keys.select(self._bucket(own["buckets"])).distinct().collect()]
+        schema, folders = StructType.fromJson(own["schema"]), [f for b in sorted(touched) for f in own["folders"].get(b, [])]
+        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
+
+    # The gate
+
+    def hold(self, batch: DataFrame, batch_id: int, progress: dict | None = None, changes: dict | None = None) -> None:
+        """Pass ``batch_id`` loads nothing: its transactions wait, as the manifest says, for a pass that does."""
+        if self.state(before=batch_id) is None:
+            self.open()
+        state = self.state(before=batch_id)
+        waiting = state.get("waiting") or {"schema": batch.schema.jsonValue(), "folders": []}
+        folder = self._write(batch, "_waiting", "log", batch_id)
+        waiting["folders"] += [folder] if folder else []
+        held = {"waiting": waiting} | (changes or {})
+        self._finish(state, batch_id, held, {"joined_rows": 0, "distinct_orders": 0, **(progress or {}), "gate_open": False})
+
+    def waiting(self, before: int | None = None) -> DataFrame | None:
+        """Transactions that the gate holds back; None if there are none."""
+        own = (self.state(before) or {}).get("waiting")
+        if not own or not own["folders"]:
+            return None
+        return self.spark.read.schema(StructType.fromJson(own["schema"])).parquet(*own["folders"])
+
+    def released(self, batch_id: int) -> dict:
+        """The change of the manifest by which nothing waits any more."""
+        state = self.state(before=batch_id)
+        own = state.get("waiting")
+        if not own:
+            return {}
+        return {"waiting": None, "retired": state["retired"] + [[folder, batch_id] for folder in own["folders"]]}
+
+    def progress(self) -> DataFrame:
+        """A row per pass: what arrived, whether the gate was open, what waited, and what was loaded."""
+        own = (self.state() or {}).get("progress", {"log": [], "parts": []})
+        fresh = self.spark.createDataFrame([tuple(r.get(c) for c in PROGRESS.names) for r in own["log"]], PROGRESS)
+        return self.spark.read.schema(PROGRESS).parquet(*own["parts"]).unionByName(fresh) if own["parts"] else fresh
 
     def compact(self) -> int:
         """Fold the log of the finished passes into the compacted parts; returns the last pass (-1 if none).
 
         Facts lie in a folder per year, sorted by date; only years that hold a row
         of an order in the log, or get one, are rewritten. The log's rows of a
-        dimension become one more part, and many parts one.
+        dimension become one more part, and many parts one. So do the passes'
+        progress and the folders of a bucket of landed transactions.
         """
         state = self.state()
         if state is None or state["pass"] < 0:
@@ -199,9 +319,35 @@ class Warehouse:
                 own["parts"] = [*kept, self._write(rows.hint("rebalance"), table, "part", upto)]
             own["log"] = []
             state["retired"] += [[folder, upto] for folder in gone]
+        self._compact_progress(state)
+        self._compact_landed(state)
         self._commit(state)
         return upto
 
+    def _compact_progress(self, state: dict) -> None:
+        own = state.get("progress")
+        if not own or not own["log"]:
+            return
+        gone = own["parts"] if len(own["parts"]) >= PARTS else []
+        rows = self.spark.createDataFrame([tuple(r.get(c) for c in PROGRESS.names) for r in own["log"]], PROGRESS)
+        if gone:
+            rows = rows.unionByName(self.spark.read.schema(PROGRESS).parquet(*gone))
+        kept = [p for p in own["parts"] if p not in gone]
+        state["progress"] = {"log": [], "parts": [*kept, self._write(rows.coalesce(1), "_progress", "part", state["pass"])]}
+        state["retired"] += [[folder, state["pass"]] for folder in gone]
+
+    def _compact_landed(self, state: dict) -> None:
+        """Join the folders of buckets that have many; the other buckets are not read."""
+        own = state.get("landed")
+        many = {b: paths for b, paths in own["folders"].items() if len(paths) > PARTS} if own else {}
+        if not many:
+            return
+        gone = [f for paths in many.values() for f in paths]
+        rows = self.spark.read.schema(StructType.fromJson(own["schema"])).parquet(*gone)
+        kept = own | {"folders": {b: paths for b, paths in own["folders"].items() if b not in many}}
+        state["landed"] = self._laid(rows, kept, "part", state["pass"])
+        state["retired"] += [[folder, state["pass"]] for folder in gone]
+
     def touched_years(self, state: dict) -> tuple[list[str], DataFrame]:
         """Years of stored facts that the log changes, and those facts merged with the log."""
         own = state["tables"][FACT_TABLE]

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from martloom.operators.joins import enrich, pending_history
 from martloom.operators.load import FIRST_SEEN, pass_lines, products_seen
 from martloom.sources.paths import children, exists
-from martloom.sources.warehouse import Warehouse
+from martloom.sources.warehouse import BY_PASS, Warehouse
 
 log = logging.getLogger(__name__)
 
@@ -34,11 +34,17 @@ def load_pass(
     seq: Sequence[str],
     history: DataFrame | None = None,
     by_product: bool = True,
+    landed: bool = False,
+    changes: dict | None = None,
+    progress: dict | None = None,
 ) -> dict[str, Any]:
     """Load one batch and return its joined rows and distinct orders.
 
     With ``history``, all transactions of the batch's products are joined
-    again, old ones at today's price; without it, only the batch.
+    again, old ones at today's price; without it, only the batch. With ``landed``
+    the warehouse keeps the history itself, by product, and a pass reads the
+    buckets of its products. ``changes`` and ``progress`` go to the manifest.
+    Products are visited in the order in which they arrived in the batch.
     ``by_product`` orders the pass product by product. Without it and without
     history, rows count in ``seq`` order alone, across passes too: each stored
     fact keeps the order of the transactions behind it, so that it does not
@@ -47,17 +53,24 @@ def load_pass(
     """
     # Products and lines are worked out once a pass and kept for its five writes.
     # A lost executor's share is recomputed from the files behind it.
+    kept, changes = [], dict(changes or {})
+    if landed:
+        kept.append(batch.persist(StorageLevel.MEMORY_AND_DISK))
+        warehouse.open(BY_PASS)
+        changes |= warehouse.landed(batch, batch_id)
+        history = warehouse.history(pending_keys(batch), changes)
     tx = batch if history is None else pending_history(history, pending_keys(batch))
-    kept = [tx.persist(StorageLevel.MEMORY_AND_DISK)]
+    kept.append(tx.persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        described = enrich(products_seen(tx, seq), master).persist(StorageLevel.MEMORY_AND_DISK)
+        described = enrich(products_seen(batch, seq), master).persist(StorageLevel.MEMORY_AND_DISK)
         kept.append(described)
         lines = pass_lines(tx, described).persist(StorageLevel.MEMORY_AND_DISK)
         kept.append(lines)
         # A product listed twice yields two rows per transaction; the price tells them apart.
         order = [*([FIRST_SEEN] if by_product else []), *seq, "productPrice"]
         counted = Observation(f"load-{batch_id}")
-        warehouse.write_star(lines, described, batch_id, order, counted, arrival=history is None and not by_product)
+        arrival = history is None and not by_product
+        warehouse.write_star(lines, described, batch_id, order, counted, arrival, changes, progress)
         return counted.get
     finally:
         for table in reversed(kept):
@@ -73,6 +86,16 @@ def check_root(warehouse: Warehouse, checkpoint: str) -> None:
         raise RuntimeError(f"{checkpoint} counts committed batches that {warehouse.root} does not hold")
 
 
+FEED = "_feed"
+
+
+def beside(transactions: DataFrame, master_feed: DataFrame) -> DataFrame:
+    """Both feeds as one stream, so that a pass sees what either brought; of master rows only that they came."""
+    return transactions.withColumn(FEED, F.lit("transactions")).unionByName(
+        master_feed.select(F.lit("master").alias(FEED)), allowMissingColumns=True
+    )
+
+
 def run_load(
     warehouse: Warehouse,
     transactions: DataFrame,
@@ -83,30 +106,59 @@ def run_load(
     trigger: dict[str, Any] | None = None,
     report: Callable[[int, dict[str, Any]], None] | None = None,
     compact_every: int = 20,
+    landed: bool = False,
+    gate: DataFrame | None = None,
 ) -> StreamingQuery:
     """Start loading the ``transactions`` stream into ``warehouse``.
 
     ``master`` and ``history`` are called in every pass, so each pass sees the
     master data and the landed transactions of that moment. ``history=None``
     joins only what arrived, which keeps the work of a pass proportional to the
-    pass; see :func:`load_pass`. The default trigger is a pass per second. The
-    log is compacted after every ``compact_every`` passes, which bounds what a
-    pass and a reader have to look at.
+    pass; ``landed`` keeps the history by product; see :func:`load_pass`. The
+    default trigger is a pass per second. The log is compacted after every
+    ``compact_every`` passes, which bounds what a pass and a reader have to look at.
+
+    ``gate`` is the master feed as a stream. With it a pass loads only if both
+    feeds advanced in it; otherwise its transactions wait in the warehouse, from
+    where the next pass in which both advance loads them with its own. They
+    survive a restart, and a pass that is run again finds those that waited
+    before it. What every pass saw and did is :meth:`Warehouse.progress`.
     """
     checkpoint = f"{warehouse.root}/checkpoint"
     check_root(warehouse, checkpoint)
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        landed = history() if history else None
-        counts = load_pass(warehouse, batch, batch_id, master(), seq, landed, by_product)
+    def finished(batch_id: int, counts: dict[str, Any]) -> None:
         log.info("pass %s: %s rows joined into %s orders", batch_id, counts["joined_rows"], counts["distinct_orders"])
         if report:
             report(batch_id, counts)
         if (batch_id + 1) % compact_every == 0:
             warehouse.compact()
 
+    def load(batch: DataFrame, batch_id: int, **noted: Any) -> None:
+        past = history() if history else None
+        finished(batch_id, load_pass(warehouse, batch, batch_id, master(), seq, past, by_product, landed, **noted))
+
+    def load_gated(both: DataFrame, batch_id: int) -> None:
+        both = both.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            arrived = dict(both.groupBy(FEED).count().collect())  # A row per feed.
+            batch, counts = both.filter(F.col(FEED) == "transactions").drop(FEED), {"joined_rows": 0, "distinct_orders": 0}
+            waited = warehouse.waiting(before=batch_id)
+            came, held = arrived.get("transactions", 0), waited.count() if waited is not None else 0
+            progress = {"transactions": came, "master_rows": arrived.get("master", 0)}
+            if came and progress["master_rows"]:
+                batch = batch if waited is None else batch.unionByName(waited)
+                changes = warehouse.released(batch_id) if waited is not None else {}
+                load(batch, batch_id, changes=changes, progress=progress | {"waiting": 0})
+            else:
+                warehouse.hold(batch, batch_id, progress | {"waiting": came + held})
+                finished(batch_id, counts)
+        finally:
+            both.unpersist()
+
+    rows, each = (transactions, load) if gate is None else (beside(transactions, gate), load_gated)
     return (
-        transactions.writeStream.foreachBatch(load)
+        rows.writeStream.foreachBatch(each)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 second"}))
         .start()

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TICKS_PER_BLOCK = 4096
@@ -13,7 +15,7 @@ def _tick(ts: str, seconds: int) -> Column:
 
 
 def tick_counts(df: DataFrame, ts: str, seconds: int, name: str = "arrivals") -> DataFrame:
-    """Rows per tick that has any; works on a table and on a stream."""
+    """Rows per tick that has any, of a table; :func:`closed_ticks` is the streaming form."""
     return df.groupBy(_tick(ts, seconds).alias("tick")).agg(F.count("*").alias(name))
 
 
@@ -54,3 +56,65 @@ def gated_ticks(transactions: DataFrame, master: DataFrame, ts: str, seconds: in
     return tick_counts(transactions, ts, seconds, "transaction_rate").join(
         tick_counts(master, ts, seconds, "master_rate"), "tick"
     )
+
+
+def clock(spark: SparkSession, ts: str = "ts") -> DataFrame:
+    """A stream of the present instant, once a second, for live feeds."""
+    return spark.readStream.format("rate").option("rowsPerSecond", 1).load().select(F.col("timestamp").alias(ts))
+
+
+def past_clock(feeds: DataFrame, ts: str, seconds: int, late: int, every: bool = True) -> DataFrame:
+    """The instants a clock would have shown while these rows arrived, to be landed and streamed beside them.
+
+    ``every`` tick from the first to the last, and an instant far enough after the
+    end for the last tick to close; without ``every`` that instant alone.
+    """
+    counts = tick_counts(feeds, ts, seconds)
+    after = F.make_dt_interval(secs=F.lit(seconds + late))
+    end = counts.agg(F.max("tick").alias("hi")).filter(F.col("hi").isNotNull()).select((F.col("hi") + after).alias(ts))
+    return _all_ticks(counts, seconds).select(F.col("tick").alias(ts)).unionByName(end) if every else end
+
+
+def closed_ticks(feeds: Mapping[str, DataFrame], clock: DataFrame, ts: str, seconds: int, late: int) -> DataFrame:
+    """``window`` and the arrivals of every feed in it, for ticks that are over: a streaming append.
+
+    ``feeds`` names the counts and gives streams, ``clock`` is a stream of instants;
+    all have ``ts``. The clock's rows count for no feed but belong to their tick,
+    so that a tick in which nothing arrived comes out with zeros. A tick is over,
+    comes out once, and leaves the state when the newest instant is ``late``
+    seconds past its end; rows that come after that are dropped, and counted by the
+    query's progress. The state holds a row per open tick.
+    """
+
+    def counted(df: DataFrame, own: str | None) -> DataFrame:
+        return df.select(F.col(ts).cast("timestamp").alias(ts), *[F.lit(int(name == own)).alias(name) for name in feeds])
+
+    rows = counted(clock, None)
+    for name, feed in feeds.items():
+        rows = rows.unionByName(counted(feed, name))
+    ticks = rows.withWatermark(ts, f"{late} seconds").groupBy(F.window(ts, f"{seconds} seconds").alias("window"))
+    return ticks.agg(*[F.sum(name).cast("bigint").alias(name) for name in feeds])
+
+
+def _tick_first(ticks: DataFrame) -> DataFrame:
+    return ticks.select(F.col("window.start").cast("timestamp_ntz").alias("tick"), *[c for c in ticks.columns if c != "window"])
+
+
+def arrival_rate_stream(feeds: Mapping[str, DataFrame], clock: DataFrame, ts: str, seconds: int, late: int) -> DataFrame:
+    """(tick, a rate per feed) as ticks close, quiet ones included: :func:`arrival_rate` of running feeds."""
+    return _tick_first(closed_ticks(feeds, clock, ts, seconds, late))
+
+
+def gated_tick_stream(
+    transactions: DataFrame, master: DataFrame, clock: DataFrame, ts: str, seconds: int, late: int
+) -> DataFrame:
+    """:func:`gated_ticks` of running feeds: the counts of both, joined as streams by their window.
+
+    A count waits in the join's state for its counterpart until the window is over
+    for both feeds. The clock closes the ticks of each feed.
+    """
+    advanced = [
+        closed_ticks({name: feed}, clock, ts, seconds, late).filter(F.col(name) > 0)
+        for name, feed in (("transaction_rate", transactions), ("master_rate", master))
+    ]
+    return _tick_first(advanced[0].join(advanced[1], "window"))

@@ -11,11 +11,11 @@ import pytest
 
 from martloom.operators.joins import enrich
 from martloom.operators.load import FIRST_SEEN, order_facts, pass_lines, products_seen, reduce_batch
-from martloom.schemas import FACT_KEEP_FIRST, FACT_KEYS, STAR
+from martloom.schemas import FACT_KEEP_FIRST, FACT_KEYS, MASTER, STAR
 from martloom.sources.warehouse import Warehouse
 from martloom.streaming.feeds import stream_master, stream_transactions
 from martloom.streaming.loader import ArrivalLog, load_pass, run_load
-from martloom.streaming.rates import TICKS_PER_BLOCK, arrival_rate, gated_ticks, tick_counts
+from martloom.streaming.rates import TICKS_PER_BLOCK, arrival_rate, arrival_rate_stream, gated_tick_stream, gated_ticks, past_clock
 from tables import TX, master_table, rows_of, tx_table
 
 MASTER_ROWS = [(10, "1.25", 100, 1000), (20, "2.50", 200, 2000), (30, "3.00", None, None)]
@@ -322,11 +322,161 @@ def test_master_stream_rate_and_arrival_log(spark, tmp_path):
     assert any("3 rows" in line for line in lines)
 
 
-def test_tick_counts_stream_equals_batch(spark, tmp_path):
-    path = str(tmp_path / "ticks")
-    times(spark, 0, 1, 12, 25).write.parquet(path)
-    stream = tick_counts(spark.readStream.schema("ts timestamp").parquet(path), "ts", 10)
-    stream.writeStream.outputMode("complete").format("memory").queryName("ticks").trigger(
-        availableNow=True
-    ).start().awaitTermination()
-    assert rows_of(spark.table("ticks")) == rows_of(tick_counts(spark.read.parquet(path), "ts", 10))
+def run_ticks(spark, rows, tmp_path, name):
+    query = (
+        rows.writeStream.format("parquet").option("path", str(tmp_path / name)).option("checkpointLocation", str(tmp_path / f"{name}-c"))
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return rows_of(spark.read.schema(rows.schema).parquet(str(tmp_path / name))), query.recentProgress
+
+
+def landed_times(spark, path, piles):
+    """A file per pile, in order, and the stream that reads one of them a pass."""
+    for n, pile in enumerate(piles):
+        times(spark, *pile).coalesce(1).write.parquet(f"{path}/{n}")
+    return spark.readStream.schema("ts timestamp").option("maxFilesPerTrigger", 1).parquet(f"{path}/*")
+
+
+def test_rates_of_running_feeds_show_quiet_ticks_and_keep_open_ones_only(spark, tmp_path):
+    minutes = [[60 * n + s for s in range(0, 60, 4)] for n in range(8)]
+    transactions = landed_times(spark, tmp_path / "t", [m[:5] if n % 3 == 0 else m[:1] for n, m in enumerate(minutes)])
+    master = landed_times(spark, tmp_path / "m", [[m[7]] for m in minutes])
+    clock = landed_times(spark, tmp_path / "c", minutes)
+    rates = arrival_rate_stream({"transaction_rate": transactions, "master_rate": master}, clock, "ts", 10, 15)
+    got, progress = run_ticks(spark, rates, tmp_path, "out")
+    batch = [times(spark, *[x for n, m in enumerate(minutes) for x in (m[:5] if n % 3 == 0 else m[:1])]), times(spark, *[m[7] for m in minutes])]
+    expected = rows_of(arrival_rate(*batch, "ts", 10))
+    # The newest instant is 476, so ticks that end by 461 are over.
+    closed = [r for r in expected if (r[0] - dt.datetime(2024, 1, 1)).total_seconds() + 10 <= 461]
+    quiet = [r for r in got if r[1:] == (0, 0)]
+    assert [r for r in got if r[0] <= closed[-1][0]] == closed and len(quiet) >= 24
+    state = [p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]]
+    # A pass brings 6 ticks; 2 or 3 stay open behind it.
+    assert len(state) >= 8 and max(state) <= 9 and state[-1] <= 3
+
+
+def test_rates_drop_and_count_what_comes_too_late(spark, tmp_path):
+    feed = landed_times(spark, tmp_path / "t", [[0, 5], [300], [400], [7]])
+    clock = landed_times(spark, tmp_path / "c", [[0], [310], [420], [500]])
+    got, progress = run_ticks(spark, arrival_rate_stream({"n": feed}, clock, "ts", 10, 15), tmp_path, "out")
+    start = dt.datetime(2024, 1, 1)
+    assert [((t - start).seconds, n) for t, n in got if n] == [(0, 2), (300, 1), (400, 1)]
+    assert sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in progress if p["stateOperators"]) == 1
+
+
+def test_gate_of_running_feeds_equals_the_batch(spark, tmp_path):
+    rng = random.Random(8)
+    feeds = [[sorted(rng.sample(range(100 * n, 100 * n + 100), 6)) for n in range(4)] for _ in range(2)]
+    clock = landed_times(spark, tmp_path / "c", [[100 * n + 99] for n in range(4)])
+    streams = [landed_times(spark, tmp_path / f"f{i}", f) for i, f in enumerate(feeds)]
+    got, _ = run_ticks(spark, gated_tick_stream(*streams, clock, "ts", 10, 100), tmp_path, "out")
+    expected = rows_of(gated_ticks(*[times(spark, *sum(f, [])) for f in feeds], "ts", 10))
+    start = dt.datetime(2024, 1, 1)
+    closed = [r for r in expected if (r[0] - start).seconds + 10 <= 299]
+    assert closed and got == closed
+
+
+def test_the_clock_of_past_feeds_closes_their_last_tick(spark, tmp_path):
+    rows = times(spark, 3, 41)
+    for every, ticks in ((True, [0, 10, 20, 30, 40, 65]), (False, [65])):
+        past = past_clock(rows, "ts", 10, 15, every)
+        assert sorted((r.ts - dt.datetime(2024, 1, 1)).seconds for r in past.collect()) == ticks
+    assert past_clock(rows.limit(0), "ts", 10, 15).collect() == []
+
+
+def gated(spark, root, **options):
+    warehouse = Warehouse(spark, str(root / "dw"))
+    run_load(
+        warehouse,
+        spark.readStream.schema(TX).parquet(str(root / "tx")),
+        master=lambda: master_table(spark, MASTER_ROWS),
+        seq=SEQ,
+        history=None,
+        trigger=ONCE,
+        gate=spark.readStream.schema(MASTER).parquet(str(root / "m")),
+        **options,
+    ).awaitTermination()
+    return warehouse
+
+
+@pytest.mark.parametrize("options", [{"by_product": False}, {"landed": True}, {"by_product": False, "compact_every": 1}])
+def test_keys_wait_for_both_feeds_and_survive_a_restart(spark, tmp_path, options):
+    (tmp_path / "m").mkdir()
+    for n in (0, 1):
+        tx_table(spark, FILES[n]).write.mode("append").parquet(str(tmp_path / "tx"))
+        warehouse = gated(spark, tmp_path, **options)
+        assert warehouse.table("OrderFacts").count() == 0
+    assert rows_of(warehouse.waiting()) == rows_of(tx_table(spark, FILES[0] + FILES[1]))
+    master_table(spark, MASTER_ROWS[:2]).write.parquet(str(tmp_path / "m/a"))
+    # Master rows alone do not open it either.
+    warehouse = gated(spark, tmp_path, **options)
+    assert warehouse.table("OrderFacts").count() == 0 and warehouse.waiting().count() == 5
+    (tmp_path / "m").rename(tmp_path / "old")
+    master_table(spark, MASTER_ROWS[2:]).write.parquet(str(tmp_path / "m"))
+    tx_table(spark, FILES[2]).write.mode("append").parquet(str(tmp_path / "tx"))
+    warehouse = gated(spark, tmp_path, **options)
+    order = [FIRST_SEEN, *SEQ] if options.get("landed") else SEQ
+    assert rows_of(warehouse.table("OrderFacts")) == rows_of(batch_facts(spark, ALL, order))
+    assert warehouse.waiting() is None
+    noted = rows_of(warehouse.progress())
+    assert [(r[0], r[1], r[2], r[4], r[5]) for r in noted] == [
+        (0, False, 2, 2, 0), (1, False, 3, 5, 0), *([(2, False, 0, 5, 0)] if len(noted) == 4 else []), (noted[-1][0], True, 3, 0, 6)
+    ]
+
+
+def test_a_gated_pass_that_is_run_again_loads_once(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "dw"))
+    held, batch, master = tx_table(spark, FILES[0]), tx_table(spark, FILES[1]), master_table(spark, MASTER_ROWS)
+    warehouse.hold(held, 0)
+    warehouse.hold(held, 0)
+    assert warehouse.waiting().count() == 2
+    for _ in range(2):
+        waited = warehouse.waiting(before=1)
+        load_pass(warehouse, batch.unionByName(waited), 1, master, SEQ, by_product=False, changes=warehouse.released(1))
+    assert rows_of(warehouse.table("OrderFacts")) == rows_of(batch_facts(spark, FILES[0] + FILES[1], SEQ))
+    assert warehouse.waiting() is None and warehouse.progress().count() == 2
+
+
+def test_landed_history_equals_all_transactions_and_opens_touched_buckets_only(spark, tmp_path):
+    warehouse, plain = Warehouse(spark, str(tmp_path / "dw"), buckets=8), Warehouse(spark, str(tmp_path / "plain"))
+    rng, past, passes = random.Random(4), [], 11
+    products = {p: (p, f"{p}.50", p % 3, p % 2) for p in range(12)}
+    for n in range(passes):
+        rows = [(rng.randrange(30), 1 + n, rng.choice([n, n + 1, 99, None]), rng.randrange(5), rng.randrange(9), 10 * n + k) for k in range(6)]
+        past += rows
+        batch, master = tx_table(spark, rows), master_table(spark, list(products.values()))
+        load_pass(warehouse, batch, n, master, SEQ, landed=True)
+        load_pass(plain, batch, n, master, SEQ, history=tx_table(spark, past))
+        if n % 3 == 2:
+            warehouse.compact()
+    assert rows_of(warehouse.table("OrderFacts")) == rows_of(plain.table("OrderFacts"))
+    keys = spark.createDataFrame([(3,)], "ProductID int")
+    files = warehouse.history(keys).inputFiles()
+    buckets = {f.split("bucket=")[1].split("/")[0] for f in files}
+    assert len(buckets) == 1 and len(files) < len(warehouse.history(tx_table(spark, past)).inputFiles())
+    assert rows_of(warehouse.history(keys).filter("ProductID = 3")) == rows_of(tx_table(spark, past).filter("ProductID = 3"))
+    assert max(map(len, warehouse.state()["landed"]["folders"].values())) <= 11
+    assert warehouse.history(keys.limit(0)).count() == 0
+
+
+def test_a_crash_in_a_compaction_loses_nothing(spark, tmp_path, monkeypatch):
+    from martloom.sources import warehouse as module
+
+    warehouse = Warehouse(spark, str(tmp_path / "dw"))
+    for n in (0, 1):
+        load_pass(warehouse, tx_table(spark, [(n, 1, 10, 7, 1, n)]), n, master_table(spark, MASTER_ROWS), SEQ, by_product=False)
+
+    def crash(*_):
+        raise OSError("no rename")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(module, "write_text", crash)
+        with pytest.raises(OSError):
+            warehouse.compact()
+    assert warehouse.table("OrderFacts").count() == 2 and warehouse.passes() == [-1, 0, 1]
+    with monkeypatch.context() as patch:
+        patch.setattr(module, "delete", crash)
+        warehouse.compact()
+    assert warehouse.table("OrderFacts").count() == 2
+    assert warehouse.state()["tables"]["OrderFacts"]["log"] == [] and warehouse.passes() == [-1, 0, 1]
