@@ -3,13 +3,10 @@
 from __future__ import annotations
 
 import os
-import re
 import struct
-from collections import ChainMap
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -22,10 +19,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 # Characters encoded at once; the pieces of so many are in memory together.
 CHARACTERS = 1 << 19
 SPACE = "▁"
-# A word with the spaces before it, or spaces at the end.
-_CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-# Words kept per worker process, and the longest that is.
-_MEMO, _LONGEST = 500_000, 48
+# Threads that encode a batch; more where a task is given more cores.
+THREADS = 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
 CODED = "struct<ids:array<int>,decoded:string,parity:boolean>"
@@ -118,17 +113,9 @@ def merges_of(pieces: list[tuple[str, float, int]]) -> list[tuple[str, str]]:
     return [(pieces[a][0], pieces[b][0]) for _, a, b in sorted(splits)]
 
 
-def _decoder(drops: int = 0):
-    """Pieces to text, without as many spaces in front."""
-    from tokenizers import decoders
-
-    back = [decoders.Replace(SPACE, " "), decoders.ByteFallback(), decoders.Fuse()]
-    return decoders.Sequence(back + [decoders.Strip(" ", drops, 0)] * bool(drops))
-
-
 def rebuild(model: Model):
     """A ``tokenizers.Tokenizer`` that does what the model does."""
-    from tokenizers import AddedToken, Regex, Tokenizer, models, normalizers
+    from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers
 
     if model.algorithm not in (UNIGRAM, BPE):
         raise ValueError("only unigram and BPE models are supported")
@@ -156,7 +143,9 @@ def rebuild(model: Model):
     steps.append(normalizers.Replace(" ", mark))
     tokenizer.normalizer = normalizers.Sequence(steps)
     # The original drops the space that it put before a text, or all in front where it trims.
-    tokenizer.decoder = _decoder((1 << 20) * model.trims_spaces or int(model.dummy_prefix))
+    drops = (1 << 20) * model.trims_spaces or int(model.dummy_prefix)
+    back = [decoders.Replace(SPACE, " "), decoders.ByteFallback(), decoders.Fuse()]
+    tokenizer.decoder = decoders.Sequence(back + [decoders.Strip(" ", drops, 0)] * bool(drops))
     own = [AddedToken(piece, normalized=False) for piece, _, kind in model.pieces if kind == USER]
     if own:
         tokenizer.add_tokens(own)
@@ -166,13 +155,13 @@ def rebuild(model: Model):
 class Codec:
     """A model rebuilt, with the original library beside it to verify parity.
 
-    If no piece goes on with a space mark after another letter, no piece can reach
-    over the start of a word, and a text's ids are those of its words in turn.
-    Words are then encoded and verified once each, in batches, and kept within a
-    bound; other models, and very long words, are encoded as a whole each time.
+    Whole texts go through the rebuilt tokenizer in multithreaded batches, and its
+    ids are the result. The original encodes the same whole texts and is only
+    compared with it: it settles ties between equal pieces by place, which ranks of
+    merges cannot express, so a model may have texts on which the two differ.
     """
 
-    def __init__(self, data: bytes, threads: int = 1) -> None:
+    def __init__(self, data: bytes, threads: int = THREADS) -> None:
         # Read when the library first makes its threads, in this worker process.
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
@@ -182,62 +171,23 @@ class Codec:
         self.model = parse(data)
         self.tokenizer = rebuild(self.model)
         self.original = SentencePieceProcessor(model_proto=data)
-        matched = [piece for piece, _, kind in self.model.pieces if kind in (NORMAL, USER)]
-        self.by_word = self.model.escapes_spaces and not any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in matched)
-        # The same without normaliser and without dropping the space in front.
-        self.inner = rebuild(self.model)
-        self.inner.normalizer = None
-        self.inner.decoder = _decoder()
-        self.plain = self.model.escapes_spaces and not self.model.charsmap and not self.model.trims_spaces
-        self.known: dict[str, tuple[int, ...]] = {}
-        # What is decoded, and whether the libraries agree, for the words where
-        # decoding does not give the word back or they do not.
-        self.odd: dict[str, tuple[str, bool]] = {}
-
-    def _learn(self, chunks: list[str]) -> dict[str, tuple[int, ...]]:
-        """Ids of normalised pieces of text; those of short ones are kept.
-
-        Where the libraries differ, the ids are the original's: it settles ties
-        between equal pieces by place, which ranks of merges cannot express.
-        """
-        if len(self.known) > _MEMO or len(self.odd) > _MEMO // 10:
-            self.known, self.odd = {}, {}
-        fresh = [c for c in dict.fromkeys(chunks) if c not in self.known]
-        found = [e.ids for e in self.inner.encode_batch_fast(fresh, add_special_tokens=False)]
-        prefix = SPACE if self.model.dummy_prefix else ""
-        # Marks stay as they are: both libraries read a mark as the space it stands for.
-        original = self.original.encode([chunk.removeprefix(prefix) for chunk in fresh], num_threads=self.threads)
-        if prefix and prefix in fresh:  # a lone mark is no text that the original could be given
-            mark = self.original.piece_to_id(prefix)
-            original[fresh.index(prefix)] = [mark] if mark != self.model.unknown else found[fresh.index(prefix)]
-        long = {}
-        for chunk, a, b, text in zip(fresh, found, original, self.inner.decode_batch(original, skip_special_tokens=False)):
-            (self.known if len(chunk) <= _LONGEST else long)[chunk] = tuple(b)
-            if a != b or text != chunk.replace(SPACE, " "):
-                self.odd[chunk] = text, a == b
-        return ChainMap(self.known, long) if long else self.known
+        self.bytes = [
+            bytes([int(piece[3:5], 16)]) if kind == BYTE else piece.replace(SPACE, " ").encode()
+            for piece, _, kind in self.model.pieces
+        ]
 
     def code(self, texts: list[str]) -> list[tuple[np.ndarray, str, bool]]:
         """Ids, the text they stand for, and whether both libraries agree, for each text."""
-        split = _CHUNK.findall if self.by_word else lambda text: [text] * bool(text)
-        marked = [self._marked(text) for text in texts]
-        lists = [split(text) for text in marked]
-        ids, out = self._learn([c for chunks in lists for c in chunks]), []
-        for text, chunks in zip(marked, lists):
-            own = np.fromiter(chain.from_iterable(map(ids.__getitem__, chunks)), np.int32)
-            if self.odd.keys().isdisjoint(chunks):
-                decoded, same = text.replace(SPACE, " "), True
-            else:
-                parts = [self.odd.get(c) or (c.replace(SPACE, " "), True) for c in chunks]
-                decoded, same = "".join(p[0] for p in parts), all(p[1] for p in parts)
-            out.append((own, self._stripped(decoded), same))
-        return out
-
-    def _marked(self, text: str) -> str:
-        """The text as the model normalises it, with marks for spaces."""
-        if not self.plain:
-            return self.tokenizer.normalizer.normalize_str(text)
-        return (SPACE if text and self.model.dummy_prefix else "") + text.replace(" ", SPACE)
+        own = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        original = self.original.encode(texts, num_threads=self.threads)
+        return [(np.array(ids, np.int32), self._text(ids), ids == other) for ids, other in zip(own, original)]
+
+    def _text(self, ids: list[int]) -> str:
+        """The text of ids, from the bytes of their pieces."""
+        try:
+            return self._stripped(b"".join(map(self.bytes.__getitem__, ids)).decode())
+        except UnicodeDecodeError:
+            return self.decode([ids])[0]
 
     def _stripped(self, decoded: str) -> str:
         if self.model.trims_spaces:
@@ -249,11 +199,11 @@ class Codec:
 
     def normalised(self, text: str) -> str:
         """What decoding gives back: the text as the model normalises it."""
-        return self._stripped(self._marked(text).replace(SPACE, " "))
+        return self._stripped(self.tokenizer.normalizer.normalize_str(text).replace(SPACE, " "))
 
 
 @lru_cache(maxsize=4)
-def codec(data: bytes, threads: int = 1) -> Codec:
+def codec(data: bytes, threads: int = THREADS) -> Codec:
     """Built once per model and worker process."""
     return Codec(data, threads)
 
@@ -276,7 +226,7 @@ def portions(texts: list[str | None]) -> Iterator[list[int]]:
 def _model(spark, path: str) -> tuple:
     with open(path, "rb") as file:
         data = file.read()
-    return spark.sparkContext.broadcast(data), int(spark.sparkContext.getConf().get("spark.task.cpus", "1"))
+    return spark.sparkContext.broadcast(data), max(THREADS, int(spark.sparkContext.getConf().get("spark.task.cpus", "1")))
 
 
 def coded(text: Column, spark, path: str = MODEL) -> Column:
@@ -317,10 +267,9 @@ def decode(ids: Column, spark, path: str = MODEL) -> Column:
 def with_pieces(documents: DataFrame, path: str = MODEL, name: str = "pieces") -> DataFrame:
     """``documents`` with ``name``: a struct of ``ids``, ``decoded`` and ``parity`` of the whole ``text``.
 
-    ``ids`` are the model's piece ids, ``decoded`` is the text they stand for
-    (the text as the model normalises it), ``parity`` says whether the rebuilt
-    tokenizer gave the same ids as the original library; the original's are
-    returned in any case. A NULL text has NULL in all three, an empty one no ids.
+    ``ids`` are the piece ids that the rebuilt tokenizer gives, ``decoded`` is the
+    text they stand for (the text as the model normalises it), ``parity`` says
+    whether the original library gives the same ids for the whole text. A NULL text has NULL in all three, an empty one no ids.
     Text that looks like a control piece is ordinary text. Repeated rows get equal
     results; other columns pass through, and ``name`` replaces one of that name.
     """

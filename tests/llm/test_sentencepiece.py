@@ -54,29 +54,50 @@ def test_unigram_models_encode_as_the_original(fallback, trims):
     assert codec.model.algorithm == 1 and codec.model.byte_fallback == fallback
     for text in samples():
         (ids, decoded, same), = codec.code([text])
-        assert same and ids.tolist() == original.encode(text) and codec.by_word, repr(text)
+        assert same and ids.tolist() == original.encode(text), repr(text)
         if fallback:
             assert decoded == codec.decode([ids.tolist()])[0] == codec.normalised(text) == original.decode(ids.tolist())
 
 
-def test_byte_pair_model_encodes_as_the_original(spark, monkeypatch):
+def test_byte_pair_model_encodes_as_the_original(spark):
     with open(MODEL, "rb") as file:
         codec = Codec(file.read())
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
     texts += [*samples(), "a" * 5000, "==" * 999, "aaaa aa aaa " * 50]
     original = sentencepiece.SentencePieceProcessor(model_file=MODEL)
-    monkeypatch.setattr(sentencepiece_codec, "_MEMO", 5000)
     for i in range(0, len(texts), 100):
         for text, (ids, decoded, same) in zip(texts[i : i + 100], codec.code(texts[i : i + 100])):
             assert same and ids.tolist() == original.encode(text), text[:80]
             assert decoded == codec.decode([ids.tolist()])[0] == text.replace("▁", " ")
-    assert codec.by_word and codec.known
+
+
+def test_ids_come_from_the_rebuilt_tokenizer_and_parity_tells_a_wrong_merge(monkeypatch):
+    with open(MODEL, "rb") as file:
+        data = file.read()
+    text, merges = "another thing that they thought of there", sentencepiece_codec.merges_of
+    right = Codec(data).code([text])[0]
+
+    def swapped(pieces):
+        order = merges(pieces)
+        a, b = order.index(("o", "u")), len(order) - 1
+        order[a], order[b] = order[b], order[a]
+        return order
+
+    monkeypatch.setattr(sentencepiece_codec, "merges_of", swapped)
+    ids, decoded, same = Codec(data).code([text])[0]
+    assert right[2] and not same and ids.tolist() != right[0].tolist() and decoded == text
+
+
+def test_a_text_of_a_megabyte(spark):
+    text = "Straße und Öl, naïve café 漢字 " * 40_000
+    docs = spark.createDataFrame([(1, text, None, None)], SCHEMA)
+    row = with_pieces(docs).select(F.size("pieces.ids").alias("n"), "pieces.parity", (F.col("pieces.decoded") == F.col("text")).alias("same")).first()
+    assert row.n == len(sentencepiece.SentencePieceProcessor(model_file=MODEL).encode(text)) and row.parity and row.same
 
 
 def test_a_model_whose_pieces_span_words_is_encoded_whole():
     data = unigram() + field(1, field(1, "c▁a".encode()) + field(2, -0.5) + field(3, 1))
     codec, original = Codec(data), sentencepiece.SentencePieceProcessor(model_proto=data)
-    assert not codec.by_word
     for text in samples():
         (ids, decoded, same), = codec.code([text])
         assert ids.tolist() == original.encode(text) and decoded == original.decode(ids.tolist())
