@@ -140,7 +140,9 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, max_bits: int
     members = groups.join(linked, "fp")
     firsts = members.groupBy("root").agg(F.min("first_doc").alias("component"))
     named = members.join(firsts, "root").select("fp", "component")
-    names = groups.join(named, "fp", "left").select("fp", F.coalesce("component", "first_doc").alias("component_id"))
+    # Written, so that both sides of the last join come straight from a shuffle and
+    # adaptive execution can split the rows of a frequent fingerprint.
+    names = stored(groups.join(named, "fp", "left").select("fp", F.coalesce("component", "first_doc").alias("component_id")), "components")
     return prints.join(names, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
@@ -149,11 +151,25 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, max_bits: int
 def representatives(documents: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``documents`` without near-duplicates: of each group the document of the smallest ``doc_id`` stays.
 
-    Rows with the same ``doc_id`` are one document, of which one row stays. Rows
-    whose ``doc_id`` is NULL cannot be named by a group and stay as they are.
-    All columns are kept.
+    Where several rows have that ``doc_id``, the one that stays is among those of
+    the group: the smallest by fingerprint, then by a hash of all columns, so that
+    rows that still tie are equal. A row of the same ``doc_id`` in another group is
+    judged there. Rows whose ``doc_id`` is NULL cannot be named by a group and stay
+    as they are. All columns are kept, whatever their names.
+
+    Only rows whose ``doc_id`` occurs more than once are told apart by their text:
+    they alone are fingerprinted a second time, and combined before a shuffle.
     """
-    groups = near_duplicates(documents, shingle, max_bits)
-    first = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = documents.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(documents.filter(F.col("doc_id").isNull()))
+    groups = stored(near_duplicates(documents, shingle, max_bits).filter("doc_id IS NOT NULL"), "duplicate-groups")
+    own = F.col("doc_id") == F.col("component_id")
+    per_id = groups.groupBy("doc_id").agg(F.count("*").alias("n"), F.min(F.when(own, F.col("fingerprint"))).alias("fp"))
+    first = stored(per_id.filter("fp IS NOT NULL"), "representatives")
+    kept = documents.join(first.filter("n = 1").select("doc_id"), "doc_id", "left_semi")
+    several = documents.join(first.filter("n > 1").select("doc_id"), "doc_id", "left_semi")
+    row, sign = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), fingerprint(F.col("text"), shingle)
+    told = several.select(row, sign.alias("sign")).withColumn("sign", F.lower(F.lpad(F.hex("sign"), 16, "0")))
+    names = first.filter("n > 1").select(F.col("doc_id").alias("id"), "fp")
+    ours = told.join(names, (F.col("row.doc_id") == F.col("id")) & (F.col("sign") == F.col("fp")), "left_semi")
+    one = ours.groupBy(F.col("row.doc_id").alias("id")).agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    return kept.select(*columns).unionByName(one).unionByName(documents.filter(F.col("doc_id").isNull()))

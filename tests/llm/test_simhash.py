@@ -6,7 +6,7 @@ import pytest
 import xxhash
 
 from martloom.llm.components import components
-from martloom.llm.simhash import covering_masks, fingerprint_of, links, near_duplicates
+from martloom.llm.simhash import covering_masks, fingerprint_of, links, near_duplicates, representatives
 
 SCHEMA = "doc_id long, text string, component_id string, fp string"
 
@@ -98,3 +98,21 @@ def test_nulls_repeats_and_clashing_columns(spark):
     alone = near_duplicates(spark.createDataFrame([(None, "a b c d", "", "")], SCHEMA)).collect()
     assert [(r.doc_id, r.component_id) for r in alone] == [(None, None)]
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+@pytest.mark.parametrize("turn", [0, 1, 2])
+def test_the_representative_is_the_groups_own_row(spark, turn):
+    a, b = "one two three four five", "quite another text of its own"
+    rows = [(1, a, "x", "f"), (5, a, "x", "f"), (5, b, "x", "f"), (7, b, None, None), (5, b, "x", "f"), (9, "", "", ""), (9, None, "", ""), (None, a, "", "")]
+    rows = rows[turn:] + rows[:turn]
+    got = representatives(spark.createDataFrame(rows if turn < 2 else rows[::-1], SCHEMA))
+    assert got.columns == ["doc_id", "text", "component_id", "fp"]
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=repr)
+    assert [k for k in kept if k[0] != 9] == [(1, a), (5, b), (None, a)] and len(kept) == 4
+    assert representatives(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_a_group_of_copies_of_one_number_keeps_one_row(spark):
+    rows = [(4, "a b c d e", "", "")] * 500 + [(4, "a b c d e", "other", "")] + [(i, f"word{i} and more{i} so{i}", "", "") for i in range(5, 50)]
+    got = representatives(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    assert len(got) == 46 and len({r.doc_id for r in got}) == 46
