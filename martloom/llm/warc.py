@@ -31,7 +31,7 @@ ROLL_BYTES = 64 << 20
 LEAST_PAYLOAD = 0
 DATE = "2000-01-01T00:00:00Z"
 _CHUNK = 1 << 16
-# The largest record that is read; a longer one is an error, not a cut.
+# The largest record that is written or read; a longer one is an error, not a cut.
 MOST_BYTES = 1 << 30
 
 MANIFEST = pa.schema([("path", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())])
@@ -215,10 +215,17 @@ def page_number(uri: Column) -> Column:
 
 
 def train_dictionary(pages: DataFrame) -> bytes:
-    """A dictionary from the bounded sample; plain sample text where training finds too little."""
-    begin = F.substring(F.encode(F.coalesce("html", F.lit("")), "utf-8"), 1, SAMPLE_BYTES).alias("begin")
-    chosen = pages.select("page_id", begin).orderBy(F.xxhash64("page_id"), "page_id", "begin").limit(SAMPLE_ROWS)
-    samples = [record("response", page_uri(r.page_id), "", bytes(r.begin), "") for r in chosen.collect()]
+    """A dictionary from the bounded sample; plain sample text where training finds too little.
+
+    The pages are chosen by number, and only those chosen send the beginning of a payload.
+    """
+    numbers = pages.select("page_id").filter("page_id IS NOT NULL").distinct()
+    chosen = numbers.orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_ROWS)
+    begin = F.substring(F.encode(F.coalesce("html", F.lit("")), "utf-8"), 1, SAMPLE_BYTES)
+    # At most SAMPLE_ROWS numbers are broadcast, and a beginning for each comes back.
+    begun = pages.join(F.broadcast(chosen), "page_id").groupBy("page_id").agg(F.min(begin).alias("begin"))
+    rows = sorted((r.page_id, bytes(r.begin)) for r in begun.collect())
+    samples = [record("response", page_uri(number), "", payload, "") for number, payload in rows]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
@@ -228,13 +235,14 @@ def train_dictionary(pages: DataFrame) -> bytes:
 def decided(pages: DataFrame, least: int = LEAST_PAYLOAD) -> DataFrame:
     """``page_id``, ``url``, ``html`` and ``first_id``: the page with an equal payload that this one revisits, or NULL.
 
-    Digests are grouped without their payloads; a page is then joined with its
-    digest's smallest page. A digest shared by very many pages is one row on one
-    side, and adaptive execution splits the other.
+    Digests are grouped without their payloads, and their smallest pages written;
+    a page is then joined with its digest's smallest page. A digest shared by very
+    many pages is one row on one side, and adaptive execution splits the other,
+    as both come straight from a shuffle.
     """
     payload = F.encode(F.coalesce("html", F.lit("")), "utf-8")
     digested = pages.select("page_id", "url", "html", F.sha1(payload).alias("digest"), F.octet_length(payload).alias("size"))
-    firsts = digested.filter(F.col("size") >= least).groupBy("digest").agg(F.min("page_id").alias("least_id"))
+    firsts = stored(digested.filter(F.col("size") >= least).groupBy("digest").agg(F.min("page_id").alias("least_id")), "digests")
     revisits = F.col("least_id").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") > F.col("least_id")))
     found = digested.join(firsts, "digest", "left")
     return found.select(
@@ -255,6 +263,8 @@ class Archive:
         self.out = None
 
     def add(self, data: bytes) -> Iterator[dict]:
+        if len(data) > MOST_BYTES:
+            raise WarcError(f"a record of {len(data)} bytes; no reader takes more than {MOST_BYTES}")
         if self.out is None:
             self.name = f"{self.attempt}-{self.n:05}.warc.zst"
             self.files.create_dir(self.folder, recursive=True)

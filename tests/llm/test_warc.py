@@ -98,3 +98,11 @@ def test_frames_and_broken_archives():
     ]:
         with pytest.raises(W.WarcError):
             W.parsed(good.replace(old, new))
+
+
+def test_what_no_reader_takes_is_not_written(tmp_path, monkeypatch):
+    monkeypatch.setattr(W, "MOST_BYTES", 5000)
+    archive = W.Archive(f"file://{tmp_path}/a", b"dictionary " * 100, 1 << 20)
+    list(archive.add(b"x" * 5000))
+    with pytest.raises(W.WarcError, match="no reader takes"):
+        list(archive.add(b"x" * 5001))
