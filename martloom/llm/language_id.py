@@ -18,6 +18,8 @@ from martloom.llm.shared import bounded_batches, stored
 UNDETERMINED = "und"
 # At most so many documents are learned from, dealt to the languages in turn.
 SAMPLE_ROWS = 2_400
+# Leading bits of the hash by which the documents of a language are counted, first coarsely.
+RANGES = (9, 18)
 ROUNDS = 5
 SMOOTH = 0.05
 # Longer runs of letters are taken in pieces of this length.
@@ -182,20 +184,38 @@ class Identifier:
         return out
 
 
-def word_counts(documents: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``lang``, ``word``, ``times`` of at most ``rows`` documents with a language outside the held-out fold.
+def foremost(known: DataFrame, rows: int) -> DataFrame:
+    """Of ``doc_id``, ``lang`` a few more than the first ``rows`` of every language, by a hash of ``doc_id``.
+
+    Counted by ranges of the hash, a language is cut down to the ranges that its
+    first rows are in, and those once more by finer ranges, so that however
+    frequent it is, about as many rows are left to be ranked as there are to be.
+    """
+    for bits in RANGES:
+        ranged = known.withColumn("range", F.shiftright(F.xxhash64("doc_id"), 64 - bits))
+        earlier = Window.partitionBy("lang").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+        counts = ranged.groupBy("lang", "range").agg(F.count("*").alias("n"))
+        before = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+        needed = before.filter(F.col("before") < rows).select("lang", "range")
+        known = ranged.join(needed, ["lang", "range"], "left_semi").drop("range")
+    return known
+
+
+def sampled(documents: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """``doc_id``, ``lang`` of at most ``rows`` documents with a language outside the held-out fold.
 
     Documents are ranked in each language by a hash of their number, and taken by
     rank, so that no language crowds out another.
     """
-    known = documents.filter(F.col("lang").isNotNull() & (remainder() != 2)).select("doc_id", "lang").distinct()
-    mark = F.xxhash64("doc_id")
-    # A language may hold any share of the documents, so it is first ranked in parts.
-    parts = Window.partitionBy("lang", "part").orderBy(mark, "doc_id")
-    dealt = known.withColumn("part", F.pmod(F.hash("doc_id"), F.lit(256))).withColumn("rank", F.row_number().over(parts))
-    whole = Window.partitionBy("lang").orderBy(mark, "doc_id")
-    ranked = dealt.filter(F.col("rank") <= rows).withColumn("rank", F.row_number().over(whole)).filter(F.col("rank") <= rows)
-    chosen = ranked.orderBy("rank", "lang").limit(rows).select("doc_id", "lang")
+    learnt = documents.filter(F.col("lang").isNotNull() & (remainder() != 2)).select("doc_id", "lang").distinct()
+    whole = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    ranked = foremost(stored(learnt, "labelled"), rows).withColumn("rank", F.row_number().over(whole)).filter(F.col("rank") <= rows)
+    return ranked.orderBy("rank", "lang").limit(rows).select("doc_id", "lang")
+
+
+def word_counts(documents: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """``lang``, ``word``, ``times`` of the sampled documents."""
+    chosen = sampled(documents, rows)
 
     @F.pandas_udf("array<string>")
     def words(texts: pd.Series) -> pd.Series:

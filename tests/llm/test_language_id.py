@@ -4,6 +4,7 @@ from zlib import crc32
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from martloom.llm import language_id as L
 from martloom.llm.catalogue import op3_language_id
@@ -73,3 +74,16 @@ def test_edges(spark):
     assert "xx" not in {r.lang_pred for r in L.identified(turned).collect()}
     assert {(r.lang_pred, r.score) for r in L.identified(docs.withColumn("lang", docs.score.cast("string")).replace({"": None}, subset=["lang"])).collect()} == {("und", 0.0)}
     assert L.identified(docs.limit(0)).collect() == []
+
+
+def test_a_hot_language_is_cut_down_before_it_is_ranked(spark):
+    rows = [(i, "", "hot" if i % 9 else "rare", "") for i in range(20000)] + [(7, "", "hot", ""), (None, "", "hot", ""), (5, "", None, "")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    marks = {r.doc_id: r.m for r in docs.select("doc_id", F.xxhash64("doc_id").alias("m")).collect()}
+    ranked = []
+    for lang in ("hot", "rare"):
+        own = sorted((marks[i], i) for i in {i for i, _, x, _ in rows if x == lang and i is not None and crc32(str(i).encode()) % 4 != 2})
+        ranked += [(k, lang, i) for k, (_, i) in enumerate(own)]
+    assert {(r.doc_id, r.lang) for r in L.sampled(docs, 300).collect()} == {(i, lang) for _, lang, i in sorted(ranked)[:300]}
+    left = L.foremost(docs.select("doc_id", "lang"), 300).groupBy("lang").count().collect()
+    assert all(300 <= r["count"] <= 320 for r in left if r.lang)
