@@ -17,9 +17,11 @@ from martloom.llm.shared import bounded_batches, stored
 # Features are hashed into this many places.
 PLACES = 1 << 20
 # Bounds of the sample the model is fitted on: labelled rows, and the features
-# of all their texts together (4 bytes each on the driver).
+# of all their texts together (4 bytes each on the driver). A text of more than
+# LONG_TEXT features is taken only after all shorter ones.
 SAMPLE_ROWS = 9_000
 SAMPLE_FEATURES = 20_000_000
+LONG_TEXT = 200_000
 THRESHOLD = 0.7
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _MEMO = 300_000
@@ -190,12 +192,19 @@ def sample(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) ->
 
 
 def learn(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
-    """A model from the bounded sample, fitted on the driver."""
+    """A model from the bounded sample, fitted on the driver.
+
+    Of the at most ``rows`` sampled texts, in the order of a hash of their number
+    and those of more than LONG_TEXT features last, as many are used as have
+    SAMPLE_FEATURES features together; the first ones always are.
+    """
     taken = stored(sample(documents, labels, rows), "quality-sample")
-    # The window runs over the bounded sample's sizes alone.
-    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    kept = taken.withColumn("size", F.size("places")).withColumn("total", F.sum("size").over(order))
-    kept = kept.filter(F.col("total") <= SAMPLE_FEATURES).select("places", "good", "aside", "doc_id").toArrow()
+    # The window runs over numbers and sizes alone, a row per sampled document.
+    sizes = taken.select("doc_id", F.size("places").alias("size"))
+    order = Window.orderBy(F.col("size") > LONG_TEXT, F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.withColumn("before", F.coalesce(F.sum("size").over(order), F.lit(0)))
+    used = before.filter(F.col("before") < SAMPLE_FEATURES).select("doc_id")
+    kept = taken.join(F.broadcast(used), "doc_id", "left_semi").select("places", "good", "aside", "doc_id").toArrow()
     order = np.lexsort([kept["doc_id"].to_numpy()])
     good, aside = (np.array(kept[c].to_pylist(), bool)[order] for c in ("good", "aside"))
     rows_ = [kept["places"][int(i)].values.to_numpy() for i in order]

@@ -73,3 +73,16 @@ def test_nulls_one_class_and_empty_tables(spark):
     assert len(scores) == 5 and len(set(scores)) == 1 and 0.5 <= scores[0] < 1
     assert {r.score for r in Q.with_quality(docs, labels.limit(0)).collect()} == {0.5}
     assert Q.with_quality(docs.limit(0), labels).collect() == []
+
+
+def test_the_bound_on_features_never_leaves_nothing_to_learn_from(spark, monkeypatch):
+    long = " ".join(f"t{i}" for i in range(300))
+    rows = [(i, f"w{i % 7} x{i % 5}" + (f" {long}{i}" if i % 3 == 0 else ""), "", "") for i in range(300)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(i, int(i % 7 > 2), 0) for i in range(300)], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(Q, "LONG_TEXT", 50)
+    monkeypatch.setattr(Q, "SAMPLE_FEATURES", 500)
+    scores = {r.doc_id: r.score for r in Q.with_quality(docs, labels).collect()}
+    assert len(set(scores.values())) > 3
+    monkeypatch.setattr(Q, "SAMPLE_FEATURES", 1)
+    assert len(Q.with_quality(docs, labels).collect()) == 300
