@@ -31,9 +31,9 @@ from martloom.operators.sizing import fits_broadcast
 from martloom.plans import olap, views
 from martloom.schemas import DIMENSION_KEYS, FACT_KEEP_FIRST, FACT_KEYS, MASTER, STAR, TRANSACTIONS, Star, conform
 from martloom.session import work_dir
-from martloom.sources.feeds import read_csv, read_master, read_transactions, split_corrupt
+from martloom.sources.feeds import preview, read_csv, read_master, read_transactions, split_corrupt
 from martloom.sources.warehouse import Warehouse
-from martloom.streaming.feeds import stream_files, stream_master
+from martloom.streaming.feeds import land_csv, stream_csv, stream_files, stream_master
 from martloom.streaming.loader import pending_keys, run_load
 from martloom.streaming.rates import arrival_rate, arrival_rate_stream, gated_tick_stream, gated_ticks, past_clock
 
@@ -338,6 +338,34 @@ def stream_master_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _appended(stream_master(spark, path, master.schema, max_files=FILES_PER_PASS), "master-stream")
 
 
+def _landed_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The transactions as CSV lines, those of every tenth order with a quantity in words, streamed into clean and rejected."""
+    path, out = work_dir(spark, "csv"), work_dir(spark, "landed")
+    tx = fixtures.transactions(spark, sf_dir).select(*TRANSACTIONS.names)
+    spoilt = F.when(F.col("Order_ID") % 10 == 0, F.concat_ws(" ", F.lit("about"), "Quantity_Ordered")).otherwise(F.col("Quantity_Ordered").cast("string"))
+    tx.withColumn("Quantity_Ordered", spoilt).write.option("header", True).csv(path)
+    lines = stream_csv(spark, path, TRANSACTIONS.names, TRANSACTIONS, FILES_PER_PASS)
+    land_csv(lines, out, {"availableNow": True}).awaitTermination()
+    return out
+
+
+def stream_csv_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean lines of a CSV feed, streamed."""
+    return spark.read.schema(TRANSACTIONS).parquet(f"{_landed_csv(spark, sf_dir)}/clean/pass=*")
+
+
+def stream_csv_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected lines of the same feed per order, and what their last field was."""
+    lines = spark.read.schema("line string").parquet(f"{_landed_csv(spark, sf_dir)}/rejected/pass=*")
+    order, quantity = F.substring_index("line", ",", 1).cast("bigint"), F.substring_index("line", ",", -1)
+    return lines.groupBy(order.alias("Order_ID"), quantity.alias("quantity")).agg(F.count("*").alias("n"))
+
+
+def preview_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole master data to look at, without a limit."""
+    return preview(fixtures.master(spark, sf_dir))
+
+
 def _schemas_of(star: Star) -> dict:
     return {name: table.select(*STAR[name].names).schema for name, table in star.tables()}
 
@@ -495,6 +523,7 @@ QUERIES: dict[str, Query] = {
     "scan_master": scan_master,
     "csv_transactions": _csv(fixtures.transactions, TRANSACTIONS),
     "csv_master_reordered": _csv(fixtures.master, MASTER, sorted(MASTER.names)),
+    "preview_master": preview_master,
     "conform_transactions": conform_transactions,
     "table_row_counts": table_row_counts,
     # Joins.
@@ -520,6 +549,8 @@ QUERIES: dict[str, Query] = {
     "stream_arrival_rate_per_tick": stream_arrival_rate_per_tick,
     "stream_dual_arrival_ticks": stream_dual_arrival_ticks,
     "stream_master_feed": stream_master_feed,
+    "stream_csv_transactions": stream_csv_transactions,
+    "stream_csv_rejected": stream_csv_rejected,
     "stream_load_order_facts": stream_load_order_facts,
     "stream_load_split_order_facts": stream_load_split_order_facts,
     "stream_load_dimensions": stream_load_dimensions,

@@ -8,6 +8,7 @@ splits hot partitions. :func:`salted_join` covers the joins it cannot split.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,10 @@ from pyspark.sql import functions as F
 from martloom.operators.sizing import fits_broadcast
 
 SALT = "_salt"
-SALTS = 16
+SALTS = "_salts"
+# Keys that can be found hot, and those the sketch keeps count of. A key is hot if
+# it has more than so many times the rows of an even share.
+HOT_KEYS, TRACKED, HOT = 128, 8192, 2.0
 
 # Fact or product column -> dimension key, for the declared links of the star.
 LINKS = {"product": "ProductID", "supplier": "supplierID", "customer": "CustomerID"}
@@ -30,17 +34,37 @@ def enrich(tx: DataFrame, master: DataFrame) -> DataFrame:
     return tx.join(master.withColumnRenamed("productID", "ProductID"), "ProductID")
 
 
+def hot_keys(df: DataFrame, key: str, parts: int) -> tuple[DataFrame, int]:
+    """Keys that outweigh an even share of ``parts``, with the shares each should be dealt into, and those of NULL.
+
+    One aggregate with a sketch of the most frequent keys: it reads nothing but the
+    key, and at most ``HOT_KEYS`` rows come out of it.
+    """
+    column, schema = F.col(key), f"`{key}` {df.schema[key].dataType.simpleString()}, {SALTS} int"
+    top = F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {TRACKED})").alias("top")
+    found = df.agg(top, F.count("*").alias("n"), F.count_if(column.isNull()).alias("nulls")).first()
+    even = max(found["n"] / parts, 1.0)
+
+    def shares(count: int) -> int:
+        return min(parts, ceil(count / even)) if count > HOT * even else 1
+
+    hot = [(item, shares(count)) for item, count in found["top"] or [] if item is not None and shares(count) > 1]
+    return df.sparkSession.createDataFrame(hot, schema), shares(found["nulls"])
+
+
 def salted_join(
-    left: DataFrame, right: DataFrame, key: str, how: str = "inner", small: bool | None = None, salts: int = SALTS,
+    left: DataFrame, right: DataFrame, key: str, how: str = "inner", small: bool | None = None, parts: int | None = None,
     deal: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join a large ``left`` that may be hot on ``key`` with a ``right`` that is an aggregate or a join.
 
     A right side that measures small is broadcast; ``small`` may state the
-    measure if it is known. Otherwise the left rows of a key are dealt out over
-    ``salts`` partitions, NULL keys too, and every right row is copied to each.
-    Adaptive execution alone would not do here: it splits a hot partition only
-    if both inputs come straight from a shuffle.
+    measure if it is known. Otherwise the frequent keys of ``left`` are found
+    (:func:`hot_keys`), the rows of each are dealt out by its weight, NULL keys
+    too, and only their rows on the right are copied, once per share; every other
+    key is joined as it is. Adaptive execution alone would not do here: it splits
+    a hot partition only if both inputs come straight from a shuffle. ``parts`` is
+    the number of shares the whole is weighed by, by default that of a shuffle.
 
     ``how`` is inner, left_semi or left_anti. The salt is a hash of
     the columns in ``deal`` (all but the key, unless given), so a task that is
@@ -50,9 +74,15 @@ def salted_join(
     """
     if fits_broadcast(right) if small is None else small:
         return left.join(F.broadcast(right), key, how)
+    parts = parts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot, nulls = hot_keys(left, key, parts)
+    # At most HOT_KEYS rows, and so broadcast to both sides.
+    hot, one = F.broadcast(hot), F.lit(1)
     rest = list(deal) if deal is not None else [c for c in left.columns if c != key]
-    dealt = left.withColumn(SALT, F.pmod(F.xxhash64(*(rest or [key])), F.lit(salts)))
-    copied = right.withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    shares = F.when(F.col(key).isNull(), F.lit(nulls)).otherwise(F.coalesce(SALTS, one))
+    dealt = left.join(hot, key, "left").withColumn(SALT, F.pmod(F.xxhash64(*(rest or [key])), shares).cast("int")).drop(SALTS)
+    copies = F.sequence(F.lit(0), F.coalesce(SALTS, one) - 1)
+    copied = right.join(hot, key, "left").withColumn(SALT, F.explode(copies)).drop(SALTS)
     return dealt.join(copied.hint("merge"), [key, SALT], how).drop(SALT)
 
 

@@ -242,6 +242,12 @@ FROM product JOIN nation ON supplierID = n_nationkey""",
     "csv_transactions": f"""WITH {TX}
 SELECT Order_ID, CAST(Order_Date AS TIMESTAMP) AS Order_Date, ProductID, CustomerID, CustomerName, Gender, Quantity_Ordered
 FROM tx""",
+    "preview_master": f"WITH {MASTER} SELECT * FROM master",
+    "stream_csv_transactions": f"""WITH {TX}
+SELECT Order_ID, CAST(Order_Date AS TIMESTAMP) AS Order_Date, ProductID, CustomerID, CustomerName, Gender, Quantity_Ordered
+FROM tx WHERE Order_ID % 10 <> 0""",
+    "stream_csv_rejected": f"""WITH {TX}
+SELECT Order_ID, 'about ' || Quantity_Ordered AS quantity, COUNT(*) AS n FROM tx WHERE Order_ID % 10 = 0 GROUP BY ALL""",
     "csv_master_reordered": f"WITH {MASTER} SELECT * REPLACE (CAST(storeID AS BIGINT) AS storeID) FROM master",
     "conform_transactions": f"""WITH {TX}
 SELECT Order_ID, CAST(Order_Date AS TIMESTAMP) AS Order_Date, ProductID, CustomerID,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,6 +47,28 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     )
 
 
+def parse_lines(lines: DataFrame, columns: Sequence[str], schema: StructType, text: str = "value") -> DataFrame:
+    """CSV lines as rows of ``schema``, with the text of those that do not fit in ``_corrupt_record``.
+
+    ``columns`` are the names of the header, in its order; header lines themselves
+    drop out. A line has to be one record. Works on a table and on a stream, where no
+    reader can tell a misfit from a value that is not there.
+    """
+    if missing := sorted(set(schema.names) - set(columns)):
+        raise ValueError(f"the header has no columns {missing}")
+    raw = StructType([StructField(name, StringType()) for name in [*columns, CORRUPT]])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = lines.filter(F.col(text) != ",".join(columns)).select(text, F.from_csv(text, raw.simpleString()[7:-1].replace(":", " "), options).alias("r"))
+    misfit = reduce(
+        Column.__or__,
+        [F.col(f"r.{f.name}").isNotNull() & F.col(f"r.{f.name}").try_cast(f.dataType).isNull() for f in schema],
+        F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull(),
+    )
+    return parsed.select(
+        *[F.col(f"r.{f.name}").try_cast(f.dataType).alias(f.name) for f in schema], F.when(misfit, F.col(text)).alias(CORRUPT)
+    )
+
+
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Clean rows without the raw-text column, and the rejected rows with it."""
     return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), df.filter(F.col(CORRUPT).isNotNull())

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martloom.catalogue import QUERIES
-from martloom.operators.joins import enrich, salted_join
+from martloom.operators.joins import SALT, enrich, hot_keys, salted_join
 from martloom.operators.load import upsert
 from martloom.operators.sizing import broadcast_if_small, broadcast_limit, fits_broadcast, measured_bytes
 from martloom.plans import olap
@@ -166,6 +166,24 @@ def test_salted_join_deals_out_a_hot_key(spark, hot, how):
     assert len(got) > 20_000
 
 
+def test_only_hot_keys_are_salted_and_copied(spark, hot, monkeypatch):
+    tx = hot.withColumn("ProductID", F.when(F.col("ProductID") == 500, None).otherwise(F.col("ProductID")))
+    found, nulls = hot_keys(tx, "ProductID", 32)
+    # A third of the rows is some eleven of 32 shares; no other key has two shares.
+    assert [(r.ProductID, r._salts) for r in found.collect()] == [(0, 11)] and nulls == 1
+    assert hot_keys(tx.filter("ProductID IS NULL OR ProductID > 990"), "ProductID", 4)[1] >= 1
+    assert hot_keys(tx.limit(0), "ProductID", 4)[0].collect() == []
+    known = spark.range(997).select(F.col("id").cast("int").alias("ProductID"))
+    with settings(spark, **no_broadcast, spark__sql__shuffle__partitions="32", spark__sql__adaptive__enabled="false"):
+        salted = salted_join(tx, known, "ProductID")
+        made, drop = [], type(salted).drop
+        monkeypatch.setattr(type(salted), "drop", lambda self, *c: made.append(self) or drop(self, *c))
+        salted_join(tx, known, "ProductID")
+        copied = next(df for df in made if set(df.columns) == {"ProductID", "_salts", SALT})
+        assert {r.ProductID: r["count"] for r in copied.groupBy("ProductID").count().filter("count > 1").collect()} == {0: 11}
+        assert copied.count() == 997 + 10
+
+
 def test_monthly_sales_split_a_hot_product(spark, hot):
     star = hot_star(spark, hot)
     with settings(spark, **skewed):

@@ -11,9 +11,9 @@ import pytest
 
 from martloom.operators.joins import enrich
 from martloom.operators.load import FIRST_SEEN, order_facts, pass_lines, products_seen, reduce_batch
-from martloom.schemas import FACT_KEEP_FIRST, FACT_KEYS, MASTER, STAR
+from martloom.schemas import FACT_KEEP_FIRST, FACT_KEYS, MASTER, STAR, TRANSACTIONS
 from martloom.sources.warehouse import Warehouse
-from martloom.streaming.feeds import stream_master, stream_transactions
+from martloom.streaming.feeds import land_csv, stream_csv, stream_master, stream_transactions
 from martloom.streaming.loader import ArrivalLog, load_pass, run_load
 from martloom.streaming.rates import TICKS_PER_BLOCK, arrival_rate, arrival_rate_stream, gated_tick_stream, gated_ticks, past_clock
 from tables import TX, master_table, rows_of, tx_table
@@ -480,3 +480,23 @@ def test_a_crash_in_a_compaction_loses_nothing(spark, tmp_path, monkeypatch):
         warehouse.compact()
     assert warehouse.table("OrderFacts").count() == 2
     assert warehouse.state()["tables"]["OrderFacts"]["log"] == [] and warehouse.passes() == [-1, 0, 1]
+
+
+def test_a_csv_stream_lands_every_line_once_clean_or_rejected(spark, tmp_path):
+    header = "Gender,Order_ID,Order_Date,ProductID,CustomerID,CustomerName,Quantity_Ordered,extra"
+    piles = [
+        ['f,1,2019-01-05 10:11:12,2,3,"ann, b",4,x', "f,2,yesterday,2,3,ann,4,x", ",,,,,,,"],
+        ["f,3,2019-01-06 00:00:00,2,3,ann,many,x", "f,4,2019-01-07 00:00:00,,,,1,", "too,short", "m,5,2019-01-08 00:00:00,1,1,a,1,x,more"],
+    ]
+    (tmp_path / "in").mkdir()
+    for n, lines in enumerate(piles):
+        (tmp_path / f"in/{n}.csv").write_text("\n".join([header, *lines]) + "\n")
+        feed = stream_csv(spark, str(tmp_path / "in"), header.split(","), TRANSACTIONS, max_files=1)
+        land_csv(feed, str(tmp_path / "out"), ONCE).awaitTermination()
+    clean = spark.read.schema(TRANSACTIONS).parquet(str(tmp_path / "out/clean/pass=*")).collect()
+    rejected = [r.line for r in spark.read.parquet(str(tmp_path / "out/rejected/pass=*")).collect()]
+    assert sorted(((r.Order_ID, r.CustomerName, r.Quantity_Ordered) for r in clean), key=repr) == [(1, "ann, b", 4), (4, None, 1), (None, None, None)]
+    assert sorted(rejected) == sorted([piles[0][1], piles[1][0], piles[1][2], piles[1][3]])
+    assert len(clean) + len(rejected) == sum(map(len, piles))
+    with pytest.raises(ValueError, match="Quantity_Ordered"):
+        stream_csv(spark, str(tmp_path / "in"), ["Order_ID"], TRANSACTIONS)
