@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from martloom.llm.components import components
 from martloom.llm.shared import bounded_batches, stored
+from martloom.operators.sizing import broadcast_if_small
 
 BITS = 64
 SHINGLE = 3
@@ -164,8 +165,10 @@ def representatives(documents: DataFrame, shingle: int = SHINGLE, max_bits: int
     own = F.col("doc_id") == F.col("component_id")
     per_id = groups.groupBy("doc_id").agg(F.count("*").alias("n"), F.min(F.when(own, F.col("fingerprint"))).alias("fp"))
     first = stored(per_id.filter("fp IS NOT NULL"), "representatives")
-    kept = documents.join(first.filter("n = 1").select("doc_id"), "doc_id", "left_semi")
-    several = documents.join(first.filter("n > 1").select("doc_id"), "doc_id", "left_semi")
+    # Broadcast if they measure small: texts then are not shuffled at all.
+    alone, told_apart = (broadcast_if_small(first.filter(n).select("doc_id")) for n in ("n = 1", "n > 1"))
+    kept = documents.join(alone, "doc_id", "left_semi")
+    several = documents.join(told_apart, "doc_id", "left_semi")
     row, sign = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), fingerprint(F.col("text"), shingle)
     told = several.select(row, sign.alias("sign")).withColumn("sign", F.lower(F.lpad(F.hex("sign"), 16, "0")))
     names = first.filter("n > 1").select(F.col("doc_id").alias("id"), "fp")
