@@ -29,6 +29,7 @@ from martloom.operators.load import (
 )
 from martloom.operators.sizing import fits_broadcast
 from martloom.plans import olap, views
+from martloom.plans.incremental import CustomerStoreSales
 from martloom.schemas import DIMENSION_KEYS, FACT_KEEP_FIRST, FACT_KEYS, MASTER, STAR, TRANSACTIONS, Star, conform
 from martloom.session import work_dir
 from martloom.sources.feeds import preview, read_csv, read_master, read_transactions, split_corrupt
@@ -440,7 +441,9 @@ def stream_load_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 SHARES = 4
 
 
-def _load_in_steps(spark: SparkSession, sf_dir: str, steps: int, gated: bool, **options) -> Warehouse:
+def _load_in_steps(
+    spark: SparkSession, sf_dir: str, steps: int, gated: bool, after: Callable[[Warehouse], None] | None = None, **options
+) -> Warehouse:
     """Shares of the orders landed one after another, the loader started anew after each.
 
     With ``gated``, half of the master feed lands beside every other share.
@@ -465,6 +468,8 @@ def _load_in_steps(spark: SparkSession, sf_dir: str, steps: int, gated: bool, **
             gate=stream_master(spark, f"{root}/master/*", master.schema) if gated else None,
             **options,
         ).awaitTermination()
+        if after:
+            after(warehouse)
     return warehouse
 
 
@@ -489,6 +494,17 @@ def stream_load_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _load_in_steps(spark, sf_dir, SPLIT, gated=False, landed=True).table("OrderFacts")
 
 
+def incremental_customer_store_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The third view brought up to date after each of three passes, the second one followed by a compaction."""
+    path, kept = work_dir(spark, "incremental-sales"), []
+
+    def refresh(warehouse: Warehouse) -> None:
+        kept.append(CustomerStoreSales(warehouse, path).refresh())
+
+    _load_in_steps(spark, sf_dir, SPLIT, gated=False, after=refresh, by_product=False)
+    return kept[-1]
+
+
 QUERIES: dict[str, Query] = {
     # Reports.
     "supplier_sales_drilldown": _olap(olap.supplier_sales_drilldown),
@@ -518,6 +534,7 @@ QUERIES: dict[str, Query] = {
     "supplier_performance_view": _view(views.SUPPLIER_PERFORMANCE),
     "customer_store_sales_view": _view(views.CUSTOMER_STORE_SALES),
     "refreshed_customer_store_sales": refreshed_customer_store_sales,
+    "incremental_customer_store_sales": incremental_customer_store_sales,
     # Feeds.
     "scan_transactions": scan_transactions,
     "scan_master": scan_master,

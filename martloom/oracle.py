@@ -74,6 +74,16 @@ REJOINED = f"""(
   JOIN numbered n ON n.ProductID = a.ProductID AND n.Order_ID % {SPLIT} <= a.pass)"""
 
 
+LOADED_SALES = f"""WITH loaded AS ({_upserted("one_pass", "seq")}), {JOINED},
+stores AS (SELECT DISTINCT storeID, storeName FROM joined),
+products AS (SELECT DISTINCT ProductID, supplierID FROM joined)
+SELECT storeID, storeName, CustomerID, c_name AS CustomerName, CAST(YEAR(OrderDate) AS INTEGER) AS OrderYear,
+       CAST(MONTH(OrderDate) AS INTEGER) AS OrderMonth,
+       CAST(SUM(CAST(QuantityOrdered * productPrice AS DECIMAL(21, 2))) AS DECIMAL(38, 2)) AS MonthlySales
+FROM loaded JOIN products USING (ProductID) JOIN stores ON supplierID = storeID JOIN customer ON CustomerID = c_custkey
+GROUP BY ALL"""
+
+
 def _first_of(key: str, columns: str) -> str:
     """The first-loaded attributes of each key over two passes."""
     return f"""WITH {PASSES},
@@ -236,6 +246,7 @@ FROM product JOIN nation ON supplierID = n_nationkey""",
     "supplier_performance_view": SUPPLIER_PERFORMANCE,
     "customer_store_sales_view": CUSTOMER_STORE_SALES,
     "refreshed_customer_store_sales": CUSTOMER_STORE_SALES,
+    "incremental_customer_store_sales": LOADED_SALES,
     "scan_transactions": f"WITH {TX} SELECT {TX_COLUMNS} FROM tx",
     "scan_master": f"WITH {MASTER} SELECT * FROM master",
     "stream_master_feed": f"WITH {MASTER} SELECT * FROM master",

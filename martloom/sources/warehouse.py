@@ -153,6 +153,15 @@ class Warehouse:
             store=self.table("StoreDimension"),
         )
 
+    def star_at(self, state: dict) -> Star:
+        """The tables as a manifest names them."""
+        names = {"facts": FACT_TABLE, **{name.removesuffix("Dimension").lower(): name for name in DIMENSION_KEYS}}
+        return Star(**{field: self._current(name, state).select(*self.schemas[name].names) for field, name in names.items()})
+
+    def facts_in(self, state: dict, folders: Sequence[str]) -> DataFrame:
+        """The fact rows in some folders, as they were written."""
+        return self._read(FACT_TABLE, state, folders)
+
     # Writing
 
     def _write(self, df: DataFrame, table: str, kind: str, number: int, by: str | None = None) -> str | None:

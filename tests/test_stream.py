@@ -500,3 +500,23 @@ def test_a_csv_stream_lands_every_line_once_clean_or_rejected(spark, tmp_path):
     assert len(clean) + len(rejected) == sum(map(len, piles))
     with pytest.raises(ValueError, match="Quantity_Ordered"):
         stream_csv(spark, str(tmp_path / "in"), ["Order_ID"], TRANSACTIONS)
+
+
+@pytest.mark.parametrize("landed", [False, True])
+def test_the_incremental_view_equals_a_full_one_after_random_passes(spark, tmp_path, monkeypatch, landed):
+    from martloom.plans import incremental, olap
+
+    monkeypatch.setattr(incremental, "FOLDERS", 3)
+    warehouse, rng = Warehouse(spark, str(tmp_path / "dw"), buckets=2), random.Random(6 + landed)
+    view = incremental.CustomerStoreSales(warehouse, str(tmp_path / "view"))
+    # Stores come to be known one by one, some long after the products of their number.
+    products = [(p, f"{p}.25", p % 4, (p * 3) % 4) for p in range(8)]
+    for n in range(7):
+        rows = [(rng.randrange(12), 1 + rng.randrange(28), rng.choice(range(n + 2)), rng.randrange(4), rng.choice([None, 1, 2, 3]), 10 * n + k) for k in range(5)]
+        load_pass(warehouse, tx_table(spark, rows), n, master_table(spark, products), SEQ, by_product=False, landed=landed)
+        if n in (2, 5):
+            warehouse.compact()
+        if n != 3:
+            assert rows_of(view.refresh()) == rows_of(olap.customer_store_monthly_sales(warehouse.star()))
+    assert rows_of(view.refresh()) == rows_of(view.read()) and view.read().count() > 3
+    assert len(list((tmp_path / "view/_manifests").glob("*.json"))) <= 2
