@@ -76,6 +76,8 @@ def salted_join(
         return left.join(F.broadcast(right), key, how)
     parts = parts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot, nulls = hot_keys(left, key, parts)
+    if hot.isEmpty() and nulls == 1:
+        return left.join(right.hint("merge"), key, how)
     # At most HOT_KEYS rows, and so broadcast to both sides.
     hot, one = F.broadcast(hot), F.lit(1)
     rest = list(deal) if deal is not None else [c for c in left.columns if c != key]

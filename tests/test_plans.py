@@ -19,7 +19,7 @@ from martloom.schemas import Star
 from tables import master_table, rows_of, star_of, tx_table
 
 SF = "/root/testdata/sf0.001"
-STREAMS = {name for name in QUERIES if name.startswith("stream_")} | {"refreshed_customer_store_sales"}
+STREAMS = {name for name in QUERIES if name.startswith(("stream_", "gated_", "incremental_", "refreshed_"))}
 
 
 @contextmanager
