@@ -29,7 +29,7 @@ from martloom.operators.load import (
 )
 from martloom.operators.sizing import fits_broadcast
 from martloom.plans import olap, views
-from martloom.plans.incremental import CustomerStoreSales
+from martloom.plans.incremental import CustomerStoreSales, CustomerVariety
 from martloom.schemas import DIMENSION_KEYS, FACT_KEEP_FIRST, FACT_KEYS, MASTER, STAR, TRANSACTIONS, Star, conform
 from martloom.session import work_dir
 from martloom.sources.feeds import preview, read_csv, read_master, read_transactions, split_corrupt
@@ -505,6 +505,18 @@ def incremental_customer_store_sales(spark: SparkSession, sf_dir: str) -> DataFr
     return kept[-1]
 
 
+def incremental_top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers with the most different products, from counts brought up to date after each of three passes."""
+    path, views_ = work_dir(spark, "incremental-variety"), []
+
+    def refresh(warehouse: Warehouse) -> None:
+        views_.append(CustomerVariety(warehouse, path))
+        views_[-1].refresh()
+
+    _load_in_steps(spark, sf_dir, SPLIT, gated=False, after=refresh, by_product=False)
+    return views_[-1].top(YEAR)
+
+
 QUERIES: dict[str, Query] = {
     # Reports.
     "supplier_sales_drilldown": _olap(olap.supplier_sales_drilldown),
@@ -535,6 +547,7 @@ QUERIES: dict[str, Query] = {
     "customer_store_sales_view": _view(views.CUSTOMER_STORE_SALES),
     "refreshed_customer_store_sales": refreshed_customer_store_sales,
     "incremental_customer_store_sales": incremental_customer_store_sales,
+    "incremental_top_customers": incremental_top_customers,
     # Feeds.
     "scan_transactions": scan_transactions,
     "scan_master": scan_master,

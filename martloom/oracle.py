@@ -247,6 +247,13 @@ FROM product JOIN nation ON supplierID = n_nationkey""",
     "customer_store_sales_view": CUSTOMER_STORE_SALES,
     "refreshed_customer_store_sales": CUSTOMER_STORE_SALES,
     "incremental_customer_store_sales": LOADED_SALES,
+    "incremental_top_customers": f"""WITH loaded AS ({_upserted("one_pass", "seq")})
+SELECT CustomerID, c_name AS CustomerName, COUNT(DISTINCT ProductID) AS UniqueProductsPurchased
+FROM loaded JOIN customer ON CustomerID = c_custkey
+WHERE YEAR(OrderDate) = {YEAR}
+GROUP BY CustomerID, c_name
+ORDER BY UniqueProductsPurchased DESC, CustomerID
+LIMIT 5""",
     "scan_transactions": f"WITH {TX} SELECT {TX_COLUMNS} FROM tx",
     "scan_master": f"WITH {MASTER} SELECT * FROM master",
     "stream_master_feed": f"WITH {MASTER} SELECT * FROM master",

@@ -1,55 +1,62 @@
-"""The customer/store view kept up to date by what passes change, not from all facts."""
+"""Views kept up to date by what passes change, not from all facts."""
 
 from __future__ import annotations
 
 import json
 import re
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.measures import date_parts, month_start, sales, total, total_sales
 from martloom.operators.joins import having, star_join, store_join
+from martloom.operators.ranking import top_k
 from martloom.schemas import FACT_KEYS, FACT_TABLE, Star
 from martloom.sources.paths import children, delete, read_text, write_text
 from martloom.sources.warehouse import Warehouse
 
-KEYS = ["supplierID", "CustomerID", "SalesMonth"]
 # Folders of differences that are added up into one when there are more.
 FOLDERS = 8
 
 
-def contributions(star: Star, facts: DataFrame) -> DataFrame:
-    """What ``facts`` add to the view: per store number, customer and month the sales, the rows, and the rows with sales."""
-    supplied = having(star.product, star.supplier, "supplierID", "supplierID")
-    stocked = having(supplied, star.store, "supplierID", "storeID").select("ProductID", "supplierID")
-    joined = having(star_join(facts, stocked, "product"), star.customer, "CustomerID", "CustomerID")
-    return joined.groupBy("supplierID", "CustomerID", month_start().alias("SalesMonth")).agg(
-        F.coalesce(total_sales(), F.lit(0).cast("decimal(38,2)")).alias("amount"),
-        F.count("*").alias("n"),
-        F.count(sales()).alias("sold"),
-    )
+class KeptSums:
+    """Sums over a warehouse's facts, kept under ``path``.
 
+    Every refresh adds a folder with the difference that the passes since the last
+    one make: what the orders they touched gave before goes out, what they give now
+    comes in, and so do orders that a new dimension row lets in. The other facts are
+    looked through for those orders but neither joined nor summed again. A manifest,
+    written last, names the folders that count and the warehouse's state behind
+    them; a reader never sees half a refresh. Once the folders of that state may be
+    gone (after the warehouse's ``grace`` of passes) the view starts anew from all
+    facts.
+
+    A subclass says by which ``keys`` it sums, what facts contribute (``n`` counts
+    rows, ``sums`` are its other columns, ``amount`` in exact cents), which facts
+    come in late, and how the sums read.
+    """
 
-def added(parts: DataFrame) -> DataFrame:
-    """Contributions added up; those that cancel out are gone."""
-    sums = parts.groupBy(*KEYS).agg(total(F.col("amount")).alias("amount"), F.sum("n").alias("n"), F.sum("sold").alias("sold"))
-    return sums.filter((F.col("n") != 0) | (F.col("sold") != 0) | (F.col("amount") != 0))
+    keys: list[str]
+    sums: list[str]
 
+    def contributions(self, star: Star, facts: DataFrame) -> DataFrame:
+        raise NotImplementedError
 
-class CustomerStoreSales:
-    """The view over a warehouse, as sums in exact cents under ``path``.
+    def late(self, old: Star, new: Star) -> DataFrame | None:
+        """Keys of facts that count from now on although no pass touched them, if there can be any."""
+        return None
 
-    Every refresh adds a folder with the difference that the passes since the last
-    one make: what the orders they touched gave before goes out, what they give now
-    comes in, and orders of products whose store became known only now come in
-    too. The other facts are looked through for those orders but neither joined
-    nor summed again. A manifest, written last, names the folders that count and
-    the warehouse's state behind them; a reader never sees half a refresh. Once
-    the folders of that state may be gone (after the warehouse's ``grace`` of
-    passes) the view starts anew from all facts.
-    """
+    def named(self, star: Star, sums: DataFrame) -> DataFrame:
+        raise NotImplementedError
+
+    def _added(self, parts: DataFrame) -> DataFrame:
+        """Contributions added up; those that cancel out are gone."""
+        sums = parts.groupBy(*self.keys).agg(
+            F.sum("n").alias("n"), *[(total(F.col(c)) if c == "amount" else F.sum(c)).alias(c) for c in self.sums]
+        )
+        return sums.filter(reduce(Column.__or__, [F.col(c) != 0 for c in ("n", *self.sums)]))
 
     def __init__(self, warehouse: Warehouse, path: str) -> None:
         self.warehouse, self.spark, self.path = warehouse, warehouse.spark, path.rstrip("/")
@@ -81,13 +88,12 @@ class CustomerStoreSales:
         folders = [{*state["tables"][FACT_TABLE]["log"], *state["tables"][FACT_TABLE]["parts"].values()} for state in (before, now)]
         changed = sorted(folders[0] ^ folders[1])
         touched = house.facts_in(before, changed).select(*FACT_KEYS)
-        opened = new.store.join(old.store.select("storeID"), "storeID", "left_anti").select(F.col("storeID").alias("supplierID"))
-        if not opened.isEmpty():
-            late = new.product.join(opened, "supplierID", "left_semi").select("ProductID")
-            touched = touched.union(new.facts.join(late, "ProductID", "left_semi").select(*FACT_KEYS))
+        late = self.late(old, new)
+        if late is not None:
+            touched = touched.union(late)
         touched = touched.distinct()
-        out, in_ = (contributions(star, star.facts.join(touched, FACT_KEYS, "left_semi")) for star in (old, new))
-        return in_.unionByName(out.select(*KEYS, *[(-F.col(c)).alias(c) for c in ("amount", "n", "sold")]))
+        out, in_ = (self.contributions(star, star.facts.join(touched, FACT_KEYS, "left_semi")) for star in (old, new))
+        return in_.unionByName(out.select(*self.keys, *[(-F.col(c)).alias(c) for c in ("n", *self.sums)]))
 
     def refresh(self) -> DataFrame:
         """Bring the view up to the warehouse's newest pass, and read it."""
@@ -99,12 +105,12 @@ class CustomerStoreSales:
         fresh = last is None or now["pass"] - last["pass"] >= self.warehouse.grace
         if fresh:
             star = self.warehouse.star_at(now)
-            rows, kept = contributions(star, star.facts), []
+            rows, kept = self.contributions(star, star.facts), []
         else:
             rows, kept = self._difference(last, now), last["folders"]
-        folders, retired = [*kept, self._write(added(rows))], last["folders"] if last and fresh else []
+        folders, retired = [*kept, self._write(self._added(rows))], last["folders"] if last and fresh else []
         if len(folders) > FOLDERS:
-            folders, retired = [self._write(added(self.spark.read.parquet(*folders)))], folders
+            folders, retired = [self._write(self._added(self.spark.read.parquet(*folders)))], folders
         own = {name: now[name] for name in ("pass", "position", "tables")}
         self._commit(own | {"folders": folders, "retired": retired}, last)
         return self.read()
@@ -112,10 +118,65 @@ class CustomerStoreSales:
     def read(self) -> DataFrame:
         """The view as of the last refresh."""
         state = self._state()
-        star, sums = self.warehouse.star_at(state), added(self.spark.read.parquet(*state["folders"]))
-        named = star_join(store_join(sums.filter("n > 0"), star.store, "supplierID"), star.customer, "customer")
-        return named.select(
+        sums = self._added(self.spark.read.parquet(*state["folders"]))
+        return self.named(self.warehouse.star_at(state), sums.filter("n > 0"))
+
+
+class CustomerStoreSales(KeptSums):
+    """Monthly sales per store and customer: the third view, in exact cents."""
+
+    keys = ["supplierID", "CustomerID", "SalesMonth"]
+    sums = ["amount", "sold"]
+
+    def contributions(self, star: Star, facts: DataFrame) -> DataFrame:
+        """Per store number, customer and month the sales, the rows, and the rows with sales."""
+        supplied = having(star.product, star.supplier, "supplierID", "supplierID")
+        stocked = having(supplied, star.store, "supplierID", "storeID").select("ProductID", "supplierID")
+        joined = having(star_join(facts, stocked, "product"), star.customer, "CustomerID", "CustomerID")
+        return joined.groupBy("supplierID", "CustomerID", month_start().alias("SalesMonth")).agg(
+            F.count("*").alias("n"),
+            F.coalesce(total_sales(), F.lit(0).cast("decimal(38,2)")).alias("amount"),
+            F.count(sales()).alias("sold"),
+        )
+
+    def late(self, old: Star, new: Star) -> DataFrame | None:
+        """Orders of products whose store became known only now."""
+        opened = new.store.join(old.store.select("storeID"), "storeID", "left_anti").select(F.col("storeID").alias("supplierID"))
+        if opened.isEmpty():
+            return None
+        stocked = new.product.join(opened, "supplierID", "left_semi").select("ProductID")
+        return new.facts.join(stocked, "ProductID", "left_semi").select(*FACT_KEYS)
+
+    def named(self, star: Star, sums: DataFrame) -> DataFrame:
+        joined = star_join(store_join(sums, star.store, "supplierID"), star.customer, "customer")
+        return joined.select(
             *["storeID", "storeName", "CustomerID", "CustomerName"],
             *date_parts("SalesMonth", year="OrderYear", month="OrderMonth"),
             F.when(F.col("sold") > 0, F.col("amount")).alias("MonthlySales"),
         )
+
+
+class CustomerVariety(KeptSums):
+    """How many different products each customer bought per year, exactly.
+
+    Distinct counts do not add up, and neither a sketch nor a bitmap can give up an
+    order that a later pass moves to another product, customer or year. Kept are
+    therefore the orders per customer, year and product, which add and subtract;
+    the different products are those with any order left.
+    """
+
+    keys = ["CustomerID", "OrderYear", "ProductID"]
+    sums = []
+
+    def contributions(self, star: Star, facts: DataFrame) -> DataFrame:
+        return facts.groupBy("CustomerID", F.year("OrderDate").alias("OrderYear"), "ProductID").agg(F.count("*").alias("n"))
+
+    def named(self, star: Star, sums: DataFrame) -> DataFrame:
+        return sums.groupBy("CustomerID", "OrderYear").agg(F.count("ProductID").alias("UniqueProductsPurchased"))
+
+    def top(self, year: int, k: int = 5) -> DataFrame:
+        """The report on the customers with the most different products of a year, as of the last refresh."""
+        of_year = self.read().filter(F.col("OrderYear") == year).drop("OrderYear")
+        star = self.warehouse.star_at(self._state())
+        named = star_join(of_year, star.customer, "customer").select("CustomerID", "CustomerName", "UniqueProductsPurchased")
+        return top_k(named, "UniqueProductsPurchased", k, tie=["CustomerID"])

@@ -8,6 +8,7 @@ import time
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from martloom.operators.joins import enrich
 from martloom.operators.load import FIRST_SEEN, order_facts, pass_lines, products_seen, reduce_batch
@@ -509,6 +510,7 @@ def test_the_incremental_view_equals_a_full_one_after_random_passes(spark, tmp_p
     monkeypatch.setattr(incremental, "FOLDERS", 3)
     warehouse, rng = Warehouse(spark, str(tmp_path / "dw"), buckets=2), random.Random(6 + landed)
     view = incremental.CustomerStoreSales(warehouse, str(tmp_path / "view"))
+    variety = incremental.CustomerVariety(warehouse, str(tmp_path / "variety"))
     # Stores come to be known one by one, some long after the products of their number.
     products = [(p, f"{p}.25", p % 4, (p * 3) % 4) for p in range(8)]
     for n in range(7):
@@ -518,5 +520,8 @@ def test_the_incremental_view_equals_a_full_one_after_random_passes(spark, tmp_p
             warehouse.compact()
         if n != 3:
             assert rows_of(view.refresh()) == rows_of(olap.customer_store_monthly_sales(warehouse.star()))
+            facts = warehouse.table("OrderFacts").groupBy("CustomerID", F.year("OrderDate").alias("OrderYear"))
+            assert rows_of(variety.refresh()) == rows_of(facts.agg(F.countDistinct("ProductID").alias("UniqueProductsPurchased")))
+            assert variety.top(2019, 3).collect() == olap.top_customers_by_variety(warehouse.star(), 2019, 3).collect()
     assert rows_of(view.refresh()) == rows_of(view.read()) and view.read().count() > 3
     assert len(list((tmp_path / "view/_manifests").glob("*.json"))) <= 2
