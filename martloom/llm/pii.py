@@ -19,27 +19,48 @@ TITLES = {
     "f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Doña", "госпожа", "г-жа", "κυρία"],
     "": ["Dr", "Prof", "my name is", "My name is", "je m'appelle", "Je m'appelle", "ich heiße", "Ich heiße", "me llamo", "Me llamo", "меня зовут", "Меня зовут"],
 }
-# Given names whose gender is taken as known where no title says it.
+# Given names whose gender is taken as known where no title says it. Such
+# a name before another capitalised word needs no cue.
 GIVEN = {
-    "m": ["james", "john", "robert", "michael", "william", "david", "thomas", "paul", "peter", "hans", "jürgen", "pierre", "jean", "luis", "carlos", "josé", "иван", "сергей", "николай", "γιώργος"],
-    "f": ["mary", "patricia", "jennifer", "linda", "elizabeth", "susan", "anna", "maria", "sophie", "ursula", "claire", "isabel", "carmen", "lucía", "анна", "мария", "ольга", "μαρία"],
+    "m": [
+        "james", "john", "robert", "michael", "william", "david", "richard", "joseph", "thomas", "charles",
+        "christopher", "daniel", "matthew", "anthony", "steven", "andrew", "kenneth", "george", "edward", "paul",
+        "peter", "hans", "jürgen", "wolfgang", "klaus", "stefan", "andreas", "matthias", "günther", "dieter",
+        "pierre", "jean", "michel", "philippe", "françois", "jacques", "luis", "carlos", "josé", "juan",
+        "miguel", "javier", "fernando", "alejandro", "иван", "сергей", "николай", "дмитрий", "александр", "γιώργος",
+    ],
+    "f": [
+        "mary", "patricia", "jennifer", "linda", "elizabeth", "susan", "jessica", "sarah", "karen", "margaret",
+        "nancy", "barbara", "dorothy", "helen", "sandra", "laura", "emily", "rebecca", "anna", "maria",
+        "sophie", "ursula", "monika", "petra", "sabine", "renate", "brigitte", "heike", "claudia", "ingrid",
+        "claire", "isabelle", "nathalie", "catherine", "françoise", "monique", "isabel", "carmen", "lucía", "ana",
+        "pilar", "teresa", "dolores", "cristina", "анна", "мария", "ольга", "елена", "наталья", "μαρία",
+    ],
 }
 _CUE = "(?:" + "|".join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True)) + r")\.? "
-_NAME = r"\p{Lu}(?:['’]\p{Lu})?[\p{L}\p{M}]+(?:['’-]\p{L}+)*"
+_NAME = r"\p{Lu}(?:['’]\p{Lu})?[\p{L}\p{M}]+(?:['’-]\p{L}+)*+"
+_KNOWN = "(?:" + "|".join(n.capitalize() for ns in GIVEN.values() for n in ns) + ")"
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-# In order: where two begin at one place, the first is meant.
+# In order: where two begin at one place, the first is meant. A host has up to 127 labels,
+# the bound of such names; repeated groups are bounded or possessive, so that the matcher's
+# stack does not grow with the text.
 KINDS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,125}\.[A-Za-z]{2,}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "card": r"(?<![A-Za-z0-9.])[3-6][0-9]{3}(?<gap>[ -]?)[0-9]{4}\k<gap>[0-9]{4}\k<gap>[0-9]{1,7}(?![A-Za-z0-9])",
     "ssn": r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])",
     "ip": rf"(?<![A-Za-z0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![A-Za-z0-9])(?!\.[0-9])",
     "phone": r"(?<![A-Za-z0-9+])(?:\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\)|[ .-]?[0-9]{2,4}){2,5}"
     r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![A-Za-z0-9])",
-    "person": rf"(?<![\p{{L}}\p{{M}}\p{{N}}]){_CUE}{_NAME}(?: {_NAME}){{0,2}}",
+    "person": rf"(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{_CUE}{_NAME}(?: {_NAME}){{0,2}}|{_KNOWN}(?: {_NAME}){{1,2}})",
 }
 PATTERN = "|".join(KINDS.values())
+# Around a known name that stands alone; its letters, apostrophes and hyphens mean themselves.
+_ALONE = (r"(?<![\p{L}\p{M}\p{N}])(?:", r")(?![\p{L}\p{M}\p{N}])")
+KNOWN = "map<string,array<struct<kind:string,value:string>>>"
 SURROGATE = "array<struct<kind:string,start:int,end:int,surrogate:string>>"
+# Country codes of telephone numbers, one to three digits.
+_COUNTRY = "^(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 # Rounds in which surrogates that clash are drawn anew.
 ROUNDS = 64
 
@@ -98,6 +119,47 @@ def _card(digits: Column, hashed: Column) -> Column:
     return F.when(F.call_function("luhn_check", digits), F.concat(body, F.element_at(right, 1))).otherwise(drawn)
 
 
+def _mod97(signs: Column) -> Column:
+    """The remainder by 97 of digits and upper-case letters, A as 10 up to Z as 35."""
+
+    def next_(rest: Column, c: Column) -> Column:
+        digit = c.rlike("[0-9]")
+        return F.when(digit, rest * 10 + F.ascii(c) - 48).otherwise(rest * 100 + F.ascii(c) - 55) % 97
+
+    return F.aggregate(F.split(signs, ""), F.lit(0), next_)
+
+
+def _iban(signs: Column, hashed: Column) -> Column:
+    """The country stays; the check digits are right if they were right."""
+    rest = lambda text, at: F.substring(text, F.lit(at), F.length(signs))
+    country, body = F.substring(signs, 1, 2), rest(_shaped(signs, hashed), 5)
+    check = F.lpad((98 - _mod97(F.concat(body, country, F.lit("00")))).cast("string"), 2, "0")
+    was_right = _mod97(F.concat(rest(signs, 5), F.substring(signs, 1, 4))) == 1
+    return F.concat(country, F.when(was_right, check).otherwise(F.substring(_shaped(signs, hashed), 3, 2)), body)
+
+
+def _ssn(hashed: Column) -> Column:
+    """A number that can be issued: area 001 to 899 but 666, group from 01, serial from 0001."""
+    n = F.conv(F.substring(hashed, 1, 12), 16, 10).cast("long")
+    area = 1 + n % 898
+    shown = lambda value, width: F.lpad(value.cast("string"), width, "0")
+    return F.concat(
+        shown(area + (area >= 666).cast("int"), 3),
+        shown(1 + F.floor(n / 898) % 99, 2),
+        shown(1 + F.floor(n / (898 * 99)) % 9999, 4),
+    )
+
+
+def _phone(digits: Column, hashed: Column) -> Column:
+    """The country code stays; behind a 1, area and exchange begin with 2 to 9."""
+    country = F.regexp_extract(digits, _COUNTRY, 0)
+    own = F.substring(digits, F.length(country) + 1, F.length(digits))
+    new = _shaped(own, hashed)
+    first = lambda at, i: F.when(F.length(own) >= at, _pick("23456789", _octet(hashed, i))).otherwise("")
+    american = F.concat(first(1, 40), F.substring(new, 2, 2), first(4, 41), F.substring(new, F.lit(5), F.length(own)))
+    return F.concat(country, F.when(country == "1", american).otherwise(new))
+
+
 def _name(kind: Column, token: Column, hashed: Column, attempt: Column) -> Column:
     """A made-up name in the token's script, with the ending of its gender."""
 
@@ -122,16 +184,14 @@ def drawn(kind: Column, value: Column, attempt: Column, hashed: Column) -> Colum
     tail = F.regexp_extract(value, r"\.[^.]*$", 0)
     host = F.substring(value, F.lit(1), F.length(value) - F.length(tail))
     address = F.concat_ws(".", 1 + _octet(hashed, 0) % 223, _octet(hashed, 1), _octet(hashed, 2), 1 + _octet(hashed, 3) % 254)
-    kept_first = F.concat(F.substring(value, 1, 1), F.substring(_shaped(value, hashed), F.lit(2), F.length(value)))
-    kept_two = F.concat(F.substring(value, 1, 2), F.substring(_shaped(value, hashed), F.lit(3), F.length(value)))
     return (
         F.when(kind == "user", F.concat(_padding(value, hashed, attempt), _shaped(value, hashed)))
         .when(kind == "host", F.concat(_padding(host, hashed, attempt), _shaped(host, hashed), tail))
         .when(kind == "ip", address)
         .when(kind == "card", _card(value, hashed))
-        .when(kind == "phone", kept_first)
-        .when(kind == "iban", kept_two)
-        .when(kind == "ssn", _shaped(value, hashed))
+        .when(kind == "phone", _phone(value, hashed))
+        .when(kind == "iban", _iban(value, hashed))
+        .when(kind == "ssn", _ssn(hashed))
         .otherwise(_name(kind, value, hashed, attempt))
     )
 
@@ -143,6 +203,8 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     another's or equals an entity of the given ones. Those that do are drawn
     again; each round checks all of them, by joins and windows over groups of
     equal surrogates, which are few rows each. The earlier attempt keeps its own.
+    Raises ``RuntimeError`` if some still clash after ``ROUNDS`` rounds, which takes
+    nearly as many entities of a kind as it has values.
     """
     space = F.when(F.col("kind").startswith("given:") | (F.col("kind") == "family"), "name").otherwise(F.col("kind"))
     own = stored(entities.select("kind", "value").distinct(), "entities")
@@ -170,13 +232,19 @@ def _is_any(value: Column, words: list[str]) -> Column:
 
 
 def mentions(found: DataFrame) -> DataFrame:
-    """One row per mention: ``row``, ``start``, ``end``, ``kind``, ``mention``, and the ``parts`` (kind, value) it stands for."""
+    """One row per mention: ``row``, ``start``, ``end``, ``kind``, ``mention``, and the ``parts`` (kind, value) it stands for.
+
+    ``known``, if ``found`` has it, maps names to their parts; it settles mentions without a cue.
+    """
+    if "known" not in found.columns:
+        found = found.withColumn("known", F.lit(None).cast(KNOWN))
     cut = lambda s: F.substring(F.col("text"), s["start"] + 1, s["end"] - s["start"])
     spans = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), cut(s).alias("whole")))
-    each = found.select("row", F.explode(spans).alias("m")).select("row", "m.*").withColumn("kind", _kind(F.col("whole")))
+    each = found.select("row", "known", F.explode(spans).alias("m")).select("row", "known", "m.*").withColumn("kind", _kind(F.col("whole")))
     cue = F.when(F.col("kind") == "person", F.regexp_extract("whole", f"^{_CUE}", 0)).otherwise("")
     each = each.withColumn("cue", cue).select(
         "row",
+        "known",
         (F.col("start") + F.length("cue")).alias("start"),
         "end",
         "kind",
@@ -210,9 +278,35 @@ def mentions(found: DataFrame) -> DataFrame:
         .when(F.col("kind") == "ip", F.array(one("ip", value)))
         .when(F.col("kind") == "card", F.array(one("card", digits)))
         .when(F.col("kind") == "ssn", F.array(one("ssn", digits)))
-        .otherwise(F.array(one("phone", digits)))
+        .otherwise(F.array(one("phone", F.when(value.startswith("+"), digits).otherwise(F.concat(F.lit("1"), digits)))))
+    )
+    settled = F.when((F.col("kind") == "person") & (F.col("title") == ""), F.try_element_at("known", F.col("mention")))
+    return each.select("row", "start", "end", "kind", "mention", F.coalesce(settled, parts).alias("parts"))
+
+
+def with_known_names(found: DataFrame) -> DataFrame:
+    """``found`` with ``known`` and the spans of all mentions of known names.
+
+    A whole name that a cue or a given name reveals, and its family name alone, are
+    known in the same row from then on and wherever else they stand in its text.
+    Rows with names are searched once more, for the patterns and those names together.
+    """
+    persons = mentions(found).filter(F.col("kind") == "person")
+    last = F.element_at("parts", -1)
+    both = F.array(
+        F.struct("mention", "parts"),
+        F.struct(F.element_at(F.split("mention", " "), -1).alias("mention"), F.array(last).alias("parts")),
+    )
+    names = persons.filter(last["kind"] == "family").select("row", F.explode(both).alias("n")).select("row", "n.*")
+    once = names.groupBy("row", "mention").agg(F.min("parts").alias("parts"))
+    longest = F.array_sort(F.collect_list(F.struct((-F.length("mention")).alias("order"), "mention", "parts")))
+    listed = once.groupBy("row").agg(longest.alias("names")).select(
+        "row",
+        F.map_from_arrays("names.mention", "names.parts").alias("known"),
+        F.concat(F.lit(f"{PATTERN}|{_ALONE[0]}"), F.array_join("names.mention", "|"), F.lit(_ALONE[1])).alias("pattern"),
     )
-    return each.select("row", "start", "end", "kind", "mention", parts.alias("parts"))
+    again = F.when(F.col("pattern").isNull(), F.col("spans")).otherwise(match_spans(F.col("text"), F.coalesce("pattern", F.lit(PATTERN))))
+    return found.join(listed, "row", "left").withColumn("spans", again).drop("pattern")
 
 
 def _filled(layout: Column, signs: Column) -> Column:
@@ -231,11 +325,13 @@ def _rendered(kind: Column, mention: Column, parts: Column) -> Column:
     """What replaces a mention, written as the mention is."""
     upper = lambda like, new: F.when((F.length(like) > 1) & (like == F.upper(like)), F.upper(new)).otherwise(new)
     names = F.array_join(F.zip_with(F.split(mention, " "), parts, upper), " ")
+    number = F.element_at(parts, 1)
+    national = F.substring(number, F.lit(2), F.length(number))
     return (
         F.when(kind == "email", upper(mention, F.array_join(parts, "@")))
         .when(kind == "person", names)
-        .when(kind == "ip", F.element_at(parts, 1))
-        .otherwise(_filled(mention, F.element_at(parts, 1)))
+        .when(kind == "ip", number)
+        .otherwise(_filled(mention, F.when((kind == "phone") & ~mention.startswith("+"), national).otherwise(number)))
     )
 
 
@@ -246,7 +342,7 @@ def replacements(found: DataFrame, key: str) -> DataFrame:
     of surrogates; where one entity has very many mentions, its surrogate is one
     row on one side and adaptive execution splits the other.
     """
-    own = mentions(found)
+    own = stored(mentions(with_known_names(found)), "mentions")
     parts = own.select("row", "start", "end", "kind", "mention", F.posexplode("parts").alias("at", "part")).select(
         "row", "start", "end", F.col("kind").alias("of"), "mention", "at", "part.kind", "part.value"
     )
@@ -272,23 +368,28 @@ def pseudonymised(documents: DataFrame, key: str, name: str = "entities") -> Dat
     """``documents`` with personal data in ``text`` replaced, and ``name``: the spans replaced and by what.
 
     E-mail and IP addresses, phone, card, bank and social security numbers, and
-    names behind a title or another cue are replaced. Under one key, an entity has
-    one surrogate in the whole table, and different entities have different ones:
+    names are replaced: names behind a title or another cue or that begin with a
+    common given name, and where they or their family names stand again in the same
+    text. Under one key, an entity has one surrogate in the whole table, and different entities have different ones:
     user and host of an address, the digits of a number, and each word of a name
-    count as entities, without regard to case, spaces and signs between digits.
+    count as entities, without regard to case, spaces and signs between digits; a
+    phone number without country code is one behind +1.
     Surrogates keep the layout, the case, a name's script and gender, the first
-    digit of phones and cards, the check sum of cards, the country of bank numbers
-    and the last label of hosts. Gender is what the title says, or a list of given
+    digit of cards, the country of phones and bank numbers, right check sums, and
+    the last label of hosts; social security numbers are ones that can be issued. Gender is what the title says, or a list of given
     names, or unknown; one given name with different genders is different names.
 
     Spans are code points of the old text, ends exclusive. NULL and empty texts
     have none and stay. Repeated rows are replaced alike; ``n_chars``, if there,
     follows the text; other columns pass through, and ``name`` replaces one of
-    that name. Only documents with personal data are written and shuffled.
+    that name. Texts are searched once and written with what was found; only those
+    with personal data are shuffled. Raises ``RuntimeError`` if nearly all values of
+    a kind occur (see :func:`surrogates`).
     """
     columns = [c for c in documents.columns if c != name]
-    kept = documents.select(F.struct(*columns).alias("doc"), F.col("text"), match_spans(F.col("text"), PATTERN).alias("spans"))
-    touched = stored(kept.filter(F.size("spans") > 0).withColumn("row", F.monotonically_increasing_id()), "personal-data")
+    found = documents.select(F.struct(*columns).alias("doc"), match_spans(F.col("text"), PATTERN).alias("spans"))
+    kept = stored(found.withColumn("row", F.monotonically_increasing_id()), "personal-data")
+    touched = kept.filter(F.size("spans") > 0).withColumn("text", F.col("doc.text"))
     plain = kept.filter(F.size("spans") == 0).select("doc.*", F.array().cast(SURROGATE).alias(name))
     new = touched.join(replacements(touched, key), "row")
     text = new.select("doc", "entities", _rewritten(F.col("text"), F.col("entities")).alias("new_text"))

@@ -31,7 +31,7 @@ def _running(lengths: Column, first: Column) -> Column:
     )
 
 
-def match_spans(text: Column, pattern: str, group: int = 0, at_least: int = 0) -> Column:
+def match_spans(text: Column, pattern: str | Column, group: int = 0, at_least: int = 0) -> Column:
     """Spans of the leftmost non-overlapping matches, as an array of ``SPAN`` in code points.
 
     Matches whose ``group`` has fewer than ``at_least`` characters are dropped

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import re
 
+import regex
 from pyspark.sql import functions as F
 
 from martloom.llm import pii
@@ -91,3 +92,71 @@ def test_repeats_and_no_rows(spark):
     assert len(got) == 2 and len({r.text for r in got}) == 1 and got[0].text != "1.2.3.4"
     assert pii.pseudonymised(spark.createDataFrame([], SCHEMA), "k").collect() == []
     assert pii.pseudonymised(spark.createDataFrame([("a",)], "text string"), "k").select(F.size("entities")).first()[0] == 0
+
+
+def mod97(iban):
+    signs = iban.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in signs[4:] + signs[:4])) % 97
+
+
+def brute_spans(text):
+    """What is found in a text, by another engine for regular expressions."""
+    pattern = pii.PATTERN.replace(r"\k<gap>", r"(?P=gap)")
+    cue = lambda m: regex.match(pii._CUE, m.group()) or regex.match("", "")
+    kind = lambda m: next((k for k, p in pii.KINDS.items() if k != "person" and regex.fullmatch(p.replace(r"\k<gap>", r"(?P=gap)"), m.group())), "person")
+    names = set()
+    for m in regex.finditer(pattern, text):
+        if kind(m) == "person":
+            title = cue(m).group().strip().rstrip(".")
+            words = m.group()[cue(m).end() :].split(" ")
+            if len(words) > 1 or " " not in title and title in sum(pii.TITLES.values(), []):
+                names |= {" ".join(words), words[-1]}
+    if names:
+        listed = "|".join(sorted(map(regex.escape, names), key=len, reverse=True))
+        pattern += rf"|(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{listed})(?![\p{{L}}\p{{M}}\p{{N}}])"
+    found = [(kind(m), m.start(), m.end(), cue(m).end()) for m in regex.finditer(pattern, text)]
+    return [(k, a + (n if k == "person" else 0), b) for k, a, b, n in found]
+
+
+def test_spans_equal_another_engine_and_surrogates_are_one_to_one(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    docs |= {-1 - i: t for i, t in enumerate([*TEXTS, "Mr. Zed Foo-Bar and Zed Foo-Bar; Foo-Bar's. Foo-Barx Anna Lee, LEE Lee Lee@x.org Dr. Lee", "Anna said. my name is Bob"])}
+    rows = [(i, t, None, "", "", "") for i, t in docs.items()]
+    there, back, kinds = {}, {}, set()
+    for r in pii.pseudonymised(spark.createDataFrame(rows, SCHEMA), "k").collect():
+        text = docs[r.doc_id]
+        assert [(e.kind, e.start, e.end) for e in r.entities] == brute_spans(text or "")
+        at, new = 0, ""
+        for e in r.entities:
+            old = text[e.start : e.end]
+            kinds.add(e.kind)
+            new, at = new + text[at : e.start] + e.surrogate, e.end
+            if e.kind != "person":
+                plain = lambda s: re.sub(r"\D", "", s if s[0] == "+" else "1" + s) if e.kind == "phone" else re.sub("[ -]", "", s).lower()
+                assert there.setdefault((e.kind, plain(old)), plain(e.surrogate)) == plain(e.surrogate)
+                assert back.setdefault((e.kind, plain(e.surrogate)), plain(old)) == plain(old)
+            if e.kind == "iban":
+                assert mod97(old) != 1 or mod97(e.surrogate) == 1
+            if e.kind == "ssn":
+                area, group, serial = map(int, e.surrogate.split("-"))
+                assert 0 < area < 900 and area != 666 and group and serial
+            if e.kind == "phone" and old.startswith("+1"):
+                assert e.surrogate.startswith("+1") and re.sub(r"\D", "", e.surrogate)[1] in "23456789"
+        assert text is None or r.text == new + text[at:]
+    assert kinds == set(pii.KINDS)
+    assert not {(k, v) for k, v in there} & set(back)
+
+
+def test_names_are_followed_through_a_text(spark):
+    text = "Mr. Zed Foo-Bar came. Zed Foo-Bar left, said Foo-Bar; Foo-Barx stayed. Call +44 20 7946 0958, (378) 555-8675 = +1 378 555 8675."
+    row = run(spark, [text, "Foo-Bar"])[0]
+    names, phones = ([e.surrogate for e in row.entities if e.kind == k] for k in ("person", "phone"))
+    assert names[0] == names[1] and names[2] == names[0].split()[1] and len(names) == 3 and "Foo-Barx" in row.text
+    assert phones[0].startswith("+44 ") and re.sub(r"\D", "", phones[2]) == "1" + re.sub(r"\D", "", phones[1])
+
+
+def test_very_long_texts(spark):
+    dotted, words = "a@" + "b." * 100_000 + "com ", "Mr. " + "Foo-" * 50_000 + "Bar "
+    got = run(spark, [dotted + "1.2.3.4 " * 20_000, words, "x" * 3_000_000 + " 1.2.3.4"])
+    assert len({e.surrogate for e in got[0].entities if e.kind == "ip"}) == 1 and len(got[0].entities) >= 20_000
+    assert len(got[2].entities) == 1 and got[2].entities[0].start == 3_000_001
