@@ -77,3 +77,22 @@ def test_copies_ties_and_vectors_that_take_no_part(spark):
     few = by_query(N.nearest(table.filter("vec_id in (0, 5, 101)"), F.col("vec_id") % 100 == 0))
     assert few == {0: [(5, 0.0), (101, 2**0.5)]}
     assert N.nearest(table.limit(0), F.col("vec_id") % 100 == 0).collect() == []
+
+
+def test_recall_on_full_shards(spark):
+    points = np.random.default_rng(8).normal(size=(2 * N.SHARD_ROWS, 64)).astype(np.float32)
+    table = spark.createDataFrame([(i, p) for i, p in enumerate(points.tolist())], "vec_id long, embedding array<float>")
+    index = N.build(N.usable(table))
+    assert index.count() == 2 and index.select(F.sum(F.size("owners"))).first()[0] == len(points)
+    got = by_query(N.search(N.usable(table).filter("vec_id % 128 = 0"), index))
+    expected = exact(list(enumerate(points)), 128)
+    assert set(got) == set(expected) and len(got) == 128
+    assert sum(len({v for v, _ in got[q]} & {v for v, _ in expected[q]}) for q in got) >= 0.95 * 10 * len(got)
+
+
+def test_each_shard_is_a_partition_of_its_own(spark):
+    points = np.random.default_rng(9).normal(size=(900, 4))
+    table = spark.createDataFrame([(i, p) for i, p in enumerate(points.tolist())], SCHEMA.split(", label")[0])
+    index = N.build(N.usable(table), shard_rows=100)
+    files = [r.f for r in index.select(F.input_file_name().alias("f")).collect()]
+    assert len(files) == len(set(files)) == 9
