@@ -5,14 +5,16 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.shared import bounded_batches
+from martloom.llm.shared import bounded_batches, stored
 
 SHINGLE = 5
 CONTAINMENT = 0.8
@@ -131,21 +133,12 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str | None]
         yield sorted(((r.item_id, r.text) for r in part.collect()), key=repr)
 
 
-def matches(text: Column, benchmark: DataFrame, shingle: int = SHINGLE, containment: float = CONTAINMENT) -> Column:
-    """Test items contained in ``text``, an array of ``MATCHES``.
+def matches(text: Column, shared: Broadcast, shingle: int = SHINGLE, containment: float = CONTAINMENT) -> Column:
+    """Test items of a broadcast block that are contained in ``text``, an array of ``MATCHES``."""
+    return _search(shared, shingle, containment)(text)
 
-    The documents are not shuffled: each block of items is broadcast, and any
-    number of blocks is gone through in turn.
-    """
-    context = benchmark.sparkSession.sparkContext
-    parts = [F.array().cast(MATCHES)]
-    for block in _blocks(benchmark):
-        shared = context.broadcast(block)
-        parts.append(_search(shared, shingle, containment)(text))
-    return F.concat(*parts)
 
-
-def _search(shared, shingle: int, containment: float):
+def _search(shared: Broadcast, shingle: int, containment: float):
     @F.pandas_udf(MATCHES)
     def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         index = Index(shared.value, shingle, containment)
@@ -167,10 +160,22 @@ def contaminated(
     words match nothing. Repeated items count once, repeated documents each get
     their rows, a NULL ``doc_id`` or ``item_id`` is returned as such. Other
     columns are not read; empty tables give an empty result.
+
+    The documents are not shuffled: a block of items is broadcast to where they are.
+    If there are more, what the one before found is written first, so that a single
+    block is in memory at a time; every further block reads the documents again.
     """
-    bounded_batches(documents.sparkSession)
-    found = documents.select("doc_id", F.explode(matches(F.col("text"), benchmark, shingle, containment)).alias("m"))
-    return found.select(
+    spark = bounded_batches(documents.sparkSession)
+    texts, found, shared = documents.select("doc_id", "text"), [], None
+    for block in _blocks(benchmark):
+        if shared:
+            found[-1] = stored(found[-1], "contained")
+            shared.destroy()
+        shared = spark.sparkContext.broadcast(block)
+        found.append(texts.select("doc_id", F.explode(matches(F.col("text"), shared, shingle, containment)).alias("m")))
+    if not found:
+        found = [texts.limit(0).select("doc_id", F.explode(F.array().cast(MATCHES)).alias("m"))]
+    return reduce(DataFrame.unionAll, found).select(
         "doc_id", "m.item_id", "m.matched", "m.shingles", (F.col("m.matched") / F.col("m.shingles")).alias("containment")
     )
 
@@ -178,6 +183,16 @@ def contaminated(
 def clean(
     documents: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, containment: float = CONTAINMENT
 ) -> DataFrame:
-    """The documents that contain no test item, all their columns unchanged."""
-    bounded_batches(documents.sparkSession)
-    return documents.filter(F.size(matches(F.col("text"), benchmark, shingle, containment)) == 0)
+    """The documents that contain no test item, all their columns unchanged.
+
+    As in :func:`contaminated`, one block of items is in memory at a time; the
+    documents that pass a block are written before the next one.
+    """
+    spark, shared = bounded_batches(documents.sparkSession), None
+    for block in _blocks(benchmark):
+        if shared:
+            documents = stored(documents, "uncontaminated")
+            shared.destroy()
+        shared = spark.sparkContext.broadcast(block)
+        documents = documents.filter(F.size(matches(F.col("text"), shared, shingle, containment)) == 0)
+    return documents
