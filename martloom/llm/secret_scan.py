@@ -27,6 +27,10 @@ MASK = "[SECRET]"
 
 WINDOW = 20
 CANDIDATE = rf"[A-Za-z0-9+/_-]{{{WINDOW},}}"
+# The characters of a candidate by class; counts are packed into fields of long integers.
+CLASSES = ("0123456789", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ", "+/_-")
+_BITS = WINDOW.bit_length()
+_FIELDS = 63 // _BITS
 # Least entropy in bits per character of a window, by the class its characters fall into.
 HEX_BITS, MIXED_BITS = 3.0, 3.7
 # Candidates that match any of these are not secrets, however random they look.
@@ -45,49 +49,75 @@ def _bound(bits: float) -> int:
     return int(WINDOW * (math.log2(WINDOW) - bits) * _FIXED)
 
 
+def _sign(char: Column) -> Column:
+    """Where a character's count stands among the packed counts, and that of its class."""
+    at = F.call_function("instr", F.lit("".join(CLASSES)), char) - 1
+    classes = F.array(*[F.lit(i) for i, signs in enumerate(CLASSES) for _ in signs])
+    one = lambda shift: F.call_function("shiftleft", F.lit(1).cast("long"), shift)
+
+    def placed(at: Column) -> Column:
+        shift = (at % _FIELDS) * _BITS
+        return F.struct(
+            F.floor(at / _FIELDS).cast("int").alias("word"),
+            shift.alias("shift"),
+            one(shift).alias("unit"),
+            one(F.get(classes, at) * _BITS).alias("kind"),
+        )
+
+    return let(at, placed)
+
+
+def _field(word: Column, shift: Column | int) -> Column:
+    shift = shift if isinstance(shift, Column) else F.lit(shift)
+    return F.call_function("shiftright", word, shift).bitwiseAND(F.lit((1 << _BITS) - 1).cast("long")).cast("int")
+
+
 def _window_spans(candidate: Column) -> Column:
     """Merged windows of a candidate string whose entropy reaches its class's threshold.
 
     Entropy is log2(w) - sum(c*log2(c))/w over the counts c of a window of w
-    characters. The sum, kept as a whole number so that it does not drift, is
-    changed by the counts of the one character that leaves and the one that
-    enters. Characters are read from an array, so each costs the same.
+    characters. The counts, of characters and of classes, are kept from window to
+    window in fields of long integers: the character that leaves takes one from its
+    fields, the one that enters adds one. The sum, a whole number so that it does
+    not drift, changes by those two counts alone.
     """
     weight = F.array(*[F.lit(round(c * math.log2(c) * _FIXED) if c else 0) for c in range(WINDOW + 2)])
-    count = lambda window, char: F.length(window) - F.length(F.replace(window, char, F.lit("")))
     change = lambda n: F.get(weight, n + 1) - F.get(weight, n)
-    chars = F.split(candidate, "")
+    words = -(-sum(map(len, CLASSES)) // _FIELDS)
     empty = F.struct(
         F.lit(0).alias("at"),
-        F.lit("").alias("window"),
+        F.array(*[F.lit(0).cast("long")] * words).alias("counts"),
+        F.lit(0).cast("long").alias("kinds"),
         F.lit(0).cast("long").alias("sum"),
         F.lit(-1).alias("start"),
         F.lit(-1).alias("end"),
         F.array().cast(f"array<{SPAN}>").alias("done"),
     )
 
-    def left(s: Column) -> Column:
-        """The state without the character that leaves a full window."""
-        first, full = F.substring(s["window"], 1, 1), F.length(s["window"]) == WINDOW
-        rest = F.substring(s["window"], 2, WINDOW)
+    def moved(w: Column, sign: Column, by: int) -> Column:
+        """Counts, classes and sum with one character more or less."""
+        counts = F.transform(w["counts"], lambda v, i: F.when(i == sign["word"], v + by * sign["unit"]).otherwise(v))
+        held = _field(F.get(w["counts"], sign["word"]), sign["shift"])
         return F.struct(
-            F.when(full, rest).otherwise(s["window"]).alias("window"),
-            F.when(full, s["sum"] - change(count(rest, first))).otherwise(s["sum"]).alias("sum"),
+            counts.alias("counts"),
+            (w["kinds"] + by * sign["kind"]).alias("kinds"),
+            (w["sum"] + by * change(held if by > 0 else held - 1)).alias("sum"),
         )
 
-    def entered(s: Column, char: Column) -> Column:
-        return F.struct(
-            F.concat(s["window"], char).alias("window"), (s["sum"] + change(count(s["window"], char))).alias("sum")
-        )
+    def left(s: Column, signs: Column) -> Column:
+        """The window without the character that leaves a full one."""
+        kept = F.struct(*[s[c].alias(c) for c in ("counts", "kinds", "sum")])
+        return F.when(s["at"] >= WINDOW, moved(s, F.get(signs, s["at"] - WINDOW), -1)).otherwise(kept)
 
-    def random(w: Column) -> Column:
-        is_hex = w["window"].rlike("^([0-9a-f]+|[0-9A-F]+)$")
-        kinds = sum(w["window"].rlike(c).cast("int") for c in ("[a-z]", "[A-Z]", "[0-9]"))
+    def random(s: Column, w: Column) -> Column:
+        digits, low_hex, low, high_hex, high, _ = (_field(w["kinds"], i * _BITS) for i in range(len(CLASSES)))
+        is_hex = (digits + low_hex == WINDOW) | (digits + high_hex == WINDOW)
+        kinds = sum((n > 0).cast("int") for n in (digits, low_hex + low, high_hex + high))
         mixed = (w["sum"] <= _bound(MIXED_BITS)) & (kinds > 1) & ~is_hex
-        return (F.length(w["window"]) == WINDOW) & (w["sum"] <= _bound(HEX_BITS)) & (is_hex | mixed)
+        return (s["at"] + 1 >= WINDOW) & (w["sum"] <= _bound(HEX_BITS)) & (is_hex | mixed)
 
-    def step(s: Column, char: Column) -> Column:
-        return let(left(s), lambda w: let(entered(w, char), lambda w: let(random(w), lambda hit: placed(s, w, hit))))
+    def step(s: Column, sign: Column, signs: Column) -> Column:
+        return let(left(s, signs), lambda w: let(moved(w, sign, 1), lambda w: let(random(s, w), lambda hit: placed(s, w, hit))))
 
     def placed(s: Column, w: Column, hit: Column) -> Column:
         end = s["at"] + 1
@@ -95,8 +125,7 @@ def _window_spans(candidate: Column) -> Column:
         apart = hit & (start > s["end"])
         return F.struct(
             end.alias("at"),
-            w["window"].alias("window"),
-            w["sum"].alias("sum"),
+            *[w[c].alias(c) for c in ("counts", "kinds", "sum")],
             F.when(apart, start).otherwise(s["start"]).alias("start"),
             F.when(hit, end).otherwise(s["end"]).alias("end"),
             F.when(apart & (s["start"] >= 0), F.concat(s["done"], F.array(open_(s)))).otherwise(s["done"]).alias("done"),
@@ -106,7 +135,8 @@ def _window_spans(candidate: Column) -> Column:
         return F.struct(s["start"].alias("start"), s["end"].alias("end"))
 
     last = lambda s: F.when(s["start"] >= 0, F.concat(s["done"], F.array(open_(s)))).otherwise(s["done"])
-    return F.aggregate(chars, empty, step, last)
+    signs = F.transform(F.split(candidate, ""), _sign)
+    return let(signs, lambda signs: F.aggregate(signs, empty, lambda s, sign: step(s, sign, signs), last))
 
 
 def entropy_spans(text: Column, allow: Sequence[str] = ALLOW) -> Column:
