@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martloom.llm.shared import spare
 from martloom.llm.spans import SPAN, let, match_spans, merged, replaced
 
 # kind: pattern, group whose length counts, least length.
@@ -199,8 +200,11 @@ def scan(documents: DataFrame, allow: Sequence[str] = ALLOW) -> DataFrame:
 
 
 def redacted(documents: DataFrame, allow: Sequence[str] = ALLOW, mask: str = MASK) -> DataFrame:
-    """``documents`` with every secret in ``text`` replaced by ``mask``; ``n_chars``, if there, follows the text."""
-    spans = "_secret_spans"
+    """``documents`` with every secret in ``text`` replaced by ``mask``; ``n_chars``, if there, follows the text.
+
+    NULL and empty texts stay, repeated rows are masked alike, other columns pass through whatever their names.
+    """
+    spans = spare(documents, "_secret_spans")
     found = with_secrets(documents, allow, spans)
     pairs = F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
     out = found.withColumn(spans, merged(pairs)).withColumn("text", replaced(F.col("text"), F.col(spans), mask))

@@ -54,14 +54,20 @@ def test_every_stage_against_brute_force(spark):
 
 def test_stages_take_nulls_repeats_and_no_rows(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long, decoded string, secrets string"
+    schema += ", _quality string, _pieces string, _secret_spans string"
     rows = [(1, "a b c d", None, None, None, "x", "y")] * 2 + [(None, None, None, None, None, None, None), (2, "", "", "", 0, "", "")]
+    rows = [(*row, "q", "p", "s") for row in rows]
     for given in (rows, []):
         docs = spark.createDataFrame(given, schema)
+        good = corpus_pipeline.quality_classifier(spark, docs, SF)
+        assert good.columns == docs.columns and [r.doc_id for r in good.collect()].count(1) in ((0, 2) if given else (0,))
         for _, stage in corpus_pipeline.STAGES[1:4]:
             docs = stage(spark, docs, SF)
             assert docs.columns == [f.split()[0] for f in schema.split(", ")]
         assert sorted((r.doc_id for r in docs.collect()), key=repr) == ([1, 2, None] if given else [])
+        assert all((r._quality, r._pieces, r._secret_spans) == ("q", "p", "s") for r in docs.collect())
         last = corpus_pipeline.sentencepiece_encoding(spark, docs, SF).collect()
+        assert all((r._quality, r._pieces, r._secret_spans) == ("q", "p", "s") for r in last)
         assert sorted(r.n_tokens for r in last) == ([0, 0, 4] if given else [])
 
 
