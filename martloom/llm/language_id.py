@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -28,6 +31,8 @@ LONGEST = 48
 LIFT = 16.0
 RESULT = "struct<lang_pred:string,score:double>"
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+# The same in a text of ASCII alone, in lower case.
+_ASCII_WORD = re.compile("[a-z]+")
 _MEMO_BYTES = 48 << 20
 # Words handled in one array, for one language.
 _TOGETHER = 1 << 14
@@ -35,48 +40,61 @@ _TOGETHER = 1 << 14
 
 def words_of(text: str | None) -> list[str]:
     """Runs of letters in lower case, each behind a mark; a very long run is cut, the rest without a mark."""
-    out = []
-    for word in _WORD.findall((text or "").lower()):
-        if len(word) < LONGEST:
-            out.append(SPACE + word)
-        else:
-            marked = SPACE + word
-            out += [marked[i : i + LONGEST] for i in range(0, len(marked), LONGEST)]
-    return out
+    text = (text or "").lower()
+    found = (_ASCII_WORD if text.isascii() else _WORD).findall(text)
+    if max(map(len, found), default=0) < LONGEST:
+        return [SPACE + word for word in found]
+    marked = [SPACE + word for word in found]
+    return [word[i : i + LONGEST] for word in marked for i in range(0, len(word), LONGEST)]
 
 
 class Pieces:
-    """The fixed vocabulary: piece numbers, and every start of a piece."""
+    """The fixed vocabulary: piece numbers, and the tree of all starts of pieces.
+
+    A start of a piece is a node, 0 the empty one. The branches lie in a sorted
+    array of node times alphabet plus letter, so that all places of many words
+    go a letter further at once.
+    """
 
     def __init__(self, pieces: list[str]) -> None:
         self.number = {piece: i for i, piece in enumerate(dict.fromkeys(p.lower() for p in pieces))}
         self.unknown = len(self.number)
         self.size = self.unknown + 1
-        self.starts = {piece[:i] for piece in self.number for i in range(1, len(piece) + 1)}
+        nodes = {"": 0}
+        for piece in self.number:
+            for i in range(1, len(piece) + 1):
+                nodes.setdefault(piece[:i], len(nodes))
+        letters = {letter: i for i, letter in enumerate(sorted({start[-1] for start in nodes if start}), 1)}
+        self.alphabet = len(letters) + 1
+        self.letter = np.zeros(sys.maxunicode + 1, np.int32)
+        self.letter[[ord(letter) for letter in letters]] = list(letters.values())
+        branches = sorted((nodes[start[:-1]] * self.alphabet + letters[start[-1]], node) for start, node in nodes.items() if start)
+        # The last branch is one that no place asks for: a search ends there at the latest.
+        self.branches, self.reached = np.array([*branches, (np.iinfo(np.int64).max, 0)], np.int64).T.copy()
+        self.piece = np.array([self.number.get(start, -1) for start in nodes], np.int64)
 
     def edges(self, words: list[str]) -> np.ndarray:
         """``word, start, end, piece`` of every piece in every word; letters without a piece are unknown ones."""
-        number, starts, unknown, out = self.number.get, self.starts, self.unknown, []
-        for w, word in enumerate(words):
-            n = len(word)
-            for a in range(n):
-                found = number(word[a])
-                out.append((w, a, a + 1, unknown if found is None else found))
-                b = a + 2
-                while b <= n and (part := word[a:b]) in starts:
-                    found = number(part)
-                    if found is not None:
-                        out.append((w, a, b, found))
-                    b += 1
-        return np.array(out, np.int64).reshape(-1, 4)
-
-
-def _steps(edges: np.ndarray, column: int) -> list[np.ndarray]:
-    """The edges grouped by their start or end, in rising order."""
-    order = np.argsort(edges[:, column], kind="stable")
-    edges = edges[order]
-    cuts = np.flatnonzero(np.diff(edges[:, column])) + 1
-    return np.split(edges, cuts)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        letters = self.letter[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
+        begins = np.cumsum(sizes) - sizes
+        word = np.repeat(np.arange(len(words)), sizes)
+        place, stop = np.arange(len(letters)), (begins + sizes)[word]
+        node, length, out = np.zeros(len(letters), np.int64), 0, []
+        while len(place):
+            wanted = node * self.alphabet + letters[place + length]
+            at = np.searchsorted(self.branches, wanted)
+            known = self.branches[at] == wanted
+            node, length = self.reached[at], length + 1
+            piece = np.where(known, self.piece[node], -1)
+            if length == 1:
+                piece = np.where(piece < 0, self.unknown, piece)
+            ended = np.flatnonzero(piece >= 0)
+            start = (place - begins[word])[ended]
+            out.append(np.stack([word[ended], start, start + length, piece[ended]], axis=1))
+            further = np.flatnonzero(known & (place + length < stop))
+            word, place, stop, node = word[further], place[further], stop[further], node[further]
+        return np.concatenate(out) if out else np.zeros((0, 4), np.int64)
 
 
 def forward(edges: np.ndarray, count: int, weights: np.ndarray) -> np.ndarray:
@@ -86,12 +104,11 @@ def forward(edges: np.ndarray, count: int, weights: np.ndarray) -> np.ndarray:
     """
     alpha = np.zeros((LONGEST + 2, count, weights.shape[1]))
     alpha[0] = 1.0
-    for step in _steps(edges, 2):
+    edges = edges[np.argsort(edges[:, 2] * count + edges[:, 0], kind="stable")]
+    for step in np.split(edges, np.flatnonzero(np.diff(edges[:, 2])) + 1) if len(edges) else []:
         word, start, end, piece = step.T
-        order = np.argsort(word, kind="stable")
-        word, value = word[order], (alpha[start, word] * weights[piece])[order]
         firsts = np.flatnonzero(np.concatenate([[True], np.diff(word) > 0]))
-        alpha[end[0], word[firsts]] += np.add.reduceat(value, firsts, axis=0)
+        alpha[end[0], word[firsts]] = np.add.reduceat(alpha[start, word] * weights[piece], firsts, axis=0)
     return alpha
 
 
@@ -147,6 +164,14 @@ class Model:
     probabilities: np.ndarray
 
 
+class _Numbers(dict):
+    """Words and their numbers; a new word gets the next one."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = len(self)
+        return len(self) - 1
+
+
 class Identifier:
     """Predicts texts; keeps the likelihoods of the words met so far, within a bound."""
 
@@ -155,29 +180,28 @@ class Identifier:
         self.pieces = Pieces(model.pieces)
         self.weights = lifted(self.pieces, model.probabilities)
         self.room = max(1000, _MEMO_BYTES // (8 * max(1, len(model.languages)) + 200))
-        self.rows, self.known = np.zeros((0, len(model.languages))), {}
-
-    def _learn(self, words: list[str]) -> None:
-        fresh = [w for w in dict.fromkeys(words) if w not in self.known]
-        if len(self.known) + len(fresh) > self.room:
-            self.known, self.rows, fresh = {}, self.rows[:0], list(dict.fromkeys(words))
+        self.rows, self.known = np.zeros((0, len(model.languages))), _Numbers()
+
+    def _numbered(self, lists: list[list[str]]) -> list[np.ndarray]:
+        """The rows of the words of each list, new words learned; beyond the bound, all words are forgotten first."""
+        if len(self.known) > self.room:
+            self.rows, self.known = self.rows[:0], _Numbers()
+        at = [np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)) for words in lists]
+        fresh = list(islice(self.known, len(self.rows), None))
         block = max(64, _TOGETHER // len(self.languages))
         parts = [log_likelihoods(self.pieces, fresh[i : i + block], self.weights) for i in range(0, len(fresh), block)]
-        for word in fresh:
-            self.known[word] = len(self.known)
         self.rows = np.concatenate([self.rows, *parts])
+        return at
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """The most likely language of each text and its probability, all languages being as likely beforehand."""
+        if not self.languages:
+            return [(UNDETERMINED, 0.0)] * len(texts)
         out = []
-        lists = [words_of(text) for text in texts]
-        if self.languages:
-            self._learn([w for words in lists for w in words])
-        for words in lists:
-            if not words or not self.languages:
+        for at in self._numbered([words_of(text) for text in texts]):
+            if not len(at):
                 out.append((UNDETERMINED, 0.0))
                 continue
-            at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
             log = self.rows[at].sum(axis=0)
             shares = np.exp(log - log.max())
             out.append((self.languages[int(log.argmax())], float(1 / shares.sum())))

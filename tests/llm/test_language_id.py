@@ -87,3 +87,38 @@ def test_a_hot_language_is_cut_down_before_it_is_ranked(spark):
     assert {(r.doc_id, r.lang) for r in L.sampled(docs, 300).collect()} == {(i, lang) for _, lang, i in sorted(ranked)[:300]}
     left = L.foremost(docs.select("doc_id", "lang"), 300).groupBy("lang").count().collect()
     assert all(300 <= r["count"] <= 320 for r in left if r.lang)
+
+
+def test_pieces_of_words_equal_a_plain_search():
+    pieces = L.Pieces(["▁", "a", "b", "ab", "▁ab", "abba", "ß", "é", "日本", "𝒳a", "A", "zz"])
+    rng = np.random.default_rng(3)
+    letters = list("▁ab" * 3 + "ßé日本𝒳zq\U0010ffff")
+    words = ["".join(rng.choice(letters, rng.integers(1, L.LONGEST + 1))) for _ in range(500)] + ["z", "zz", "日", "▁" + "ab" * 20]
+    expected = set()
+    for w, word in enumerate(words):
+        for a in range(len(word)):
+            for b in range(a + 1, len(word) + 1):
+                at = pieces.number.get(word[a:b], pieces.unknown if b == a + 1 else None)
+                if at is not None:
+                    expected.add((w, a, b, at))
+    got = [tuple(map(int, edge)) for edge in pieces.edges(words)]
+    assert len(got) == len(expected) and set(got) == expected
+
+
+def test_words_of_texts_of_ascii_and_others():
+    for text in ("The CAT's 2nd x_y\nend", "a" * 47, "b" * 48 + " c " + "d" * 200, "", None, "12 !"):
+        mixed = f"é1{text or ''}"
+        assert L.words_of(mixed)[0] == "▁é" and L.words_of(mixed)[1:] == L.words_of(text)
+    assert L.words_of("b" * 48) == ["▁" + "b" * 47, "b"]
+    assert L.words_of("İx é") == ["▁i̇x", "▁é"]
+
+
+def test_a_prediction_does_not_depend_on_what_was_forgotten():
+    pieces = ["▁", *"abcdefgh", "ab", "cd"]
+    model = L.Model(["x", "y"], pieces, np.random.default_rng(4).random((L.Pieces(pieces).size, 2)))
+    rng = np.random.default_rng(5)
+    texts = [" ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(40)) for _ in range(30)] + ["", None]
+    whole, small = L.Identifier(model), L.Identifier(model)
+    small.room = 50
+    assert [r for i in range(0, 32, 4) for r in small.predict(texts[i : i + 4])] == whole.predict(texts)
+    assert len(small.known) < len(whole.known)
