@@ -7,10 +7,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from martloom.operators.joins import salted_join
 
 FIRST_SEEN = "_first_seen"
+PRICED = "_priced"
 
 
 def _position(order: Sequence[str]) -> Column:
@@ -41,6 +43,61 @@ def pass_lines(tx: DataFrame, described: DataFrame, small: bool | None = None) -
     return salted_join(tx, described.select("ProductID", "productPrice", FIRST_SEEN), "ProductID", small=small)
 
 
+def unknown_products(seen: DataFrame, described: DataFrame) -> DataFrame:
+    """The products of a pass (:func:`products_seen`) that the master data do not list."""
+    return seen.select("ProductID").join(described.select("ProductID"), "ProductID", "left_anti")
+
+
+def known_lines(tx: DataFrame, described: DataFrame, unknown: DataFrame | None = None) -> DataFrame:
+    """Transactions of the ``described`` products, as they came: :func:`pass_lines` without what it adds.
+
+    ``unknown`` are the other products if they are few. They are broadcast, and the
+    transactions stay where they are.
+    """
+    if unknown is None:
+        return salted_join(tx, described.select("ProductID").distinct(), "ProductID", "left_semi", small=False).select(*tx.columns)
+    return _with_keys(tx, ["ProductID"]).join(F.broadcast(unknown), "ProductID", "left_anti").select(*tx.columns)
+
+
+def listings(described: DataFrame) -> DataFrame:
+    """Once per product its ``_listings`` in the master data, and the price that comes last in the order of a pass."""
+    last = described.groupBy("ProductID").agg(F.max(F.struct("productPrice")).alias("_last"), F.count("*").alias("_listings"))
+    return last.select("ProductID", "_last.productPrice", "_listings")
+
+
+def unpriced_facts(
+    known: DataFrame,
+    price: DataType,
+    columns: Sequence[str],
+    keys: Sequence[str],
+    seq: Sequence[str],
+    keep_first: Sequence[str],
+    rows: str,
+    span: tuple[str, str],
+) -> DataFrame:
+    """The facts of :func:`known_lines` in ``seq`` order, with ``_priced``, the product whose price they take.
+
+    Lines of an order mostly arrive together and combine where they are, which
+    they could not after a shuffle by product.
+    """
+    blank = order_facts(known.withColumn("productPrice", F.lit(None).cast(price)), seq)
+    picked = [*[c for c in columns if c != "productPrice"], PRICED]
+    return reduce_batch(blank.withColumn(PRICED, F.col("ProductID")), picked, keys, seq, keep_first, rows, span)
+
+
+def priced_facts(facts: DataFrame, listed: DataFrame, span: tuple[str, str], small: bool) -> DataFrame:
+    """:func:`unpriced_facts` with the price of their latest line, in the row and in the place of that line.
+
+    The place of the earliest line has none: its price would only tell two listings
+    of one product apart, and the earliest line brings nothing but the product.
+    """
+    priced = listed.select(F.col("ProductID").alias(PRICED), "productPrice")
+    joined = salted_join(facts, priced, PRICED, small=small, deal=["OrderID"]).drop(PRICED)
+    none = F.lit(None).cast(listed.schema["productPrice"].dataType)
+    prices = {span[0]: none, span[1]: F.col("productPrice")}
+    return joined.withColumns({name: F.struct(f"{name}.*", value.alias("productPrice")) for name, value in prices.items()})
+
+
 def product_order(described: DataFrame) -> list[str]:
     """Load order of described products; the attributes settle a product listed twice."""
     return [FIRST_SEEN, *[c for c in described.columns if c != FIRST_SEEN]]
@@ -64,22 +121,30 @@ def reduce_batch(
     shuffle however often one key occurs.
     """
     follow = [c for c in columns if c not in keys and c not in keep_first]
+    # The keys say nothing about the order of their own rows; a column that is
+    # ordered by and picked travels once.
+    place = [c for c in order if c not in keys] or list(order)
+
+    def end(pick, chosen: Sequence[str]) -> Column:
+        row = F.struct(*dict.fromkeys([*place, *chosen]))
+        return pick(F.when(F.col(place[0]).isNotNull(), row) if len(order) == 1 else row)
+
     picks = [
-        pick(F.struct(*chosen), _position(order)).alias(name)
-        for pick, chosen, name in ((F.min_by, keep_first, "_first"), (F.max_by, follow, "_last"))
-        if chosen
+        end(pick, chosen).alias(name)
+        for pick, chosen, name in ((F.min, keep_first, "_first"), (F.max, follow, "_last"))
+        if chosen or span
+    ]
+    extra = [F.count("*").alias(rows)] if rows else []
+    ends = [
+        F.struct(*[F.col(f"{row}.{c}" if c in place else c).alias(c) for c in order]).alias(name)
+        for row, name in zip(("_first", "_last"), span or ())
     ]
-    extra = []
-    if rows:
-        extra.append(F.count("*").alias(rows))
-    if span:
-        extra += [F.min(F.struct(*order)).alias(span[0]), F.max(F.struct(*order)).alias(span[1])]
     unpacked = {c: F.col(f"_first.{c}") for c in keep_first} | {c: F.col(f"_last.{c}") for c in follow}
     return (
         _with_keys(batch, keys)
         .groupBy(*keys)
         .agg(*picks, *extra)
-        .select(*[unpacked.get(c, F.col(c)).alias(c) for c in columns], *([rows] if rows else []), *(span or ()))
+        .select(*[unpacked.get(c, F.col(c)).alias(c) for c in columns], *([rows] if rows else []), *ends)
     )
 
 
@@ -136,12 +201,10 @@ def merge_facts(
     merged = (
         both.groupBy(*keys)
         .agg(
-            F.min_by(F.struct(*keep_first), span[0]).alias("_first_row"),
-            F.max_by(F.struct(*follow), span[1]).alias("_last_row"),
-            F.min(span[0]).alias(span[0]),
-            F.max(span[1]).alias(span[1]),
+            F.min(F.struct(span[0], *keep_first)).alias("_first_row"),
+            F.max(F.struct(span[1], *follow)).alias("_last_row"),
         )
-        .select(*keys, "_first_row.*", "_last_row.*", *span)
+        .select(*keys, "_first_row.*", "_last_row.*")
     )
     untouched = stored.join(touched, list(keys), "left_anti")
     return untouched.select(*columns).unionByName(merged.select(*columns))

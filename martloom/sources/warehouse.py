@@ -26,11 +26,23 @@ import re
 import uuid
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from martloom.operators.load import insert_ignore, merge_facts, order_facts, product_order, reduce_batch
+from martloom.operators.joins import salted_join
+from martloom.operators.load import (
+    insert_ignore,
+    listings,
+    merge_facts,
+    order_facts,
+    priced_facts,
+    product_order,
+    reduce_batch,
+    unpriced_facts,
+)
+from martloom.operators.sizing import fits_broadcast
 from martloom.schemas import DIMENSION_KEYS, FACT_KEEP_FIRST, FACT_KEYS, FACT_TABLE, STAR, Star
 from martloom.sources.paths import children, delete, read_text, write_text
 
@@ -132,6 +144,8 @@ class Warehouse:
         own = state["tables"][table]
         if table != FACT_TABLE:
             return self._read(table, state, [*own["parts"], *own["log"]])
+        if not own["parts"] and len(own["log"]) == 1:
+            return self._read(table, state, own["log"])  # A pass writes an order once.
         stored = self._read(table, state, sorted(set(own["parts"].values())))
         if not own["log"]:
             return stored
@@ -184,32 +198,45 @@ class Warehouse:
         arrival: bool = False,
         changes: dict | None = None,
         progress: dict | None = None,
-    ) -> None:
+    ) -> dict:
         """Load pass ``batch_id``: dimensions, facts, and then the manifest that makes them count.
 
-        ``lines`` are the pass's transactions with price (:func:`pass_lines`),
-        ``described`` its products; suppliers, products and stores come from
-        the latter and never touch the transactions. With ``arrival``, ``order``
+        ``lines`` are the pass's transactions with price (:func:`pass_lines`), or
+        without it (:func:`known_lines`) if ``order`` needs nothing of the products
+        but the price: then prices are looked up once an order. ``described`` are its
+        products; suppliers, products and stores come from the latter and never
+        touch the transactions. Returns what ``observation`` found. With ``arrival``, ``order``
         also ranks transactions of different passes; otherwise a later pass
         follows an earlier one. ``observation`` receives ``joined_rows`` and
         ``distinct_orders`` from the fact write itself; they are noted with
         ``progress``. ``changes`` are other parts of the manifest, as :meth:`landed`
         and :meth:`hold` return them, that begin to count with the pass.
         """
-        by = lines.select(*order).schema if arrival else BY_PASS
+        priced, price = "productPrice" in lines.columns, described.schema["productPrice"]
+        seq = [c for c in order if priced or c != price.name]
+        by = StructType([*lines.select(*seq).schema, *([] if priced else [price])]) if arrival else BY_PASS
         self.open(by)
         # Before the first fact the order is open: passes that only waited say nothing of it.
         state = self.state(before=batch_id) | {"position": by.jsonValue()}
         for table, key in DIMENSION_KEYS.items():
-            rows, position = (lines, order) if table == "CustomerDimension" else (described, product_order(described))
+            rows, position = (lines, seq) if table == "CustomerDimension" else (described, product_order(described))
+            if rows is lines and (state["tables"][table]["log"] or state["tables"][table]["parts"]):
+                rows = self._lacking(lines, table, key, state)
             # A stored dimension is first reduced to the keys asked for: a small
             # pass is broadcast to it, so it is read but not shuffled.
             asked = rows.select(key).distinct()
             present = self._current(table, state).join(asked, key, "left_semi")
             folder = self._write(insert_ignore(present, rows, key, position), table, "log", batch_id)
             state["tables"][table]["log"] += [folder] if folder else []
-        columns = self.schemas[FACT_TABLE].names
-        facts = reduce_batch(order_facts(lines, order), columns, FACT_KEYS, order, FACT_KEEP_FIRST, rows=ROWS, span=SPAN)
+        columns, kept, again = self.schemas[FACT_TABLE].names, None, 0
+        if priced:
+            facts = reduce_batch(order_facts(lines, order), columns, FACT_KEYS, order, FACT_KEEP_FIRST, rows=ROWS, span=SPAN)
+        else:
+            kept = unpriced_facts(lines, price.dataType, columns, FACT_KEYS, seq, FACT_KEEP_FIRST, ROWS, SPAN)
+            kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
+            listed = listings(described)
+            facts = priced_facts(kept, listed, SPAN, fits_broadcast(listed)).select(*columns, ROWS, *SPAN)
+            again = _listed_again(lines, listed)
         if not arrival:
             place = F.struct(F.lit(batch_id).cast("long").alias("pass"))
             facts = facts.withColumns({name: place for name in SPAN})
@@ -220,9 +247,20 @@ class Warehouse:
                 F.count("*").alias("distinct_orders"),
             )
         folder = self._write(facts.drop(ROWS), FACT_TABLE, "log", batch_id)
+        if kept is not None:
+            kept.unpersist()
         state["tables"][FACT_TABLE]["log"] += [folder] if folder else []
         counts = observation.get if observation is not None else {}
+        if counts:
+            counts = counts | {"joined_rows": counts["joined_rows"] + again}
         self._finish(state, batch_id, changes or {}, {"gate_open": True, **(progress or {}), **counts})
+        return counts
+
+    def _lacking(self, lines: DataFrame, table: str, key: str, state: dict) -> DataFrame:
+        """The lines whose dimension row is not stored yet, if their keys are few; else all."""
+        asked = lines.select(key).filter(F.col(key).isNotNull()).distinct()
+        missing = asked.join(self._current(table, state).select(key), key, "left_anti")
+        return lines.join(F.broadcast(missing), key, "left_semi").select(*lines.columns) if fits_broadcast(missing) else lines
 
     def _finish(self, state: dict, batch_id: int, changes: dict, progress: dict) -> None:
         noted = state.get("progress", {"log": [], "parts": []})
@@ -368,7 +406,10 @@ class Warehouse:
         found = {r[0] for r in held.union(log.select(year.alias(YEAR))).distinct().collect()}
         years = sorted(found & set(own["parts"]))
         base = self._read(FACT_TABLE, state, [own["parts"][y] for y in years])
-        merged = merge_facts(base, log, FACT_KEYS, FACT_KEEP_FIRST, SPAN) if years else _reduced(log)
+        if not years and len(own["log"]) == 1:
+            merged = log  # A pass writes an order once.
+        else:
+            merged = merge_facts(base, log, FACT_KEYS, FACT_KEEP_FIRST, SPAN) if years else _reduced(log)
         return years, merged.withColumn(YEAR, year)
 
     def _compact_facts(self, own: dict, state: dict) -> list[str]:
@@ -387,3 +428,12 @@ class Warehouse:
 def _reduced(log: DataFrame) -> DataFrame:
     """The log's facts, one per order."""
     return merge_facts(log.limit(0), log, FACT_KEYS, FACT_KEEP_FIRST, SPAN)
+
+
+def _listed_again(lines: DataFrame, listed: DataFrame) -> int:
+    """How many rows a join of the lines with the master data has above one per line."""
+    often = listed.filter("_listings > 1").select("ProductID", "_listings")
+    if often.isEmpty():
+        return 0
+    joined = salted_join(lines.filter(F.col("Order_ID").isNotNull()).select("ProductID", "Order_ID"), often, "ProductID")
+    return joined.agg(F.coalesce(F.sum(F.col("_listings") - 1), F.lit(0)).alias("n")).first()["n"]

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from martloom.operators.joins import enrich, pending_history
-from martloom.operators.load import FIRST_SEEN, pass_lines, products_seen
+from martloom.operators.load import FIRST_SEEN, known_lines, pass_lines, products_seen, unknown_products
+from martloom.operators.sizing import fits_broadcast
 from martloom.sources.paths import children, exists
 from martloom.sources.warehouse import BY_PASS, Warehouse
 
@@ -62,16 +63,21 @@ def load_pass(
     tx = batch if history is None else pending_history(history, pending_keys(batch))
     kept.append(tx.persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        described = enrich(products_seen(batch, seq), master).persist(StorageLevel.MEMORY_AND_DISK)
+        seen = products_seen(batch, seq).persist(StorageLevel.MEMORY_AND_DISK)
+        kept.append(seen)
+        described = enrich(seen, master).persist(StorageLevel.MEMORY_AND_DISK)
         kept.append(described)
-        lines = pass_lines(tx, described).persist(StorageLevel.MEMORY_AND_DISK)
-        kept.append(lines)
+        unknown = unknown_products(seen, described) if not by_product else None
+        if unknown is not None and fits_broadcast(unknown):
+            lines = known_lines(tx, described, unknown)
+        else:
+            lines = (pass_lines if by_product else known_lines)(tx, described).persist(StorageLevel.MEMORY_AND_DISK)
+            kept.append(lines)
         # A product listed twice yields two rows per transaction; the price tells them apart.
         order = [*([FIRST_SEEN] if by_product else []), *seq, "productPrice"]
         counted = Observation(f"load-{batch_id}")
         arrival = history is None and not by_product
-        warehouse.write_star(lines, described, batch_id, order, counted, arrival, changes, progress)
-        return counted.get
+        return warehouse.write_star(lines, described, batch_id, order, counted, arrival, changes, progress)
     finally:
         for table in reversed(kept):
             table.unpersist()
