@@ -378,8 +378,9 @@ def _split_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order lines landed again, dealt by hash, to be read in about as many passes as ``SPLIT``."""
     path, lines = work_dir(spark, "lines"), fixtures.table(spark, sf_dir, "lineitem")
     dealt = F.pmod(F.xxhash64(*lines.columns), F.lit(SPLIT))
-    # A range per share: adaptive execution may split one, but never joins two files of different shares.
-    lines.withColumn("dealt", dealt).repartition(F.col("dealt")).write.partitionBy("dealt").parquet(path)
+    # A write per share: rows stay in the task that read them, and no task sorts a share.
+    for share in range(SPLIT):
+        lines.filter(dealt == share).write.parquet(f"{path}/dealt={share}")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").count()
     return stream_files(spark, f"{path}/dealt=*/", lines.schema, max_files=-(-files // SPLIT))
 
