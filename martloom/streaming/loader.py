@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from martloom.operators.joins import enrich, pending_history
-from martloom.operators.load import FIRST_SEEN, known_lines, pass_lines, products_seen, unknown_products
+from martloom.operators.load import FIRST_SEEN, known_lines, pass_lines, products_seen, ranked_products, unknown_products
 from martloom.operators.sizing import fits_broadcast
 from martloom.sources.paths import children, exists
 from martloom.sources.warehouse import BY_PASS, Warehouse
@@ -63,7 +63,8 @@ def load_pass(
     tx = batch if history is None else pending_history(history, pending_keys(batch))
     kept.append(tx.persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        seen = products_seen(batch, seq).persist(StorageLevel.MEMORY_AND_DISK)
+        seen = products_seen(batch, seq)
+        seen = (ranked_products(seen) if by_product else seen).persist(StorageLevel.MEMORY_AND_DISK)
         kept.append(seen)
         described = enrich(seen, master).persist(StorageLevel.MEMORY_AND_DISK)
         kept.append(described)
