@@ -3,24 +3,32 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql.types import LongType
 
 from martloom.operators.joins import enrich, orphans, refresh_keys, unmatched
 from martloom.operators.load import (
     FIRST_SEEN,
     insert_ignore,
+    known_lines,
+    listings,
     load_report,
     order_facts,
     pass_lines,
+    priced_facts,
     product_order,
     products_seen,
+    ranked_products,
     reduce_batch,
+    unknown_products,
+    unpriced_facts,
     upsert,
 )
-from martloom.schemas import FACT_KEEP_FIRST, FACT_KEYS, STAR
+from martloom.schemas import FACT_KEEP_FIRST, FACT_KEYS, PRICE, STAR
 from martloom.streaming.loader import pending_keys
 from tables import at, master_table, rows_of, tx_table
 
@@ -200,3 +208,48 @@ def test_facts_lose_the_time_of_day(spark):
 def test_load_report_counts_rows_and_orders(spark):
     joined = enrich(tx_table(spark, TX_ROWS), master_table(spark, MASTER_ROWS))
     assert rows_of(load_report(joined)) == [(4, 2)]
+
+
+def test_prices_looked_up_once_an_order_give_the_facts_of_all_priced_lines(spark):
+    seq = ["seq", "ProductID"]
+    rng = random.Random(7)
+    rows = [(rng.choice([1, 2, 3, 4, None]), 1 + n % 9, rng.choice([10, 20, 30, 99, None]), n % 3, n, n) for n in range(60)]
+    tx = tx_table(spark, rows)
+    # Product 20 is listed twice, 99 never.
+    master = master_table(spark, [(10, "1.00", 1, 1), (20, "2.00", 1, 1), (20, "9.00", 2, 1), (30, "3.00", None, None)])
+    seen = products_seen(tx, seq)
+    described = enrich(seen, master)
+    order = [*seq, "productPrice"]
+    columns, span = STAR["OrderFacts"].names, ("_earliest", "_latest")
+    want = reduce_batch(
+        order_facts(pass_lines(tx, described), order), columns, FACT_KEYS, order, FACT_KEEP_FIRST, rows="_rows", span=span
+    )
+    unknown = unknown_products(seen, described)
+    assert rows_of(unknown) == [(99,)]
+    for few in (unknown, None):
+        known = known_lines(tx, described, few)
+        assert rows_of(known) == rows_of(tx.filter("ProductID IN (10, 20, 30)"))
+        bare = unpriced_facts(known, PRICE, columns, FACT_KEYS, seq, FACT_KEEP_FIRST, "_rows", span)
+        for small in (True, False):
+            got = priced_facts(bare, listings(described), span, small)
+            assert rows_of(got.select(*columns, "_latest")) == rows_of(want.select(*columns, "_latest"))
+
+
+def test_known_lines_stay_where_they_are(spark):
+    tx = tx_table(spark, [(n, 1, n % 5, 1, 1, n) for n in range(50)])
+    seen = products_seen(tx, ["seq"])
+    described = enrich(seen, master_table(spark, [(p, "1.00", 1, 1) for p in range(4)]))
+    lines = known_lines(tx, described, unknown_products(seen, described).localCheckpoint())
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_ranks_order_products_as_their_first_transaction_does(spark):
+    rng = random.Random(3)
+    tx = tx_table(spark, [(n, 1, rng.randrange(40), 1, 1, 1000 - n) for n in range(300)]).repartition(5)
+    seen = products_seen(tx, ["Order_ID", "seq"])
+    ranked = ranked_products(seen)
+    assert ranked.schema[FIRST_SEEN].dataType == LongType()
+    by_rank = [r[0] for r in ranked.sort(FIRST_SEEN).collect()]
+    assert by_rank == [r[0] for r in seen.sort(FIRST_SEEN).collect()]
+    assert len({r[1] for r in ranked.collect()}) == len(by_rank)

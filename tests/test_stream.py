@@ -525,3 +525,28 @@ def test_the_incremental_view_equals_a_full_one_after_random_passes(spark, tmp_p
             assert variety.top(2019, 3).collect() == olap.top_customers_by_variety(warehouse.star(), 2019, 3).collect()
     assert rows_of(view.refresh()) == rows_of(view.read()) and view.read().count() > 3
     assert len(list((tmp_path / "view/_manifests").glob("*.json"))) <= 2
+
+
+def test_a_share_of_the_lines_is_written_by_the_tasks_that_read_it(spark, tmp_path, monkeypatch):
+    from martloom import catalogue
+
+    lines = spark.range(4000).selectExpr("id AS l_orderkey", "id % 7 AS l_partkey").repartition(4)
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(catalogue, "work_dir", lambda spark, name: str(tmp_path / name))
+    assert catalogue._split_lines(spark, str(tmp_path)).isStreaming
+    shares = [sorted((tmp_path / "lines" / f"dealt={n}").glob("*.parquet")) for n in range(catalogue.SPLIT)]
+    assert all(len(files) > 1 for files in shares)
+    assert rows_of(spark.read.parquet(*[str(f) for files in shares for f in files])) == rows_of(lines)
+
+
+def test_facts_of_a_single_pass_are_read_as_they_are(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "dw"))
+    counts = load_pass(
+        warehouse, tx_table(spark, FILES[0]), 0, master_table(spark, [*MASTER_ROWS, MASTER_ROWS[0]]), SEQ, by_product=False
+    )
+    facts = warehouse.table("OrderFacts")
+    assert "Exchange" not in facts._jdf.queryExecution().executedPlan().toString()
+    seen = products_seen(tx_table(spark, FILES[0]), SEQ)
+    lines = pass_lines(tx_table(spark, FILES[0]), enrich(seen, master_table(spark, [*MASTER_ROWS, MASTER_ROWS[0]])))
+    assert counts == {"joined_rows": lines.count(), "distinct_orders": facts.count()}
+    assert lines.count() > len(FILES[0])
