@@ -100,9 +100,14 @@ def priced_facts(facts: DataFrame, listed: DataFrame, span: tuple[str, str], sma
 
     The place of the earliest line has none: its price would only tell two listings
     of one product apart, and the earliest line brings nothing but the product.
+    Prices that are not ``small`` are looked up by order numbers alone: those travel to
+    the prices and back, and the facts stay where they were reduced.
     """
     priced = listed.select(F.col("ProductID").alias(PRICED), "productPrice")
-    joined = salted_join(facts, priced, PRICED, small=small, deal=["OrderID"]).drop(PRICED)
+    asked = facts if small else facts.select("OrderID", PRICED)
+    joined = salted_join(asked, priced, PRICED, small=small, deal=["OrderID"]).drop(PRICED)
+    if not small:
+        joined = facts.drop(PRICED).join(joined.hint("merge"), "OrderID")
     none = F.lit(None).cast(listed.schema["productPrice"].dataType)
     prices = {span[0]: none, span[1]: F.col("productPrice")}
     return joined.withColumns({name: F.struct(f"{name}.*", value.alias("productPrice")) for name, value in prices.items()})
@@ -193,8 +198,19 @@ def upsert(
     return untouched.select(*columns).unionByName(fresh.select(*columns))
 
 
+def repeated_keys(stored: DataFrame, arrived: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys that several rows of two sources share. Nothing but the keys is shuffled."""
+    both = stored.select(*keys).unionByName(arrived.select(*keys))
+    return both.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").select(*keys)
+
+
 def merge_facts(
-    stored: DataFrame, arrived: DataFrame, keys: Sequence[str], keep_first: Sequence[str], span: tuple[str, str]
+    stored: DataFrame,
+    arrived: DataFrame,
+    keys: Sequence[str],
+    keep_first: Sequence[str],
+    span: tuple[str, str],
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """Facts of two sources as if all rows behind them had been reduced at once.
 
@@ -202,12 +218,18 @@ def merge_facts(
     fact, so it does not matter how rows were dealt to them: ``keep_first``
     columns follow the earlier, the others the later. Stored rows without a
     match pass through an anti join, so that a small ``arrived`` is broadcast
-    and filters on the result still reach the stored files.
+    and filters on the result still reach the stored files. ``repeated`` are the
+    :func:`repeated_keys` if they are few: then they are broadcast, and only their
+    rows are gathered.
     """
     columns = stored.columns
     follow = [c for c in columns if c not in keys and c not in keep_first and c not in span]
-    touched = arrived.select(*keys).distinct()
-    both = stored.join(touched, list(keys), "left_semi").select(*columns).unionByName(arrived.select(*columns))
+    if repeated is None:
+        touched = arrived.select(*keys).distinct()
+        both = stored.join(touched, list(keys), "left_semi").select(*columns).unionByName(arrived.select(*columns))
+    else:
+        touched, stored = F.broadcast(repeated), stored.unionByName(arrived.select(*columns))
+        both = stored.join(touched, list(keys), "left_semi").select(*columns)
     merged = (
         both.groupBy(*keys)
         .agg(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings
@@ -235,6 +236,17 @@ def test_prices_looked_up_once_an_order_give_the_facts_of_all_priced_lines(spark
             assert rows_of(got.select(*columns, "_latest")) == rows_of(want.select(*columns, "_latest"))
 
 
+def test_prices_are_looked_up_by_order_numbers_alone(spark):
+    tx = tx_table(spark, [(n % 20, 1, n % 5, 1, 1, n) for n in range(50)])
+    described = enrich(products_seen(tx, ["seq"]), master_table(spark, [(p, "1.00", 1, 1) for p in range(5)]))
+    columns, span = STAR["OrderFacts"].names, ("_earliest", "_latest")
+    bare = unpriced_facts(tx, PRICE, columns, FACT_KEYS, ["seq"], FACT_KEEP_FIRST, "_rows", span).persist()
+    got = priced_facts(bare, listings(described), span, small=False)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    bare.unpersist()
+    assert re.search(r"InMemoryTableScan \[OrderID#\d+L, _priced#\d+L\]", plan)
+
+
 def test_known_lines_stay_where_they_are(spark):
     tx = tx_table(spark, [(n, 1, n % 5, 1, 1, n) for n in range(50)])
     seen = products_seen(tx, ["seq"])
