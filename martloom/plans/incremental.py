@@ -44,8 +44,8 @@ class KeptSums:
     def contributions(self, star: Star, facts: DataFrame) -> DataFrame:
         raise NotImplementedError
 
-    def late(self, old: Star, new: Star) -> DataFrame | None:
-        """Keys of facts that count from now on although no pass touched them, if there can be any."""
+    def late(self, before: dict, now: dict) -> DataFrame | None:
+        """Keys of facts that count from now on although no pass between two states touched them, if there can be any."""
         return None
 
     def named(self, star: Star, sums: DataFrame) -> DataFrame:
@@ -84,15 +84,21 @@ class KeptSums:
     def _difference(self, before: dict, now: dict) -> DataFrame:
         """Contributions between two states of the warehouse, those of the older one negative."""
         house = self.warehouse
-        old, new = house.star_at(before), house.star_at(now)
         folders = [{*state["tables"][FACT_TABLE]["log"], *state["tables"][FACT_TABLE]["parts"].values()} for state in (before, now)]
-        changed = sorted(folders[0] ^ folders[1])
+        changed, same = sorted(folders[0] ^ folders[1]), sorted(folders[0] & folders[1])
+        # Facts that only the changed folders hold: all of them are touched.
+        old, new = (house.star_at(house.facts_only(state, changed)) for state in (before, now))
         touched = house.facts_in(before, changed).select(*FACT_KEYS)
-        late = self.late(old, new)
+        late = self.late(before, now) if same else None
         if late is not None:
             touched = touched.union(late)
         touched = touched.distinct()
-        out, in_ = (self.contributions(star, star.facts.join(touched, FACT_KEYS, "left_semi")) for star in (old, new))
+        if same and not house.facts_in(before, same).select(*FACT_KEYS).join(touched, FACT_KEYS, "left_semi").isEmpty():
+            old, new = (house.star_at(state) for state in (before, now))
+            facts = [star.facts.join(touched, FACT_KEYS, "left_semi") for star in (old, new)]
+        else:
+            facts = [star.facts for star in (old, new)]
+        out, in_ = (self.contributions(star, rows) for star, rows in zip((old, new), facts))
         return in_.unionByName(out.select(*self.keys, *[(-F.col(c)).alias(c) for c in ("n", *self.sums)]))
 
     def refresh(self) -> DataFrame:
@@ -119,7 +125,7 @@ class KeptSums:
         """The view as of the last refresh."""
         state = self._state()
         sums = self._added(self.spark.read.parquet(*state["folders"]))
-        return self.named(self.warehouse.star_at(state), sums.filter("n > 0"))
+        return self.named(self.warehouse.dimensions_at(state), sums.filter("n > 0"))
 
 
 class CustomerStoreSales(KeptSums):
@@ -139,13 +145,14 @@ class CustomerStoreSales(KeptSums):
             F.count(sales()).alias("sold"),
         )
 
-    def late(self, old: Star, new: Star) -> DataFrame | None:
+    def late(self, before: dict, now: dict) -> DataFrame | None:
         """Orders of products whose store became known only now."""
+        old, new = (self.warehouse.dimensions_at(state) for state in (before, now))
         opened = new.store.join(old.store.select("storeID"), "storeID", "left_anti").select(F.col("storeID").alias("supplierID"))
         if opened.isEmpty():
             return None
         stocked = new.product.join(opened, "supplierID", "left_semi").select("ProductID")
-        return new.facts.join(stocked, "ProductID", "left_semi").select(*FACT_KEYS)
+        return self.warehouse.star_at(now).facts.join(stocked, "ProductID", "left_semi").select(*FACT_KEYS)
 
     def named(self, star: Star, sums: DataFrame) -> DataFrame:
         joined = star_join(store_join(sums, star.store, "supplierID"), star.customer, "customer")
@@ -177,6 +184,6 @@ class CustomerVariety(KeptSums):
     def top(self, year: int, k: int = 5) -> DataFrame:
         """The report on the customers with the most different products of a year, as of the last refresh."""
         of_year = self.read().filter(F.col("OrderYear") == year).drop("OrderYear")
-        star = self.warehouse.star_at(self._state())
+        star = self.warehouse.dimensions_at(self._state())
         named = star_join(of_year, star.customer, "customer").select("CustomerID", "CustomerName", "UniqueProductsPurchased")
         return top_k(named, "UniqueProductsPurchased", k, tie=["CustomerID"])

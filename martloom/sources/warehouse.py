@@ -40,9 +40,10 @@ from martloom.operators.load import (
     priced_facts,
     product_order,
     reduce_batch,
+    repeated_keys,
     unpriced_facts,
 )
-from martloom.operators.sizing import fits_broadcast
+from martloom.operators.sizing import broadcast_limit, fits_broadcast, measured_bytes
 from martloom.schemas import DIMENSION_KEYS, FACT_KEEP_FIRST, FACT_KEYS, FACT_TABLE, STAR, Star
 from martloom.sources.paths import children, delete, read_text, write_text
 
@@ -54,6 +55,8 @@ YEAR = "OrderYear"
 GRACE = 100
 # Compacted folders of a dimension that are joined into one when there are more.
 PARTS = 8
+# Sets of fact folders of which it is remembered how they merge.
+REMEMBERED = 8
 # Shares that landed transactions are dealt into by product.
 BUCKETS = 64
 BUCKET = "bucket"
@@ -80,6 +83,7 @@ class Warehouse:
         self.schemas = schemas or STAR
         self.grace = max(1, grace)
         self.buckets = buckets
+        self._overlaps: dict[tuple[str, ...], tuple[int, DataFrame | None]] = {}
 
     # Manifests
 
@@ -146,10 +150,35 @@ class Warehouse:
             return self._read(table, state, [*own["parts"], *own["log"]])
         if not own["parts"] and len(own["log"]) == 1:
             return self._read(table, state, own["log"])  # A pass writes an order once.
-        stored = self._read(table, state, sorted(set(own["parts"].values())))
-        if not own["log"]:
-            return stored
-        return merge_facts(stored, self._read(table, state, own["log"]), FACT_KEYS, FACT_KEEP_FIRST, SPAN)
+        parts = sorted(set(own["parts"].values()))
+        return self._merged(state, parts, own["log"]) if own["log"] else self._read(table, state, parts)
+
+    def _overlap(self, folders: tuple[str, ...], stored: DataFrame, log: DataFrame) -> tuple[int, DataFrame | None]:
+        """Bytes of the orders that lie in several of the folders, and those orders, if the log is not small itself.
+
+        Folders never change, so it is found out once.
+        """
+        if folders not in self._overlaps:
+            found = (-1, None)
+            if not fits_broadcast(log.select(*FACT_KEYS)):
+                repeated = repeated_keys(stored, log, FACT_KEYS)
+                found = (measured_bytes(repeated), repeated)
+            while len(self._overlaps) >= REMEMBERED:
+                del self._overlaps[next(iter(self._overlaps))]
+            self._overlaps[folders] = found
+        return self._overlaps[folders]
+
+    def _merged(self, state: dict, parts: Sequence[str], logs: Sequence[str]) -> DataFrame:
+        """The facts of some compacted folders and some of the log, one per order.
+
+        Of a large log only those orders are gathered that lie in several folders, if they are few.
+        """
+        stored, log = (self._read(FACT_TABLE, state, folders) for folders in (parts, logs))
+        size, repeated = self._overlap((*parts, "", *logs), stored, log)
+        if size == 0:
+            return stored.unionByName(log)
+        few = repeated if 0 < size <= broadcast_limit(log) else None
+        return merge_facts(stored, log, FACT_KEYS, FACT_KEEP_FIRST, SPAN, few)
 
     def table(self, name: str, before: int | None = None) -> DataFrame:
         """Current rows; with ``before``, as they were before that pass."""
@@ -172,6 +201,16 @@ class Warehouse:
         names = {"facts": FACT_TABLE, **{name.removesuffix("Dimension").lower(): name for name in DIMENSION_KEYS}}
         return Star(**{field: self._current(name, state).select(*self.schemas[name].names) for field, name in names.items()})
 
+    def facts_only(self, state: dict, folders: Sequence[str]) -> dict:
+        """A manifest that names, of the fact folders, only some."""
+        own = state["tables"][FACT_TABLE]
+        some = {"log": [f for f in own["log"] if f in folders], "parts": {y: f for y, f in own["parts"].items() if f in folders}}
+        return state | {"tables": state["tables"] | {FACT_TABLE: some}}
+
+    def dimensions_at(self, state: dict) -> Star:
+        """The tables as a manifest names them, without facts."""
+        return self.star_at(self.facts_only(state, []))
+
     def facts_in(self, state: dict, folders: Sequence[str]) -> DataFrame:
         """The fact rows in some folders, as they were written."""
         return self._read(FACT_TABLE, state, folders)
@@ -405,11 +444,10 @@ class Warehouse:
         # As many rows as there are years.
         found = {r[0] for r in held.union(log.select(year.alias(YEAR))).distinct().collect()}
         years = sorted(found & set(own["parts"]))
-        base = self._read(FACT_TABLE, state, [own["parts"][y] for y in years])
         if not years and len(own["log"]) == 1:
             merged = log  # A pass writes an order once.
         else:
-            merged = merge_facts(base, log, FACT_KEYS, FACT_KEEP_FIRST, SPAN) if years else _reduced(log)
+            merged = self._merged(state, [own["parts"][y] for y in years], own["log"])
         return years, merged.withColumn(YEAR, year)
 
     def _compact_facts(self, own: dict, state: dict) -> list[str]:
@@ -425,11 +463,6 @@ class Warehouse:
         return gone
 
 
-def _reduced(log: DataFrame) -> DataFrame:
-    """The log's facts, one per order."""
-    return merge_facts(log.limit(0), log, FACT_KEYS, FACT_KEEP_FIRST, SPAN)
-
-
 def _listed_again(lines: DataFrame, listed: DataFrame) -> int:
     """How many rows a join of the lines with the master data has above one per line."""
     often = listed.filter("_listings > 1").select("ProductID", "_listings")

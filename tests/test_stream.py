@@ -550,3 +550,43 @@ def test_facts_of_a_single_pass_are_read_as_they_are(spark, tmp_path):
     lines = pass_lines(tx_table(spark, FILES[0]), enrich(seen, master_table(spark, [*MASTER_ROWS, MASTER_ROWS[0]])))
     assert counts == {"joined_rows": lines.count(), "distinct_orders": facts.count()}
     assert lines.count() > len(FILES[0])
+
+
+@pytest.mark.parametrize("shared", [0, 1, 20])
+def test_only_orders_that_lie_in_several_folders_are_gathered(spark, tmp_path, shared):
+    rows = [(n, 1 + n % 9, 10, 7, n + 1, n) for n in range(25)]
+    more = [(25 - shared + n, 2 + n % 9, 20, 8, n + 1, 100 - n) for n in range(25)]
+    compacted, warehouse = Warehouse(spark, str(tmp_path / "a")), Warehouse(spark, str(tmp_path / "b"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "200b")
+        for house in (compacted, warehouse):
+            for number, part in enumerate((rows, more)):
+                load_pass(house, tx_table(spark, part), number, master_table(spark, MASTER_ROWS), SEQ, by_product=False)
+                if house is compacted:
+                    house.compact()
+        facts = [house.table("OrderFacts") for house in (compacted, warehouse)]
+        plan, got = facts[1]._jdf.queryExecution().executedPlan().toString(), [rows_of(table) for table in facts]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert got[0] == got[1] == rows_of(batch_facts(spark, rows + more, SEQ))
+    assert ("Exchange hashpartitioning" in plan) == (shared > 0) and ("LeftAnti, BuildRight" in plan) == (shared == 1)
+
+
+def test_a_view_reads_the_facts_of_a_pass_that_shares_no_order_from_its_folder_alone(spark, tmp_path, monkeypatch):
+    from martloom.plans.incremental import CustomerStoreSales
+
+    warehouse = Warehouse(spark, str(tmp_path / "dw"))
+    view, read, contributions = CustomerStoreSales(warehouse, str(tmp_path / "view")), [], CustomerStoreSales.contributions
+    monkeypatch.setattr(
+        CustomerStoreSales, "contributions", lambda self, star, facts: read.append(facts.inputFiles()) or contributions(self, star, facts)
+    )
+    master = master_table(spark, [(10, "1.25", 100, 100), (20, "2.50", 100, 100)])
+    for number, rows in enumerate(([(1, 1, 10, 7, 1, 1), (2, 1, 20, 8, 2, 2)], [(3, 2, 20, 7, 3, 3)], [(3, 2, 10, 7, 5, 4), (1, 3, 10, 9, 4, 5)])):
+        load_pass(warehouse, tx_table(spark, rows), number, master, SEQ, by_product=False)
+        del read[:]
+        got = view.refresh()
+        if number == 1:
+            assert all("/log/1-" in file for files in read for file in files) and any(read)
+        fresh = CustomerStoreSales(warehouse, str(tmp_path / f"fresh-{number}")).refresh()
+        assert rows_of(got) == rows_of(fresh)
