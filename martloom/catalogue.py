@@ -454,13 +454,14 @@ def _load_in_steps(
     master = fixtures.master(spark, sf_dir)
     warehouse = Warehouse(spark, f"{root}/warehouse", _schemas_of(fixtures.star(spark, sf_dir)))
     for step in range(steps):
-        lines.filter(F.col("l_orderkey") % steps == step).write.parquet(f"{root}/lines/{step}")
+        lines.filter(F.col("l_orderkey") % steps == step).write.parquet(f"{root}/lines/{step}", compression="zstd")
         if gated and step % 2 == 0:
             master.filter(F.col("productID") % 2 == step // 2 % 2).write.parquet(f"{root}/master/{step}")
         landed = stream_files(spark, f"{root}/lines/*", lines.schema)
         run_load(
             warehouse,
-            fixtures.transactions_of(landed, orders, customer),
+            # Lines of a share only meet orders of that share.
+            fixtures.transactions_of(landed, orders.filter(F.col("o_orderkey") % steps == step), customer),
             master=lambda: fixtures.master(spark, sf_dir),
             seq=SEQ,
             history=None,

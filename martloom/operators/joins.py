@@ -54,7 +54,7 @@ def hot_keys(df: DataFrame, key: str, parts: int) -> tuple[DataFrame, int]:
 
 def salted_join(
     left: DataFrame, right: DataFrame, key: str, how: str = "inner", small: bool | None = None, parts: int | None = None,
-    deal: Sequence[str] | None = None,
+    deal: Sequence[str] | None = None, weigh: DataFrame | None = None, keep_salt: bool = False,
 ) -> DataFrame:
     """Join a large ``left`` that may be hot on ``key`` with a ``right`` that is an aggregate or a join.
 
@@ -71,11 +71,15 @@ def salted_join(
     run again deals the same way; other columns need not be read for it. Rows
     that agree in them, as those of a ``left`` with the key alone do, stay
     together. The columns come in the order of a plain join, the key first.
+
+    ``weigh`` is a table that holds the rows of ``left`` among others and takes less to
+    read: frequent keys are found in it. With ``keep_salt``, rows that were dealt out
+    keep their share as ``_salt``; they lie together by key and share.
     """
     if fits_broadcast(right) if small is None else small:
         return left.join(F.broadcast(right), key, how)
     parts = parts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot, nulls = hot_keys(left, key, parts)
+    hot, nulls = hot_keys(left if weigh is None else weigh, key, parts)
     if hot.isEmpty() and nulls == 1:
         return left.join(right.hint("merge"), key, how)
     # At most HOT_KEYS rows, and so broadcast to both sides.
@@ -85,12 +89,15 @@ def salted_join(
     dealt = left.join(hot, key, "left").withColumn(SALT, F.pmod(F.xxhash64(*(rest or [key])), shares).cast("int")).drop(SALTS)
     copies = F.sequence(F.lit(0), F.coalesce(SALTS, one) - 1)
     copied = right.join(hot, key, "left").withColumn(SALT, F.explode(copies)).drop(SALTS)
-    return dealt.join(copied.hint("merge"), [key, SALT], how).drop(SALT)
+    joined = dealt.join(copied.hint("merge"), [key, SALT], how)
+    return joined if keep_salt else joined.drop(SALT)
 
 
-def pending_history(tx: DataFrame, keys: DataFrame, small: bool | None = None) -> DataFrame:
-    """Every transaction, old ones too, of the products in ``keys``."""
-    return salted_join(tx, keys.select("ProductID").distinct(), "ProductID", "left_semi", small)
+def pending_history(
+    tx: DataFrame, keys: DataFrame, small: bool | None = None, deal: Sequence[str] | None = None
+) -> DataFrame:
+    """Every transaction, old ones too, of the products in ``keys``; ``deal`` as in :func:`salted_join`."""
+    return salted_join(tx, keys.select("ProductID").distinct(), "ProductID", "left_semi", small, deal=deal)
 
 
 def refresh_keys(tx: DataFrame, master: DataFrame, keys: DataFrame, small: bool | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from martloom.operators.joins import salted_join
+from martloom.operators.joins import SALT, salted_join
 
 FIRST_SEEN = "_first_seen"
 PRICED = "_priced"
@@ -43,14 +43,18 @@ def ranked_products(seen: DataFrame) -> DataFrame:
     return ranked.withColumnRenamed("_rank", FIRST_SEEN)
 
 
-def pass_lines(tx: DataFrame, described: DataFrame, small: bool | None = None) -> DataFrame:
+def pass_lines(
+    tx: DataFrame, described: DataFrame, small: bool | None = None, deal: Sequence[str] | None = None,
+    weigh: DataFrame | None = None, keep_salt: bool = False,
+) -> DataFrame:
     """Transactions of the ``described`` products (:func:`products_seen`, enriched), with price and ``_first_seen``.
 
     The one join on the transactions themselves: descriptions stay on the small
     product side. ``small`` states whether ``described`` fits a broadcast, if
-    that is known; otherwise it is measured.
+    that is known; otherwise it is measured. The rest is as in :func:`salted_join`.
     """
-    return salted_join(tx, described.select("ProductID", "productPrice", FIRST_SEEN), "ProductID", small=small)
+    priced = described.select("ProductID", "productPrice", FIRST_SEEN)
+    return salted_join(tx, priced, "ProductID", small=small, deal=deal, weigh=weigh, keep_salt=keep_salt)
 
 
 def unknown_products(seen: DataFrame, described: DataFrame) -> DataFrame:
@@ -126,12 +130,14 @@ def reduce_batch(
     keep_first: Sequence[str] = (),
     rows: str | None = None,
     span: tuple[str, str] | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row per key: ``keep_first`` columns of its earliest row, the others of its latest.
 
     ``order`` must be free of NULLs and of ties between differing rows. NULL
     keys cannot be stored and are left out. ``rows`` names an extra column with
-    the number of rows behind each key, ``span`` two with the order of its
+    the number of rows behind each key, or the sum of ``weight`` if that column
+    says how many each row stands for, ``span`` two with the order of its
     earliest and latest row. Being an aggregate, it combines rows before the
     shuffle however often one key occurs.
     """
@@ -149,7 +155,7 @@ def reduce_batch(
         for pick, chosen, name in ((F.min, keep_first, "_first"), (F.max, follow, "_last"))
         if chosen or span
     ]
-    extra = [F.count("*").alias(rows)] if rows else []
+    extra = [(F.sum(weight) if weight else F.count("*")).alias(rows)] if rows else []
     ends = [
         F.struct(*[F.col(f"{row}.{c}" if c in place else c).alias(c) for c in order]).alias(name)
         for row, name in zip(("_first", "_last"), span or ())
@@ -163,6 +169,29 @@ def reduce_batch(
     )
 
 
+def facts_by_product(
+    lines: DataFrame,
+    columns: Sequence[str],
+    keys: Sequence[str],
+    order: Sequence[str],
+    keep_first: Sequence[str],
+    rows: str,
+) -> DataFrame:
+    """The facts of :func:`pass_lines` in ``order``, for lines that a join has gathered by product.
+
+    The lines of an order and a product lie in one task and become one row there. As
+    ``_first_seen`` tells products apart, nothing else of the order has to travel
+    to where an order is gathered.
+    """
+    salt = [SALT] if SALT in lines.columns else []
+    each = [*keys, "ProductID", FIRST_SEEN, *salt]
+    picked = [*each, *[c for c in columns if c not in each]]
+    # Within an order and a product these are all the same; FIRST_SEEN is one of the keys.
+    place = [FIRST_SEEN, *[c for c in order if c not in ("Order_ID", "ProductID", FIRST_SEEN)]]
+    lasts = reduce_batch(order_facts(lines, [*order, *salt]), picked, each, place, rows=rows)
+    return reduce_batch(lasts, columns, keys, [FIRST_SEEN], keep_first, rows=rows, weight=rows)
+
+
 def upsert(
     target: DataFrame,
     batch: DataFrame,
@@ -204,6 +233,21 @@ def repeated_keys(stored: DataFrame, arrived: DataFrame, keys: Sequence[str]) ->
     return both.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").select(*keys)
 
 
+def gather_facts(both: DataFrame, keys: Sequence[str], keep_first: Sequence[str], span: tuple[str, str]) -> DataFrame:
+    """One fact per key: ``keep_first`` columns of the earliest in ``span``, the others of the latest."""
+    columns = both.columns
+    follow = [c for c in columns if c not in keys and c not in keep_first and c not in span]
+    return (
+        both.groupBy(*keys)
+        .agg(
+            F.min(F.struct(span[0], *keep_first)).alias("_first_row"),
+            F.max(F.struct(span[1], *follow)).alias("_last_row"),
+        )
+        .select(*keys, "_first_row.*", "_last_row.*")
+        .select(*columns)
+    )
+
+
 def merge_facts(
     stored: DataFrame,
     arrived: DataFrame,
@@ -223,23 +267,14 @@ def merge_facts(
     rows are gathered.
     """
     columns = stored.columns
-    follow = [c for c in columns if c not in keys and c not in keep_first and c not in span]
     if repeated is None:
         touched = arrived.select(*keys).distinct()
         both = stored.join(touched, list(keys), "left_semi").select(*columns).unionByName(arrived.select(*columns))
     else:
         touched, stored = F.broadcast(repeated), stored.unionByName(arrived.select(*columns))
         both = stored.join(touched, list(keys), "left_semi").select(*columns)
-    merged = (
-        both.groupBy(*keys)
-        .agg(
-            F.min(F.struct(span[0], *keep_first)).alias("_first_row"),
-            F.max(F.struct(span[1], *follow)).alias("_last_row"),
-        )
-        .select(*keys, "_first_row.*", "_last_row.*")
-    )
     untouched = stored.join(touched, list(keys), "left_anti")
-    return untouched.select(*columns).unionByName(merged.select(*columns))
+    return untouched.select(*columns).unionByName(gather_facts(both, keys, keep_first, span))
 
 
 def insert_ignore(target: DataFrame, batch: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

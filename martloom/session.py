@@ -48,6 +48,16 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "mar
     return spark
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Have the files of finished shuffles removed.
+
+    Spark removes them when the driver's garbage collector finds that nothing uses
+    them, by default as its memory fills or after half an hour; until then
+    the shuffles of all passes lie on the disks together.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared folder of the session.
 

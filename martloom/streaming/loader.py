@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from martloom.operators.joins import enrich, pending_history
 from martloom.operators.load import FIRST_SEEN, known_lines, pass_lines, products_seen, ranked_products, unknown_products
 from martloom.operators.sizing import fits_broadcast
+from martloom.session import free_shuffles
 from martloom.sources.paths import children, exists
 from martloom.sources.warehouse import BY_PASS, Warehouse
 
@@ -53,35 +54,58 @@ def load_pass(
     earlier one.
     """
     # Products and lines are worked out once a pass and kept for its five writes.
-    # A lost executor's share is recomputed from the files behind it.
+    # A lost executor's share is recomputed from the files behind it. What landed is
+    # not kept a second time: its files are read, and of them only what a write needs.
     kept, changes = [], dict(changes or {})
-    if landed:
-        kept.append(batch.persist(StorageLevel.MEMORY_AND_DISK))
-        warehouse.open(BY_PASS)
-        changes |= warehouse.landed(batch, batch_id)
-        history = warehouse.history(pending_keys(batch), changes)
-    tx = batch if history is None else pending_history(history, pending_keys(batch))
-    kept.append(tx.persist(StorageLevel.MEMORY_AND_DISK))
+
+    def keep(table: DataFrame) -> DataFrame:
+        kept.append(table.persist(StorageLevel.MEMORY_AND_DISK))
+        return table
+
     try:
+        if landed:
+            warehouse.open(BY_PASS)
+            changes |= warehouse.landed(batch, batch_id)
+            free_shuffles(warehouse.spark)
+            batch = warehouse.arrived(changes, batch_id, batch.schema)
+        elif history is None:
+            keep(batch)
         seen = products_seen(batch, seq)
-        seen = (ranked_products(seen) if by_product else seen).persist(StorageLevel.MEMORY_AND_DISK)
-        kept.append(seen)
-        described = enrich(seen, master).persist(StorageLevel.MEMORY_AND_DISK)
-        kept.append(described)
-        unknown = unknown_products(seen, described) if not by_product else None
-        if unknown is not None and fits_broadcast(unknown):
-            lines = known_lines(tx, described, unknown)
+        seen = keep(ranked_products(seen) if by_product else seen)
+        described = keep(enrich(seen, master))
+        if landed:
+            history = warehouse.history(pending_keys(seen), changes)
+        small = by_product and fits_broadcast(described.select("ProductID", "productPrice", FIRST_SEEN))
+
+        def joined(some: DataFrame) -> DataFrame:
+            """The lines of some transactions; one shuffle brings them to the pass's products and to their prices."""
+            own = pending_history(some, pending_keys(seen), deal=["Order_ID"])
+            own = own if landed else keep(own)
+            return pass_lines(own, described, small, ["Order_ID"], weigh=some if landed else None, keep_salt=True)
+
+        behind, unknown = None, None
+        if by_product and history is not None:
+            lines = joined(history) if landed else keep(joined(history))
+            behind = (history, joined) if landed else None
+        elif by_product:
+            lines = keep(pass_lines(batch, described, small, ["Order_ID"], keep_salt=True))
         else:
-            lines = (pass_lines if by_product else known_lines)(tx, described).persist(StorageLevel.MEMORY_AND_DISK)
-            kept.append(lines)
+            tx = batch if history is None else keep(pending_history(history, pending_keys(seen)))
+            unknown = unknown_products(seen, described)
+            few = fits_broadcast(unknown)
+            lines = known_lines(tx, described, unknown) if few else keep(known_lines(tx, described))
         # A product listed twice yields two rows per transaction; the price tells them apart.
         order = [*([FIRST_SEEN] if by_product else []), *seq, "productPrice"]
         counted = Observation(f"load-{batch_id}")
         arrival = history is None and not by_product
-        return warehouse.write_star(lines, described, batch_id, order, counted, arrival, changes, progress)
+        return warehouse.write_star(
+            lines, described, batch_id, order, counted, arrival, changes, progress, by_product and not small, behind
+        )
     finally:
         for table in reversed(kept):
             table.unpersist()
+        if landed:
+            free_shuffles(warehouse.spark)
 
 
 def check_root(warehouse: Warehouse, checkpoint: str) -> None:

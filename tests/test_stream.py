@@ -590,3 +590,88 @@ def test_a_view_reads_the_facts_of_a_pass_that_shares_no_order_from_its_folder_a
             assert all("/log/1-" in file for files in read for file in files) and any(read)
         fresh = CustomerStoreSales(warehouse, str(tmp_path / f"fresh-{number}")).refresh()
         assert rows_of(got) == rows_of(fresh)
+
+
+@pytest.fixture
+def narrow(spark):
+    """Too little room for a broadcast of anything but a few keys."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "60b")
+    yield spark
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def many_lines(rng, passes, products):
+    """Passes of lines whose orders come again, with lines of one order and product that only a tie-break tells apart."""
+    for n in range(passes):
+        yield [
+            (rng.choice([None, *range(40)]), 1 + rng.randrange(28), rng.choice([None, 99, *range(products)]), rng.choice([None, *range(6 + 3 * n)]), rng.randrange(9), 1000 * n + k)
+            for k in range(80)
+        ]
+
+
+def test_landed_history_too_large_to_broadcast_loads_as_lines_reduced_at_once(narrow, tmp_path):
+    spark, past, rng = narrow, [], random.Random(8)
+    warehouse, plain = Warehouse(spark, str(tmp_path / "dw"), buckets=4), Warehouse(spark, str(tmp_path / "plain"))
+    for n, rows in enumerate(many_lines(rng, 3, 12)):
+        # A hot product, but for the first pass.
+        rows += [(rng.randrange(40), 1, 0, 1, 2, 1000 * n + 100 + k) for k in range(200 * n)]
+        past += rows
+        # Product 3 is listed twice; prices change from pass to pass.
+        master = master_table(spark, [*[(p, f"{p + n}.50", p % 3, p % 2) for p in range(12)], (3, "0.25", 1, 1)])
+        counts = load_pass(warehouse, tx_table(spark, rows), n, master, SEQ, landed=True)
+        tx = tx_table(spark, past)
+        seen = products_seen(tx_table(spark, rows), SEQ)
+        lines = pass_lines(tx, enrich(seen, master), small=True)
+        order = [FIRST_SEEN, *SEQ, "productPrice"]
+        facts = reduce_batch(order_facts(lines, order), STAR["OrderFacts"].names, FACT_KEYS, order, FACT_KEEP_FIRST)
+        assert counts == {"joined_rows": lines.filter("Order_ID IS NOT NULL").count(), "distinct_orders": facts.count()}
+        plain.write_star(lines, enrich(seen, master), n, order)
+        if n == 1:
+            warehouse.compact()
+    assert tables_of(warehouse) == tables_of(plain)
+
+
+def test_a_landed_pass_keeps_nothing_of_the_size_of_its_history(narrow, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    kept, persist = [], DataFrame.persist
+    monkeypatch.setattr(DataFrame, "persist", lambda self, *a: kept.append(set(self.columns)) or persist(self, *a))
+    warehouse, rng = Warehouse(narrow, str(tmp_path / "dw"), buckets=4), random.Random(3)
+    master = master_table(narrow, [(p, f"{p}.50", p % 3, p % 2) for p in range(12)])
+    load_pass(warehouse, tx_table(narrow, next(many_lines(rng, 1, 12))), 0, master, SEQ, landed=True)
+    # Products, and what the master data say of them; no transactions.
+    assert len(kept) == 2 and not any("Order_ID" in columns for columns in kept)
+
+
+def test_lines_of_a_pass_travel_once_by_product_and_once_by_order(narrow, tmp_path):
+    from martloom.operators.load import facts_by_product, ranked_products
+
+    spark, order = narrow, [FIRST_SEEN, *SEQ, "productPrice"]
+    tx_table(spark, ALL * 3).write.parquet(str(tmp_path / "tx"))
+    tx = spark.read.schema(TX).parquet(str(tmp_path / "tx"))
+    described = enrich(ranked_products(products_seen(tx, SEQ)), master_table(spark, MASTER_ROWS)).persist()
+    lines = pass_lines(tx, described, small=False, deal=["Order_ID"], keep_salt=True)
+    facts = facts_by_product(lines, STAR["OrderFacts"].names, FACT_KEYS, order, FACT_KEEP_FIRST, "_rows")
+    plan = facts._jdf.queryExecution().executedPlan().toString()
+    described.unpersist()
+    keys = [line.split("hashpartitioning(")[1].split("#")[0] for line in plan.split("InMemoryRelation")[0].splitlines() if "hashpartitioning(" in line]
+    assert keys.count("OrderID") == 1 and not {"Order_ID", "CustomerID"} & set(keys)
+    assert rows_of(facts.drop("_rows")) == rows_of(batch_facts(spark, ALL, [FIRST_SEEN, *SEQ]))
+    by_order = next(line for line in plan.splitlines() if line.lstrip(" +-:").startswith("SortAggregate(key=[OrderID"))
+    assert "seq" not in by_order
+
+
+@pytest.mark.parametrize("second", [10, 40])
+def test_a_large_log_that_repeats_most_orders_is_gathered_whole(narrow, tmp_path, second):
+    spark, warehouse = narrow, Warehouse(narrow, str(tmp_path / "dw"))
+    rows = [(n, 1 + n % 9, 10, 7, n + 1, n) for n in range(30)]
+    more = [(n, 2 + n % 9, 20, 8, n + 1, 100 - n) for n in range(second)]
+    for number, part in enumerate((rows, more)):
+        load_pass(warehouse, tx_table(spark, part), number, master_table(spark, MASTER_ROWS), SEQ, by_product=False)
+        if not number:
+            warehouse.compact()
+    facts = warehouse.table("OrderFacts")
+    plan = facts._jdf.queryExecution().executedPlan().toString()
+    assert ("LeftSemi" in plan) == (second < len(rows))
+    assert rows_of(facts) == rows_of(batch_facts(spark, rows + more, SEQ))
